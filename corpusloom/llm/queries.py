@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import table
 
-from . import distinctive, leakage, tokenizing
+from . import distinctive, leakage, quality, tokenizing
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +32,23 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = quality.text_types(table(spark, sf_dir, "documents"))
+    return typed.where(F.col("prose") < 0.5).select("doc_id")
+
+
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and posterior types of every document."""
+    return quality.text_types(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": p6_found,
     "p6_scores": p6_scores,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_statistics": p10_statistics,
 }
 
 _TERMS = """terms AS (
