@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import table
 
-from . import distinctive, leakage, quality, tokenizing
+from . import articles, distinctive, history, leakage, quality, survivors, tokenizing
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    signals = table(spark, sf_dir, "tagged_signals")
+    labels = articles.article_labels(signals)
+    records = signals.select("row_id", "source", "category", "tier", "run_date").join(labels, "row_id")
+    best = survivors.survivors(records, "class", "row_id", "run_date", {"category": table(spark, sf_dir, "sources").select("category"), "tier": ["core", "extended"]}, source="source")
+    return best.select("first_row_id", "best_row_id", "category", "tier")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.repeats(table(spark, sf_dir, "tagged_signals"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +55,8 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p7_found": p7_found,
     "p6_found": p6_found,
     "p6_scores": p6_scores,
     "p8_ids": p8_ids,
@@ -59,6 +73,8 @@ sizes AS (SELECT ord, sum(tf) AS n_r FROM joint GROUP BY ord),
 total AS (SELECT sum(n_r) AS n, sum(pow(n_r, 0.75)) AS z FROM sizes)"""
 
 SQL: dict[str, str] = {
+    "p1_found": p1_found,
+    "p7_found": p7_found,
     "p6_found": f"WITH {_TERMS} SELECT ord, term FROM joint JOIN dfs USING (term) WHERE tf >= 3 AND df BETWEEN 2 AND 8",
     "p6_scores": f"""WITH {_TERMS}
 SELECT ord, term, tf, df, round(greatest(log2((tf / n) / ((n_t / n) * (pow(n_r, 0.75) / z))), 0), 6) AS ppmi
