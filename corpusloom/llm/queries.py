@@ -73,8 +73,6 @@ sizes AS (SELECT ord, sum(tf) AS n_r FROM joint GROUP BY ord),
 total AS (SELECT sum(n_r) AS n, sum(pow(n_r, 0.75)) AS z FROM sizes)"""
 
 SQL: dict[str, str] = {
-    "p1_found": p1_found,
-    "p7_found": p7_found,
     "p6_found": f"WITH {_TERMS} SELECT ord, term FROM joint JOIN dfs USING (term) WHERE tf >= 3 AND df BETWEEN 2 AND 8",
     "p6_scores": f"""WITH {_TERMS}
 SELECT ord, term, tf, df, round(greatest(log2((tf / n) / ((n_t / n) * (pow(n_r, 0.75) / z))), 0), 6) AS ppmi
