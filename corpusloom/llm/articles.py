@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import persisted
+from corpusloom.runtime import broadcast_if_small, persisted
 
 from . import hashforest
 
@@ -158,12 +158,22 @@ def _same_on_page(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_title(x.split(), y.split(), lenient=True) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
+def _close(a: Column, b: Column) -> Column:
+    """A test without Python that no pair of the same title fails: all but two words of the shorter text are shared."""
+    x, y = F.split(a, " "), F.split(b, " ")
+    return F.size(F.array_intersect(x, y)) >= F.least(F.size(F.array_distinct(x)), F.size(F.array_distinct(y))) - 2
+
+
 #: Pages with more different titles than this are root or column pages: their titles are compared like any others.
 PAGE_TITLES = 50
 
 
-def _class_key(publisher: Column, words: Column) -> Column:
-    return F.xxhash64(F.lit("title"), publisher, words)
+def _hashed(kind: str, *columns: str) -> Column:
+    """A 64-bit key of the columns; null where one is null."""
+    present = F.col(columns[0]).isNotNull()
+    for c in columns[1:]:
+        present = present & F.col(c).isNotNull()
+    return F.when(present, F.xxhash64(F.lit(kind), *columns))
 
 
 def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = None) -> DataFrame:
@@ -172,52 +182,58 @@ def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = No
     Exact copies and records with the same words are one class by their key, before any join; classes are linked
     where the hash forest finds titles that are the same apart from editing, where a page carries such titles
     loosely, and where a record without url has the id of another. Only links between different classes enter the
-    connected components, so a group of a third of all rows is one node there.
+    connected components, so a group of a third of all rows is one node there. Strings are replaced by 64-bit keys
+    before anything is shuffled, except for one row of each different title.
     """
-    keys = persisted(record_keys(signals), "article-keys")
-    titles = keys.where("words <> '' and publisher is not null").groupBy("publisher", "words").agg(F.count(F.lit(1)).alias("n"))
-    spread = titles.groupBy("words").agg(F.count(F.lit(1)).alias("publishers"))
-    titled = persisted(titles.join(spread, "words").select("publisher", "words", (F.col("publishers") > 1).alias("general"), _class_key(F.col("publisher"), F.col("words")).alias("class")), "article-titles")
-    subjects = titled.where("not general").select("publisher", "words", "class")
+    blank = (F.col("words") == "") | F.col("publisher").isNull()
+    keys = persisted(
+        record_keys(signals)
+        .withColumn("title", F.when(~blank, _hashed("title", "publisher", "words")))
+        .select("row_id", _hashed("id", "id").alias("id"), _hashed("page", "page").alias("page"), _hashed("slug", "slug").alias("slug"), "root", "title", (F.col("words") == "").alias("untitled"), "publisher", "words"),
+        "article-keys",
+    )
+    titles = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"), F.count(F.lit(1)).alias("n"))
+    titles = persisted(titles, "article-titles")
+    many = titles.groupBy(F.xxhash64("words").alias("_w")).agg(F.count(F.lit(1)).alias("_p")).where("_p > 1").select("_w")
+    many = broadcast_if_small(persisted(many, "article-general"))
+    subjects = persisted(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_anti"), "article-subjects")
+    general = broadcast_if_small(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_semi").select(F.col("title").alias("_general")))
+    texts = subjects.select("title", "words")
+
+    def with_words(pairs: DataFrame) -> DataFrame:
+        one = texts.select(F.col("title").alias("a"), F.col("words").alias("words_a"))
+        two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
+        return pairs.join(one, "a").join(two, "b")
+
     forest = forest or hashforest.HashForest()
-    pairs = forest.candidates(subjects, "publisher", "words", "class")
-    links = pairs.where(_same("words_a", "words_b")).select("a", "b")
+    pairs = with_words(forest.candidates(subjects, "publisher", "words", "title", "n"))
+    links = pairs.where(_close(F.col("words_a"), F.col("words_b"))).where(_same("words_a", "words_b")).select("a", "b")
 
     # what a page carries
-    marked = keys.join(titled.select("publisher", "words", "general", F.col("class").alias("title_class")), ["publisher", "words"], "left")
-    own = F.when(F.col("title_class").isNotNull() & ~F.col("general"), F.col("title_class"))
-    marked = persisted(marked.select("row_id", "id", "page", "slug", "root", "words", own.alias("named")), "article-marked")
-    on_page = marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("words").alias("words"), F.first("slug").alias("slug"))
-    per_page = persisted(on_page, "article-pages")
-    few = per_page.groupBy("page").agg(F.count(F.lit(1)).alias("titles"), F.min("named").alias("only"))
-    shared = few.where((F.col("titles") > 1) & (F.col("titles") <= PAGE_TITLES)).select("page")
-    beside = per_page.join(shared, "page")
-    loose = (
-        beside.select("page", F.col("named").alias("a"), F.col("words").alias("words_a"))
-        .join(beside.select("page", F.col("named").alias("b"), F.col("words").alias("words_b")), "page")
-        .where("a < b")
-        .where(_same_on_page("words_a", "words_b"))
-        .select("a", "b")
+    marked = persisted(
+        keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named")), "article-marked"
     )
+    per_page = persisted(marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("slug").alias("slug")), "article-pages")
+    shared = per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.col("n") <= PAGE_TITLES)).select("page")
+    beside = per_page.join(shared, "page").select("page", "named")
+    loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b").distinct()
+    loose = with_words(loose).where(_same_on_page("words_a", "words_b")).select("a", "b")
     linked = persisted(connected_components(links.union(loose)), "article-links")
 
     # records without a title of their own belong to their page's only article, else to the page itself
+    lone = marked.where("named is null")
     settled = per_page.join(linked, per_page["named"] == linked["node"], "left").select("page", "slug", F.coalesce("component", "named").alias("c"))
-    by_page = settled.groupBy("page").agg(F.min("c").alias("page_class"), F.max("c").alias("_most")).where("page_class = _most").drop("_most")
-    by_slug = settled.where("slug is not null").groupBy("slug").agg(F.min("c").alias("slug_class"), F.max("c").alias("_most")).where("slug_class = _most").drop("_most")
-    page_key, row_key = F.xxhash64(F.lit("page"), F.col("page")), F.xxhash64(F.lit("row"), F.col("row_id"))
+    by_page = settled.join(lone.select("page").distinct(), "page", "left_semi").groupBy("page").agg(F.min("c").alias("page_class"), F.max("c").alias("_most")).where("page_class = _most").drop("_most")
+    by_slug = settled.join(lone.where("untitled").select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.min("c").alias("slug_class"), F.max("c").alias("_most")).where("slug_class = _most").drop("_most")
     named = marked.where("named is not null").join(linked, F.col("named") == F.col("node"), "left").select("row_id", "id", "page", F.coalesce("component", "named").alias("class"))
-    blank = marked.where("named is null and page is not null").join(by_page, "page", "left").join(by_slug, "slug", "left")
-    untitled = blank.select(
-        "row_id", "id", "page", F.when((F.col("words") == "") & ~F.col("root"), F.coalesce("page_class", "slug_class", page_key)).when(F.col("root"), row_key).otherwise(page_key).alias("class")
-    )
-    lost = marked.where("named is null and page is null").select("row_id", "id", "page", row_key.alias("class"))
-    labelled = persisted(named.unionByName(untitled).unionByName(lost), "article-classes")
+    row_key = F.xxhash64(F.lit("row"), F.col("row_id"))
+    placed = F.when(F.col("untitled"), F.coalesce("page_class", "slug_class", "page")).otherwise(F.col("page"))
+    untitled = lone.join(by_page, "page", "left").join(by_slug, "slug", "left").select("row_id", "id", "page", F.when(F.col("page").isNull() | F.col("root"), row_key).otherwise(placed).alias("class"))
+    labelled = persisted(named.union(untitled), "article-classes")
 
     # a record without url has the id of a record of the article
-    by_id = labelled.where("id is not null").groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.max(F.col("page").isNull()).alias("bare"))
-    open_ids = by_id.where("bare and a <> b").select("id")
-    bare = labelled.where("page is null").select("id", "class").distinct().join(open_ids, "id")
-    others = labelled.where("page is not null").groupBy("id").agg(F.min("class").alias("other"))
-    through = connected_components(bare.join(others, "id").select(F.col("class").alias("a"), F.col("other").alias("b")))
+    bare = labelled.where("page is null and id is not null").select("id", F.col("class").alias("a")).distinct()
+    others = labelled.where("page is not null").join(bare.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("class").alias("b"))
+    among = bare.groupBy("id").agg(F.min("a").alias("b"))
+    through = connected_components(bare.join(others.union(among), "id").select("a", "b"))
     return labelled.join(through, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("class"))

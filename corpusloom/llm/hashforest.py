@@ -1,134 +1,104 @@
 """A prefix-tree hash forest over short texts, kept as sorted runs.
 
-Each tree orders a text's words in its own way: one is led by the rarest word of the text within its group, one
-by the second rarest, and so on for ``LEADERS`` words, each with the others after it by rarity; two more are led by
-the beginning or the end of the rarest word with all the others (so that a slip in that word leaves one of them
-whole). The signature of a text in a tree is the path of hashes of its first words. Entries are looked up by
-the range of entries that share a prefix of the path. A prefix is widened, word by word, to the shortest one
-whose range holds at most ``BUCKET`` entries: where it is one word long, texts that share that word are all found,
-which is the recall target of 1 for any pair that keeps one of the trees' leading words. A full path (all words)
-has no limit, and its entries are the same text.
+A text's words are hashed within its group and sorted by hash; each of its words leads one permutation: the
+word, then the others in that order. The permutations of all texts, sorted, are a forest of prefix trees. An
+entry is looked up by the range of entries that share a prefix of its permutation, starting with the longest and
+widened, word by word, to the shortest one whose range holds at most ``BUCKET`` entries. Where that is one word,
+all texts that share the word are found, so a pair of texts is found for certain if they share a word that few
+texts of the group have; that is the recall target. Ranges that are still too full at ``DEPTH`` words are walked in
+order of their texts: every entry meets its next neighbours and the range's most frequent text.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import persisted
-
-BUCKET = 24
+BUCKET = 16
 DEPTH = 3
-LEADERS = 5
-
-
-def _close(a: Column, b: Column) -> Column:
-    """A test without Python that no pair of the same title fails: all but two words of the shorter text are shared."""
-    x, y = F.split(a, " "), F.split(b, " ")
-    return F.size(F.array_intersect(x, y)) >= F.least(F.size(F.array_distinct(x)), F.size(F.array_distinct(y))) - 2
+NEIGHBOURS = 8
 
 
 class HashForest:
-    def __init__(self, bucket: int = BUCKET, depth: int = DEPTH, leaders: int = LEADERS):
-        self.bucket, self.depth, self.leaders = bucket, depth, leaders
+    def __init__(self, bucket: int = BUCKET, depth: int = DEPTH):
+        self.bucket, self.depth = bucket, depth
+
+    @property
+    def prefixes(self) -> list[str]:
+        return [f"p{d}" for d in range(1, self.depth + 1)]
 
     def signatures(self, entries: DataFrame, group: str, text: str, key: str) -> DataFrame:
-        """(group, text, key, tree, p1 .. p<depth>): the prefixes of each entry's path in each tree; null where it is shorter."""
-        words = entries.select(group, key, F.explode(F.array_distinct(F.split(text, " "))).alias("w"))
-        rare = words.groupBy(group, "w").agg(F.count(F.lit(1)).alias("df"))
-        ranked = words.join(rare, [group, "w"]).groupBy(group, key).agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("_r"))  # a title's own words
-        ordered = ranked.join(entries.select(group, key, text), [group, key]).withColumn("_r", F.transform("_r", lambda x: x["w"]))
-        first, rest = F.get("_r", F.lit(0)), F.when(F.size("_r") > 1, F.slice("_r", 2, 1_000_000)).otherwise(F.array())
-        around = F.concat_ws(" ", F.array_sort(rest))
-
-        def led_by(i: int) -> Column:
-            others = F.filter("_r", lambda _, j: j != i)
-            return F.when(F.size("_r") > i, F.concat(F.array(F.get("_r", F.lit(i))), others)).otherwise(F.array().cast("array<string>"))
-
-        trees = [led_by(i) for i in range(self.leaders)]
-        trees += [F.array(F.concat(F.lit(mark), part, F.lit(" "), around)) for mark, part in (("^", F.substring(first, 1, 3)), ("$", F.substring(first, -3, 3)))]
-        made = ordered.select(group, text, key, F.posexplode(F.array(*trees)).alias("tree", "path")).where(F.size("path") > 0)
-
-        def prefix(d: int) -> Column:
-            return F.when(F.size("path") >= d, F.xxhash64(F.col(group), F.concat_ws(" ", F.slice("path", 1, d))))
-
-        return made.select(group, text, key, "tree", *[prefix(d).alias(f"p{d}") for d in range(1, self.depth + 1)])
-
-    def ranges(self, signed: DataFrame, counted: DataFrame | None = None) -> DataFrame:
-        """Adds ``prefix``: the widest prefix of the entry whose range is small enough (the longest, if none is)."""
-        counted = signed if counted is None else counted
-        chosen = F.lit(None).cast("long")
-        out = signed
-        for d in range(1, self.depth + 1):
-            sizes = counted.where(F.col(f"p{d}").isNotNull()).groupBy(f"p{d}").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > self.bucket).select(f"p{d}", F.lit(True).alias(f"_full{d}"))
-            out = out.join(sizes, f"p{d}", "left")
-        for d in range(self.depth, 0, -1):
-            longest = F.col(f"p{d + 1}").isNull() if d < self.depth else F.lit(True)
-            chosen = F.when(F.col(f"p{d}").isNotNull() & (F.col(f"_full{d}").isNull() | longest), F.col(f"p{d}")).otherwise(chosen)
-        return out.withColumn("prefix", chosen).drop(*[f"_full{d}" for d in range(1, self.depth + 1)])
-
-    def candidates(self, entries: DataFrame, group: str, text: str, key: str) -> DataFrame:
-        """(a, words_a, b, words_b): different entries of one range, each pair once (a < b).
-
-        A range that stays too full at the longest prefix is linked in a chain sorted by text: each entry meets
-        its next ``BUCKET`` neighbours, which hold every text that only goes on where the other ends.
-        """
-        placed = persisted(self.ranges(persisted(self.signatures(entries, group, text, key), "forest")), "forest-ranges").select("prefix", F.col(key).alias("k"), F.col(text).alias("t"))
-        full = placed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        small = placed.join(full.where(F.col("n") <= 4 * self.bucket).select("prefix"), "prefix")
-        pairs = small.alias("x").join(small.alias("y"), "prefix").where("x.k < y.k").where(_close(F.col("x.t"), F.col("y.t"))).select(F.col("x.k").alias("a"), F.col("x.t").alias("words_a"), F.col("y.k").alias("b"), F.col("y.t").alias("words_b"))
-        large = placed.join(full.where(F.col("n") > 4 * self.bucket).select("prefix"), "prefix")
-        return pairs.union(self._neighbours(large)).distinct()
+        """(k, p1 .. p<depth>): a row for each word of each entry; a prefix beyond the last word repeats the whole."""
+        hashed = entries.select(F.col(key).alias("k"), F.array_sort(F.array_distinct(F.transform(F.split(text, " "), lambda w: F.xxhash64(F.col(group), w)))).alias("_h"))
+        led = hashed.select("k", F.explode("_h").alias("p1"), "_h").withColumn("_o", F.array_remove("_h", F.col("p1")))
+        longer = [F.xxhash64("p1", *[F.coalesce(F.get("_o", F.lit(i)), F.lit(0)) for i in range(d - 1)]).alias(f"p{d}") for d in range(2, self.depth + 1)]
+        return led.select("k", "p1", *longer)
 
-    def _neighbours(self, large: DataFrame, reach: int = 8) -> DataFrame:
-        """Sorted neighbours of over-full ranges, by range partitions of the whole (no range goes to one task)."""
-        from pyspark.sql import types as T
+    def candidates(self, entries: DataFrame, group: str, text: str, key: str, weight: str) -> DataFrame:
+        """(a, b), a < b: keys of different entries that share a range, each pair once.
 
-        schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("words_a", T.StringType()), T.StructField("b", T.LongType()), T.StructField("words_b", T.StringType())])
+        ``weight`` is how often the text stands; of an over-full range the text with the largest meets all others.
+        """
+        rest = self.signatures(entries, group, text, key)
+        found = []
+        for d in range(1, self.depth + 1):
+            p = f"p{d}"
+            sizes = rest.groupBy(p).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+            sized = rest.join(sizes, p)
+            # at most BUCKET keys a range, as counted
+            lists = sized.where(F.col("_n") <= self.bucket).groupBy(p).agg(F.array_sort(F.collect_set("k")).alias("ks")).select("ks")
+            pairs = F.flatten(F.transform("ks", lambda x: F.transform(F.filter(F.col("ks"), lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+            found.append(lists.select(F.explode(pairs).alias("_p")).select("_p.a", "_p.b"))
+            rest = sized.where(F.col("_n") > self.bucket).drop("_n")
+        p = self.prefixes[-1]
+        placed = rest.select(F.col(p).alias("p"), "k").distinct().join(entries.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(weight).alias("w")), "k")
+        top = placed.groupBy("p").agg(F.max_by("k", F.struct("w", "k")).alias("b"))
+        star = placed.join(top, "p").where("k <> b").select(F.least("k", "b").alias("a"), F.greatest("k", "b").alias("b"))
+        found += [star, self._neighbours(placed)]
+        return reduce(DataFrame.union, found).distinct()
+
+    def _neighbours(self, placed: DataFrame) -> DataFrame:
+        """Sorted neighbours within ranges, over range partitions of the whole: no range goes to one task."""
 
         def batches(frames):
-            import pandas as pd
-
             last: list[tuple] = []
             for pdf in frames:
                 rows = []
-                for p, k, t in zip(pdf["prefix"], pdf["k"], pdf["t"], strict=True):
-                    rows += [(min(k, k2), t if k < k2 else t2, max(k, k2), t2 if k < k2 else t) for p2, k2, t2 in last if p2 == p and k2 != k]
-                    last = [*last[-reach + 1 :], (p, k, t)]
-                yield pd.DataFrame(rows, columns=["a", "words_a", "b", "words_b"])
+                for p, k in zip(pdf["p"].tolist(), pdf["k"].tolist(), strict=True):
+                    rows += [(min(k, k2), max(k, k2)) for p2, k2 in last if p2 == p and k2 != k]
+                    last = [*last[-NEIGHBOURS + 1 :], (p, k)]
+                yield pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
-        return large.repartitionByRange("prefix", "t").sortWithinPartitions("prefix", "t").mapInPandas(batches, schema)
+        return placed.repartitionByRange("p", "t").sortWithinPartitions("p", "t").select("p", "k").mapInPandas(batches, "a long, b long")
 
-    # --- persisted runs for batches ---
+    # --- persisted runs ---
 
     def write_run(self, signed: DataFrame, path: str, run: int) -> None:
-        """Persist a batch's signatures as a run sorted by prefix."""
-        signed.repartitionByRange("p1").sortWithinPartitions("tree", "p1", *[f"p{d}" for d in range(2, self.depth + 1)]).write.mode("overwrite").parquet(f"{path}/run={run}")
-
-    def read_runs(self, spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.parquet(path)
+        """Persist a batch's signatures as a run, sorted by its prefixes."""
+        signed.repartitionByRange(*self.prefixes).sortWithinPartitions(*self.prefixes).write.mode("overwrite").parquet(f"{path}/run={run}")
 
     def merge_runs(self, spark: SparkSession, path: str, into: str) -> None:
         """Merge all runs into one sorted run at ``into``; the old ones stay until the caller drops them."""
-        self.write_run(self.read_runs(spark, path).drop("run"), into, 0)
+        self.write_run(spark.read.parquet(path).drop("run").distinct(), into, 0)
 
     def lookup(self, batch: DataFrame, runs: DataFrame) -> DataFrame:
-        """(k, words, other, other_words): what the runs hold in the ranges of the batch's entries.
+        """(k, other): keys of the runs in the ranges of the batch's entries; full ranges are narrowed up to DEPTH words.
 
-        ``batch`` and ``runs`` are signatures with ``key`` and ``text`` columns ``k`` and ``t``. Both sides take the
-        prefix that the runs and the batch together make small enough.
+        Ranges are sized by the runs. What is still too full at DEPTH words comes out whole: as many rows as the runs
+        have there for each entry of the batch.
         """
-        both = runs.select("k", "t", "tree", *[f"p{d}" for d in range(1, self.depth + 1)]).unionByName(batch.select("k", "t", "tree", *[f"p{d}" for d in range(1, self.depth + 1)]))
-        mine, theirs = self.ranges(batch, both), self.ranges(runs, both)
-        return (
-            mine.select("prefix", "k", F.col("t").alias("words"))
-            .join(theirs.select("prefix", F.col("k").alias("other"), F.col("t").alias("other_words")), "prefix")
-            .where("k <> other")
-            .select("k", "words", "other", "other_words")
-            .distinct()
-        )
+        mine, found = batch, []
+        for d in range(1, self.depth + 1):
+            p = f"p{d}"
+            sizes = runs.join(mine.select(p).distinct(), p, "left_semi").groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
+            sized = mine.join(sizes, p)
+            fits = F.lit(True) if d == self.depth else F.col("_n") <= self.bucket
+            found.append(sized.where(fits).select("k", p).join(runs.select(p, F.col("k").alias("other")), p).select("k", "other"))
+            mine = sized.where(~fits).drop("_n")
+        return reduce(DataFrame.union, found).where("k <> other").distinct()
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

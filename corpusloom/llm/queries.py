@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import table
 
-from . import articles, distinctive, history, leakage, quality, survivors, tokenizing
+from . import articles, boilerplate, distinctive, history, leakage, quality, survivors, tokenizing
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("first_row_id", "best_row_id", "category", "tier")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.furniture(table(spark, sf_dir, "articles"), table(spark, sf_dir, "article_images"))
+
+
+def p2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article's text without its furniture."""
+    return boilerplate.main_text(table(spark, sf_dir, "articles"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeats(table(spark, sf_dir, "tagged_signals"))
 
@@ -56,6 +65,8 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_main_text": p2_main_text,
     "p7_found": p7_found,
     "p6_found": p6_found,
     "p6_scores": p6_scores,
