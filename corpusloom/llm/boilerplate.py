@@ -45,7 +45,7 @@ _LANGUAGES = {
     "es": frozenset("el la los las del y en que una con por para se al".split()),
 }
 _CUT = re.compile(r"\s[|·•›»/>→]\s|\s[–—]\s|\s{2,}|\t")
-_SOFT = re.compile(r"(?<=[^\W])[.,;:]\s+|\s(?=[©¿])")
+_SOFT = re.compile(r"(?<=[^\W])[.,;]\s+|\s(?=[©¿])")
 _TRAIL = re.compile(r"\s(?:>|»|/|›)\s")
 _LEAD = re.compile(r"^([^\W\d][^:→|·]{1,40}?)\s?(?:[:→]|\s[–—])\s+(?=\S)")
 _NUMBERED = re.compile(r"^(?:#\.){1,3}(?=\s)")
@@ -106,7 +106,8 @@ def page_paths(text: str, site: str | None) -> dict[str, float]:
         if not s:
             continue
         found: list[str] = []
-        if len(s) <= LONGEST and not (is_prose(s) and len(s) > 160):
+        prose = is_prose(s) and "©" not in s and not (site and site in s)
+        if len(s) <= LONGEST and not (prose and len(s) > 160):
             found.append(generalise(s, site))
             lead = lead_of(s, site)
             if lead:
@@ -114,13 +115,13 @@ def page_paths(text: str, site: str | None) -> dict[str, float]:
         parts = parts_of(s)
         if len(parts) > 1:
             found += [generalise(p, site) for p in parts]
-        elif len(s) <= 2 * LONGEST:
+        elif len(s) <= 2 * LONGEST and not prose:
             soft = _SOFT.split(s)
             if 1 < len(soft) <= 12:
                 found += [generalise(p, site) for p in soft if len(p) <= 120]
         for g in found:
             if g:
-                out[g] = float(bool(CUES.search(g)))
+                out[g] = float(not prose and bool(CUES.search(g)))
     return out
 
 
@@ -168,6 +169,9 @@ def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]
     of_site = by_site.where("path = ''").select(F.col("site").alias("_site"), F.col("n").alias("pages"))
     won = by_site.where("path <> ''").where(F.col("n") >= HOST_ARTICLES).join(broadcast_if_small(of_site), F.col("site") == F.col("_site"))
     won = won.where((F.col("n") >= HOST_SHARE * F.col("pages")) & (F.col("titles") <= 0.02 * F.col("n")))
+    # what introduces articles' own titles anywhere ("studio visit: *") introduces no teaser by itself
+    of_titles = by_language.groupBy("path").agg(F.sum("titles").alias("t"), F.sum("n").alias("m")).where("t > 0.02 * m and path like '%: *'").select("path")
+    won = won.join(of_titles, "path", "left_anti")
     return won.groupBy("site").agg(F.collect_list("path").alias("paths")), shared
 
 
