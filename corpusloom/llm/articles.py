@@ -118,7 +118,7 @@ def same_title(a: list[str], b: list[str], lenient: bool = False) -> bool:
             odd.remove(w)
             rest.remove(match)
             slips += 1
-    if slips > 2 or (slips and len(a) - len(odd) - slips < 1):
+    if slips > (1 if len(a) <= hashforest.SHORT else 2) or (slips and len(a) - len(odd) - slips < 1):
         return False
     if odd:
         return lenient and len(odd) <= 2 and len(rest) <= 3 and 2 * (len(a) - len(odd)) >= len(a)
@@ -158,12 +158,6 @@ def _same_on_page(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_title(x.split(), y.split(), lenient=True) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def _close(a: Column, b: Column) -> Column:
-    """A test without Python that no pair of the same title fails: all but two words of the shorter text are shared."""
-    x, y = F.split(a, " "), F.split(b, " ")
-    return F.size(F.array_intersect(x, y)) >= F.least(F.size(F.array_distinct(x)), F.size(F.array_distinct(y))) - 2
-
-
 #: Pages with more different titles than this are root or column pages: their titles are compared like any others.
 PAGE_TITLES = 50
 
@@ -201,13 +195,14 @@ def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = No
     texts = subjects.select("title", "words")
 
     def with_words(pairs: DataFrame) -> DataFrame:
+        pairs = persisted(pairs, "article-pairs")
         one = texts.select(F.col("title").alias("a"), F.col("words").alias("words_a"))
         two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
         return pairs.join(one, "a").join(two, "b")
 
     forest = forest or hashforest.HashForest()
     pairs = with_words(forest.candidates(subjects, "publisher", "words", "title", "n"))
-    links = pairs.where(_close(F.col("words_a"), F.col("words_b"))).where(_same("words_a", "words_b")).select("a", "b")
+    links = pairs.where(_same("words_a", "words_b")).select("a", "b")
 
     # what a page carries
     marked = persisted(
@@ -225,6 +220,7 @@ def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = No
     settled = per_page.join(linked, per_page["named"] == linked["node"], "left").select("page", "slug", F.coalesce("component", "named").alias("c"))
     by_page = settled.join(lone.select("page").distinct(), "page", "left_semi").groupBy("page").agg(F.min("c").alias("page_class"), F.max("c").alias("_most")).where("page_class = _most").drop("_most")
     by_slug = settled.join(lone.where("untitled").select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.min("c").alias("slug_class"), F.max("c").alias("_most")).where("slug_class = _most").drop("_most")
+    linked = broadcast_if_small(linked)
     named = marked.where("named is not null").join(linked, F.col("named") == F.col("node"), "left").select("row_id", "id", "page", F.coalesce("component", "named").alias("class"))
     row_key = F.xxhash64(F.lit("row"), F.col("row_id"))
     placed = F.when(F.col("untitled"), F.coalesce("page_class", "slug_class", "page")).otherwise(F.col("page"))

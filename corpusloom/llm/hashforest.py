@@ -14,12 +14,22 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import broadcast_if_small, persisted
+
 BUCKET = 16
 DEPTH = 3
 NEIGHBOURS = 8
+MISSING = 2
+SHORT = 4
+
+
+def _share(a: Column, b: Column) -> Column:
+    """Whether two bit sets agree in all but MISSING bits of the smaller one (one fewer for short texts)."""
+    least = F.least(F.bit_count(a), F.bit_count(b))
+    return F.bit_count(a.bitwiseAND(b)) >= least - F.when(least <= SHORT, MISSING - 1).otherwise(MISSING)
 
 
 class HashForest:
@@ -31,33 +41,41 @@ class HashForest:
         return [f"p{d}" for d in range(1, self.depth + 1)]
 
     def signatures(self, entries: DataFrame, group: str, text: str, key: str) -> DataFrame:
-        """(k, p1 .. p<depth>): a row for each word of each entry; a prefix beyond the last word repeats the whole."""
-        hashed = entries.select(F.col(key).alias("k"), F.array_sort(F.array_distinct(F.transform(F.split(text, " "), lambda w: F.xxhash64(F.col(group), w)))).alias("_h"))
-        led = hashed.select("k", F.explode("_h").alias("p1"), "_h").withColumn("_o", F.array_remove("_h", F.col("p1")))
+        """(k, bits, p1 .. p<depth>): a row for each word of each entry; a prefix beyond the last word repeats the whole.
+
+        ``bits`` has one bit of 64 for each word: what two entries share can be told without their texts.
+        """
+        words = F.array_sort(F.array_distinct(F.transform(F.split(text, " "), lambda w: F.xxhash64(F.col(group), w))))
+        hashed = entries.select(F.col(key).alias("k"), words.alias("_h"))
+        bits = F.aggregate("_h", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
+        led = hashed.select("k", bits.alias("bits"), F.explode("_h").alias("p1"), "_h").withColumn("_o", F.array_remove("_h", F.col("p1")))
         longer = [F.xxhash64("p1", *[F.coalesce(F.get("_o", F.lit(i)), F.lit(0)) for i in range(d - 1)]).alias(f"p{d}") for d in range(2, self.depth + 1)]
-        return led.select("k", "p1", *longer)
+        return led.select("k", "bits", "p1", *longer)
 
     def candidates(self, entries: DataFrame, group: str, text: str, key: str, weight: str) -> DataFrame:
-        """(a, b), a < b: keys of different entries that share a range, each pair once.
+        """(a, b), a < b: keys of different entries that share a range and all but MISSING of the shorter one's words.
 
-        ``weight`` is how often the text stands; of an over-full range the text with the largest meets all others.
+        Each pair comes once. ``weight`` is how often the text stands; of an over-full range the text with the largest
+        meets all others.
         """
         rest = self.signatures(entries, group, text, key)
         found = []
         for d in range(1, self.depth + 1):
             p = f"p{d}"
-            sizes = rest.groupBy(p).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-            sized = rest.join(sizes, p)
-            # at most BUCKET keys a range, as counted
-            lists = sized.where(F.col("_n") <= self.bucket).groupBy(p).agg(F.array_sort(F.collect_set("k")).alias("ks")).select("ks")
-            pairs = F.flatten(F.transform("ks", lambda x: F.transform(F.filter(F.col("ks"), lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+            sizes = persisted(rest.groupBy(p).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), f"forest-sizes-{d}")
+            # at most BUCKET entries a range, as counted
+            fit = sizes.where(F.col("_n") <= self.bucket).select(p)
+            lists = rest.select(p, "k", "bits").join(fit, p).groupBy(p).agg(F.array_sort(F.collect_set(F.struct("k", "bits"))).alias("ks")).select("ks")
+            pairs = F.flatten(F.transform("ks", lambda x: F.transform(F.filter(F.col("ks"), lambda y: (y["k"] > x["k"]) & _share(x["bits"], y["bits"])), lambda y: F.struct(x["k"].alias("a"), y["k"].alias("b")))))
             found.append(lists.select(F.explode(pairs).alias("_p")).select("_p.a", "_p.b"))
-            rest = sized.where(F.col("_n") > self.bucket).drop("_n")
+            full = broadcast_if_small(sizes.where(F.col("_n") > self.bucket).select(p))
+            rest = rest.join(full, p, "left_semi")
         p = self.prefixes[-1]
-        placed = rest.select(F.col(p).alias("p"), "k").distinct().join(entries.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(weight).alias("w")), "k")
-        top = placed.groupBy("p").agg(F.max_by("k", F.struct("w", "k")).alias("b"))
-        star = placed.join(top, "p").where("k <> b").select(F.least("k", "b").alias("a"), F.greatest("k", "b").alias("b"))
-        found += [star, self._neighbours(placed)]
+        placed = rest.select(F.col(p).alias("p"), "k", "bits").distinct().join(entries.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(weight).alias("w")), "k")
+        placed = persisted(placed, "forest-full")
+        top = placed.groupBy("p").agg(F.max_by(F.struct("k", "bits"), F.struct("w", "k")).alias("top"))
+        star = placed.join(top, "p").where(F.col("k") != F.col("top.k")).where(_share(F.col("bits"), F.col("top.bits")))
+        found += [star.select(F.least("k", F.col("top.k")).alias("a"), F.greatest("k", F.col("top.k")).alias("b")), self._neighbours(placed)]
         return reduce(DataFrame.union, found).distinct()
 
     def _neighbours(self, placed: DataFrame) -> DataFrame:
@@ -67,12 +85,15 @@ class HashForest:
             last: list[tuple] = []
             for pdf in frames:
                 rows = []
-                for p, k in zip(pdf["p"].tolist(), pdf["k"].tolist(), strict=True):
-                    rows += [(min(k, k2), max(k, k2)) for p2, k2 in last if p2 == p and k2 != k]
-                    last = [*last[-NEIGHBOURS + 1 :], (p, k)]
+                for p, k, bits in zip(pdf["p"].tolist(), pdf["k"].tolist(), (pdf["bits"].to_numpy().view("uint64")).tolist(), strict=True):
+                    for p2, k2, bits2 in last:
+                        least = min(bits.bit_count(), bits2.bit_count())
+                        if p2 == p and k2 != k and (bits & bits2).bit_count() >= least - (MISSING - (least <= SHORT)):
+                            rows.append((min(k, k2), max(k, k2)))
+                    last = [*last[-NEIGHBOURS + 1 :], (p, k, bits)]
                 yield pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
-        return placed.repartitionByRange("p", "t").sortWithinPartitions("p", "t").select("p", "k").mapInPandas(batches, "a long, b long")
+        return placed.repartitionByRange("p", "t").sortWithinPartitions("p", "t").select("p", "k", "bits").mapInPandas(batches, "a long, b long")
 
     # --- persisted runs ---
 
