@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import table
 
-from . import articles, boilerplate, distinctive, history, leakage, quality, survivors, tokenizing
+from . import articles, boilerplate, distinctive, history, leakage, quality, residue, survivors, tokenizing
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def p2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.main_text(table(spark, sf_dir, "articles"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "articles"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeats(table(spark, sf_dir, "tagged_signals"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_main_text": p2_main_text,
+    "p4_found": p4_found,
     "p7_found": p7_found,
     "p6_found": p6_found,
     "p6_scores": p6_scores,
