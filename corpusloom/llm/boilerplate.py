@@ -46,6 +46,7 @@ _LANGUAGES = {
 }
 _CUT = re.compile(r"\s[|·•›»/>→]\s|\s[–—]\s|\s{2,}|\t")
 _SOFT = re.compile(r"(?<=[^\W])[.,;]\s+|\s(?=[©¿])")
+_ANY = re.compile(_SOFT.pattern + "|" + _CUT.pattern)
 _TRAIL = re.compile(r"\s(?:>|»|/|›)\s")
 _LEAD = re.compile(r"^([^\W\d][^:→|·]{1,40}?)\s?(?:[:→]|\s[–—])\s+(?=\S)")
 _NUMBERED = re.compile(r"^(?:#\.){1,3}(?=\s)")
@@ -78,8 +79,10 @@ def lead_of(text: str, site: str | None) -> str | None:
 
 
 def is_prose(text: str) -> bool:
-    words = _WORD.findall(text.lower())
-    return len(words) >= 7 and bool(_ENDED.search(text.strip())) and sum(w in COMMON for w in words) >= 0.2 * len(words)
+    if not _ENDED.search(text[-12:].rstrip()):
+        return False
+    words = _WORD.findall(text[:240].lower())
+    return len(words) >= 7 and sum(w in COMMON for w in words) >= 0.2 * len(words)
 
 
 def title_like(text: str) -> bool:
@@ -90,7 +93,9 @@ def title_like(text: str) -> bool:
 
 
 def language_of(text: str) -> str:
-    seen = Counter(_WORD.findall(text.lower()))
+    """By the function words of the middle of the text."""
+    at = max(0, len(text) // 2 - 400)
+    seen = Counter(_WORD.findall(text[at : at + 800].lower()))
     return max(_LANGUAGES, key=lambda k: (sum(seen[w] for w in _LANGUAGES[k]), k == "en"))
 
 
@@ -107,7 +112,9 @@ def page_paths(text: str, site: str | None) -> dict[str, float]:
             continue
         found: list[str] = []
         prose = is_prose(s) and "©" not in s and not (site and site in s)
-        if len(s) <= LONGEST and not (prose and len(s) > 160):
+        if prose and len(s) > 160:
+            continue
+        if len(s) <= LONGEST:
             found.append(generalise(s, site))
             lead = lead_of(s, site)
             if lead:
@@ -181,13 +188,27 @@ class Extractor:
     def __init__(self, shared: dict[str, list[str]]):
         self.shared = {k: frozenset(v) for k, v in shared.items()}
         self.every = frozenset(p for v in shared.values() for p in v)
+        self.memo: dict[str | None, dict[str, bool]] = {}
 
     def wins(self, text: str, site: str | None, host: frozenset[str]) -> bool:
         g = generalise(text, site)
         return bool(g) and (g in host or g in self.every)
 
     def whole(self, s: str, site: str | None, host: frozenset[str], title: str | None) -> bool:
-        """Whether a line is made of winning paths."""
+        """Whether a line is made of winning paths. Short lines are remembered by host, unless the title may play a part."""
+        if len(s) > 160 and is_prose(s) and "©" not in s and not (site and site in s):
+            return False
+        if _TRAIL.search(s):
+            return self._whole(s, site, host, title)
+        known = self.memo.setdefault(site, {})
+        found = known.get(s)
+        if found is None:
+            found = self._whole(s, site, host, None)
+            if len(known) < 2_000:
+                known[s] = found
+        return found
+
+    def _whole(self, s: str, site: str | None, host: frozenset[str], title: str | None) -> bool:
         if self.wins(s, site, host):
             return not is_prose(s) or generalise(s, site) in host
         lead = lead_of(s, site)
@@ -202,7 +223,7 @@ class Extractor:
                 return True
             if won[0] and _TRAIL.search(s) and len(parts) <= 3:
                 return True
-        for split in (_SOFT, re.compile(_SOFT.pattern + "|" + _CUT.pattern)):
+        for split in (_SOFT, _ANY):
             soft = [p for p in split.split(s) if p and p.strip()]
             if len(soft) > 1 and sum(len(p) for p in soft if self.wins(p, site, host)) >= 0.6 * sum(map(len, soft)):
                 return True
@@ -216,7 +237,7 @@ class Extractor:
             s = line.strip()
             if not s:
                 kind.append("")
-            elif own and generalise(s, site) == own:
+            elif own and len(s) <= 2 * len(title) + 20 and generalise(s, site) == own:
                 kind.append("own")
             elif self.whole(s, site, host, title):
                 kind.append("won")
@@ -287,6 +308,8 @@ def learn_headings(articles: DataFrame, hosts: DataFrame, shared: dict[str, list
                 host = frozenset(paths) if paths is not None else frozenset()
                 lines = [x.strip() for x in text.split("\n") if x.strip()]
                 for a, b in zip(lines, lines[1:], strict=False):
+                    if len(a) > 60:
+                        continue
                     g = generalise(a, site)
                     if len(g) <= 40 and (g in host or g in tool.every) and not parts_of(a)[1:]:
                         lead = lead_of(b, site)
