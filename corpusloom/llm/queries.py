@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.runtime import table
 
-from . import articles, boilerplate, distinctive, history, leakage, quality, residue, survivors, tokenizing
+from . import articles, boilerplate, clusters, distinctive, history, leakage, quality, residue, survivors, tokenizing
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,15 @@ def p2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boilerplate.main_text(table(spark, sf_dir, "articles"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clusters(table(spark, sf_dir, "corpus"))
+
+
+def p3_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cluster's size and three most typical records."""
+    return clusters.described(table(spark, sf_dir, "corpus"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "articles"))
 
@@ -71,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p2_found": p2_found,
     "p2_main_text": p2_main_text,
+    "p3_found": p3_found,
+    "p3_clusters": p3_clusters,
     "p4_found": p4_found,
     "p7_found": p7_found,
     "p6_found": p6_found,
