@@ -103,32 +103,40 @@ def parts_of(line: str) -> list[str]:
     return [p for p in _CUT.split(line) if p and p.strip()]
 
 
-def page_paths(text: str, site: str | None) -> dict[str, float]:
-    """Path to score (1 with a cue word, else 0) of a page's containers; long prose is no container."""
+def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
+    """The paths of one stripped line, with their scores; long prose is no container."""
+    prose = is_prose(s) and "©" not in s and not (site and site in s)
+    if prose and len(s) > 160:
+        return []
+    found: list[str] = []
+    if len(s) <= LONGEST:
+        found.append(generalise(s, site))
+        lead = lead_of(s, site)
+        if lead:
+            found.append(lead)
+    parts = parts_of(s)
+    if len(parts) > 1:
+        found += [generalise(p, site) for p in parts]
+    elif len(s) <= 2 * LONGEST and not prose:
+        soft = _SOFT.split(s)
+        if 1 < len(soft) <= 12:
+            found += [generalise(p, site) for p in soft if len(p) <= 120]
+    return [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
+
+
+def page_paths(text: str, site: str | None, seen: dict[tuple[str | None, str], list] | None = None) -> dict[str, float]:
+    """Path to score (1 with a cue word, else 0) of a page's containers. ``seen`` remembers lines of a host."""
     out: dict[str, float] = {}
     for line in text.split("\n"):
         s = line.strip()
         if not s:
             continue
-        found: list[str] = []
-        prose = is_prose(s) and "©" not in s and not (site and site in s)
-        if prose and len(s) > 160:
-            continue
-        if len(s) <= LONGEST:
-            found.append(generalise(s, site))
-            lead = lead_of(s, site)
-            if lead:
-                found.append(lead)
-        parts = parts_of(s)
-        if len(parts) > 1:
-            found += [generalise(p, site) for p in parts]
-        elif len(s) <= 2 * LONGEST and not prose:
-            soft = _SOFT.split(s)
-            if 1 < len(soft) <= 12:
-                found += [generalise(p, site) for p in soft if len(p) <= 120]
-        for g in found:
-            if g:
-                out[g] = float(not prose and bool(CUES.search(g)))
+        found = seen.get((site, s)) if seen is not None else None
+        if found is None:
+            found = line_paths(s, site)
+            if seen is not None and len(s) <= LONGEST and len(seen) < 100_000:
+                seen[(site, s)] = found
+        out.update(found)
     return out
 
 
@@ -143,11 +151,12 @@ def votes(articles: DataFrame) -> DataFrame:
     """(site, language, path, cued, title): the paths of each voting page, and of its title with ``title`` true."""
 
     def batches(frames):
+        seen: dict[tuple[str | None, str], list] = {}
         for pdf in frames:
             rows = []
             for site, title, text in zip(pdf["site"], pdf["title"], pdf["text"], strict=True):
                 lang = language_of(text)
-                rows += [(site, lang, g, c, False) for g, c in page_paths(text, site).items()]
+                rows += [(site, lang, g, c, False) for g, c in page_paths(text, site, seen).items()]
                 rows.append((site, lang, "", 0.0, False))
                 if title:
                     rows += [(site, lang, g, 0.0, True) for g in {generalise(title, site), lead_of(title, site)} if g]
@@ -189,6 +198,14 @@ class Extractor:
         self.shared = {k: frozenset(v) for k, v in shared.items()}
         self.every = frozenset(p for v in shared.values() for p in v)
         self.memo: dict[str | None, dict[str, bool]] = {}
+        self.sets: dict[str | None, frozenset[str]] = {}
+
+    def host(self, site: str | None, paths) -> frozenset[str]:
+        """A host's winning paths as a set, made once."""
+        found = self.sets.get(site)
+        if found is None:
+            found = self.sets[site] = frozenset(paths) if paths is not None else frozenset()
+        return found
 
     def wins(self, text: str, site: str | None, host: frozenset[str]) -> bool:
         g = generalise(text, site)
@@ -237,7 +254,7 @@ class Extractor:
             s = line.strip()
             if not s:
                 kind.append("")
-            elif own and len(s) <= 2 * len(title) + 20 and generalise(s, site) == own:
+            elif own and s[:1].lower() == own[:1] and len(s) <= 2 * len(title) + 20 and generalise(s, site) == own:
                 kind.append("own")
             elif self.whole(s, site, host, title):
                 kind.append("won")
@@ -305,7 +322,7 @@ def learn_headings(articles: DataFrame, hosts: DataFrame, shared: dict[str, list
         for pdf in frames:
             seen: Counter = Counter()
             for site, title, text, paths in zip(pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
-                host = frozenset(paths) if paths is not None else frozenset()
+                host = tool.host(site, paths)
                 lines = [x.strip() for x in text.split("\n") if x.strip()]
                 for a, b in zip(lines, lines[1:], strict=False):
                     if len(a) > 60:
@@ -344,7 +361,7 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
         for pdf in frames:
             rows = []
             for aid, site, title, text, paths in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
-                host = frozenset(paths) if paths is not None else frozenset()
+                host = e.host(site, paths)
                 rows += [("text", aid, i) for i in e.lines(text, site, title, host)]
             yield pd.DataFrame(rows, columns=["field_name", "row_id", "line_no"])
 
@@ -359,7 +376,7 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
         for pdf in frames:
             rows = []
             for aid, site, title, text, paths, context in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], pdf["context"], strict=True):
-                host = frozenset(paths) if paths is not None else frozenset()
+                host = e.host(site, paths)
                 lines = text.split("\n") if text else []
                 won = set(e.lines(text, site, title, host)) if text else set()
                 for c in context:
