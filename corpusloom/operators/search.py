@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import or_else, query_terms, word_match, words
+from corpusloom.runtime import broadcast_if_small
 
 #: Weights of the fields: fixed values.
 WEIGHTS = {"title": 3.0, "summary": 2.0, "novelty_note": 2.0, "cross_substrate_notes": 1.0, "category": 2.0, "source": 1.0, "recommended_substrate": 1.0, "need": 1.0}
@@ -80,28 +79,43 @@ def boosts(parents: Column, runs: Column) -> Column:
     )
 
 
-def _matcher(term: str):
-    return lambda word: word_match(word, F.lit(term))
+def _field_words(corpus: DataFrame) -> DataFrame:
+    """(ord, field_weight, word): every word of the weighted fields, from one scan."""
+    weighted = [F.transform(words(F.col(f)), _weigh(w)) for f, w in WEIGHTS.items()]
+    exploded = corpus.select("ord", F.explode(F.flatten(F.array(*weighted))).alias("_t"))
+    return exploded.select("ord", F.col("_t.field_weight").alias("field_weight"), F.col("_t.word").alias("word"))
+
+
+def _weigh(weight: float):
+    return lambda word: F.struct(F.lit(weight).alias("field_weight"), word.alias("word"))
+
+
+def _block(c: str) -> Column:
+    """Words that match without being equal share their first four letters; shorter ones match only themselves."""
+    return F.substring(c, 1, 4)
+
+
+def search_many(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query, ord, score) for a table of (query, term, weight, parent), by a blocked join of words and terms.
+
+    An equi-join on the first four letters finds every match; nothing but matches is shuffled where the terms are few
+    enough to be broadcast, which is counted first.
+    """
+    wanted = broadcast_if_small(queries.withColumn("block", _block("term")))
+    hit = _field_words(corpus).withColumn("block", _block("word")).join(wanted, "block").where(word_match(F.col("word"), F.col("term")))
+    sums = hit.groupBy("query", "ord").agg(F.sum(F.col("field_weight") * F.col("weight")).alias("total"), F.count_distinct("parent").alias("parents"))
+    rows = corpus.select("ord", "tier", "_runs", "_first_seen").crossJoin(F.broadcast(runs_of(corpus)))  # one row
+    return sums.join(rows, "ord").select("query", "ord", (F.col("total") * boosts(F.col("parents"), F.col("runs"))).alias("score"))
 
 
 def scored(corpus: DataFrame, query: str, synonyms: dict[str, list[str]] | None = None) -> DataFrame:
-    """The corpus with ``score``; rows that match nothing have 0. One projection, no shuffle but the runs' array."""
+    """The corpus with ``score``; rows that match nothing have 0. Typed duplicates add to the score, not to the breadth."""
     wanted = expand(query_terms(query), SYNONYMS if synonyms is None else synonyms)
     if not wanted:
         return corpus.withColumn("score", F.lit(0.0))
-    parts, hits = [], {p: [] for _, _, p in wanted}
-    base = corpus
-    for f in WEIGHTS:
-        base = base.withColumn(f"_w_{f}", words(F.col(f)))
-    for f, w in WEIGHTS.items():
-        for term, tw, parent in wanted:
-            n = F.size(F.filter(F.col(f"_w_{f}"), _matcher(term)))
-            parts.append(n * F.lit(w * tw))
-            hits[parent].append(n > 0)
-    total = reduce(lambda a, b: a + b, parts)
-    breadth = reduce(lambda a, b: a + b, [F.when(reduce(lambda a, b: a | b, h), 1).otherwise(0) for h in hits.values()])
-    with_runs = base.crossJoin(F.broadcast(runs_of(corpus)))  # one row
-    return with_runs.withColumn("score", F.when(total == 0, F.lit(0.0)).otherwise(total * boosts(breadth, F.col("runs")))).drop("runs", *[f"_w_{f}" for f in WEIGHTS])
+    terms = corpus.sparkSession.createDataFrame([("", *w) for w in wanted], "query string, term string, weight double, parent string")
+    found = search_many(corpus, terms).select("ord", F.col("score").alias("_score"))
+    return corpus.join(found, "ord", "left").withColumn("score", F.coalesce("_score", F.lit(0.0))).drop("_score")
 
 
 def search(corpus: DataFrame, query: str, limit: int = 25, exclude: list[str] | None = None, synonyms: dict[str, list[str]] | None = None) -> DataFrame:
@@ -112,23 +126,6 @@ def search(corpus: DataFrame, query: str, limit: int = 25, exclude: list[str] |
     return found.orderBy(F.desc("score"), F.desc(F.size("_runs")), "ord").limit(limit)
 
 
-def search_many(corpus: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, ord, score) for a table of (query, term, weight, parent), by a blocked join of words and terms.
-
-    Words that match without being equal share their first four letters, so an equi-join on these, and on the whole of
-    shorter words, finds every match; counts combine before they are joined with the rows' boosts.
-    """
-    field_words = [corpus.select("ord", F.lit(w).alias("field_weight"), F.explode(words(F.col(f))).alias("word")) for f, w in WEIGHTS.items()]
-    counted = reduce(DataFrame.union, field_words).groupBy("ord", "field_weight", "word").agg(F.count(F.lit(1)).alias("n"))
-    block = F.when(F.length("word") >= 4, F.substring("word", 1, 4)).otherwise(F.col("word"))
-    keyed = counted.withColumn("block", block)
-    wanted = queries.withColumn("block", F.when(F.length("term") >= 4, F.substring("term", 1, 4)).otherwise(F.col("term")))
-    hit = keyed.join(wanted, "block").where(word_match(F.col("word"), F.col("term")))
-    sums = hit.groupBy("query", "ord").agg(F.sum(F.col("field_weight") * F.col("weight") * F.col("n")).alias("total"), F.count_distinct("parent").alias("parents"))
-    rows = corpus.select("ord", "tier", "_runs", "_first_seen").crossJoin(F.broadcast(runs_of(corpus)))  # one row
-    return sums.join(rows, "ord").select("query", "ord", (F.col("total") * boosts(F.col("parents"), F.col("runs"))).alias("score"))
-
-
 def browse(corpus: DataFrame, column: str, default: str | None) -> DataFrame:
     """(value, n) of a column; without a default, null is a value."""
     value = F.col(column) if default is None else or_else(F.col(column), F.lit(default))

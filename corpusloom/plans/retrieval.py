@@ -248,7 +248,7 @@ def scrape_summary(spark, sf):
     return a.crossJoin(table(spark, sf, "article_images").agg(F.count(F.lit(1)).alias("images"))).select("articles", "ok", "images", "failed")  # one row each
 
 
-@query("SELECT need, category, count(*) AS n FROM corpus WHERE need IS NOT NULL AND category IS NOT NULL GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY need ORDER BY n DESC, category) = 1")
+@query("SELECT * FROM (SELECT need, category, count(*) AS n FROM corpus WHERE need IS NOT NULL AND category IS NOT NULL GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY need ORDER BY n DESC, category) = 1")
 def dominant_category(spark, sf):
     """The leading category of each need; extension."""
     n = corpus(spark, sf).where("need is not null and category is not null").groupBy("need", "category").agg(F.count(F.lit(1)).alias("n"))
