@@ -5,7 +5,7 @@ word, then the others in that order. The permutations of all texts, sorted, are
 entry is looked up by the range of entries that share a prefix of its permutation, starting with the longest and
 widened, word by word, to the shortest one whose range holds at most ``BUCKET`` entries. Where that is one word,
 all texts that share the word are found, so a pair of texts is found for certain if they share a word that few
-texts of the group have; that is the recall target. Ranges that are still too full at ``DEPTH`` words are walked in
+texts of the group have; that is the recall target. (A slip in the only rare word of a text is not found this way.) Ranges that are still too full at ``DEPTH`` words are walked in
 order of their texts: every entry meets its next neighbours and the range's most frequent text.
 """
 
