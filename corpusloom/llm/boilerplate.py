@@ -148,29 +148,33 @@ def _voters(articles: DataFrame) -> DataFrame:
 
 
 def votes(articles: DataFrame) -> DataFrame:
-    """(site, language, path, cued, title): the paths of each voting page, and of its title with ``title`` true."""
+    """(site, language, path, cued, n, titles): voting pages with a path, and titles that have it, added up by batch.
+
+    The empty path counts the pages themselves.
+    """
 
     def batches(frames):
         seen: dict[tuple[str | None, str], list] = {}
         for pdf in frames:
-            rows = []
+            pages, titles, cued = Counter(), Counter(), {}
             for site, title, text in zip(pdf["site"], pdf["title"], pdf["text"], strict=True):
                 lang = language_of(text)
-                rows += [(site, lang, g, c, False) for g, c in page_paths(text, site, seen).items()]
-                rows.append((site, lang, "", 0.0, False))
+                pages[(site, lang, "")] += 1
+                for g, c in page_paths(text, site, seen).items():
+                    pages[(site, lang, g)] += 1
+                    if c:
+                        cued[g] = c
                 if title:
-                    rows += [(site, lang, g, 0.0, True) for g in {generalise(title, site), lead_of(title, site)} if g]
-            yield pd.DataFrame(rows, columns=["site", "language", "path", "cued", "title"])
+                    titles.update((site, lang, g) for g in {generalise(title, site), lead_of(title, site)} if g)
+            rows = [(*k, cued.get(k[2], 0.0), pages[k], titles[k]) for k in pages.keys() | titles.keys()]
+            yield pd.DataFrame(rows, columns=["site", "language", "path", "cued", "n", "titles"])
 
-    return _voters(articles).mapInPandas(batches, "site string, language string, path string, cued double, title boolean")
+    return _voters(articles).mapInPandas(batches, "site string, language string, path string, cued double, n long, titles long")
 
 
 def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
     """(site, paths) of the hosts, and the winning paths by language."""
-    cast = persisted(votes(articles), "boilerplate-votes")
-    tally = persisted(
-        cast.groupBy("site", "language", "path").agg(F.count_if(~F.col("title")).alias("n"), F.count_if("title").alias("titles"), F.max("cued").alias("cued")), "boilerplate-tally"
-    )
+    tally = persisted(votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued")), "boilerplate-tally")
     by_language = tally.groupBy("language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"), F.count(F.when(F.col("n") > 0, 1)).alias("sites"))
     whole = {r.language: r.n for r in by_language.where("path = ''").toLocalIterator()}
     size = F.create_map(*[x for k, v in whole.items() for x in (F.lit(k), F.lit(v))]) if whole else F.create_map()
@@ -360,36 +364,28 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
         e = tool()
         for pdf in frames:
             rows = []
-            for aid, site, title, text, paths in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
+            for aid, site, title, text, paths, contexts in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], pdf["contexts"], strict=True):
                 host = e.host(site, paths)
-                rows += [("text", aid, i) for i in e.lines(text, site, title, host)]
-            yield pd.DataFrame(rows, columns=["field_name", "row_id", "line_no"])
-
-    schema = "field_name string, row_id long, line_no long"
-    placed = pages.join(hosts, "site", "left")
-    out = placed.where("text is not null and trim(text) <> ''").select("article_id", "site", "title", "text", "paths").mapInPandas(batches, schema)
+                won = e.lines(text, site, title, host) if text else []
+                rows += [("text", aid, i, None) for i in won]
+                if contexts is not None and len(contexts):
+                    lines, bad = text.split("\n") if text else [], set(won)
+                    rows += [("context", aid, 0, c) for c in contexts if e.context(c, lines, bad, site, title, host)]
+            yield pd.DataFrame(rows, columns=["field_name", "row_id", "line_no", "context"])
+
+    schema = "field_name string, row_id long, line_no long, context string"
+    placed = pages.join(hosts, "site", "left").select("article_id", "site", "title", "text", "paths")
+    filled = "text is not null and trim(text) <> ''"
     if images is None:
-        return out
-
-    def contexts(frames):
-        e = tool()
-        for pdf in frames:
-            rows = []
-            for aid, site, title, text, paths, context in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], pdf["context"], strict=True):
-                host = e.host(site, paths)
-                lines = text.split("\n") if text else []
-                won = set(e.lines(text, site, title, host)) if text else set()
-                for c in context:
-                    if e.context(c, lines, won, site, title, host):
-                        rows.append((aid, c))
-            yield pd.DataFrame(rows, columns=["article_id", "context"])
-
+        alone = placed.where(filled).withColumn("contexts", F.lit(None).cast("array<string>"))
+        return alone.mapInPandas(batches, schema).select("field_name", "row_id", "line_no")
     with_context = images.where("context is not null and trim(context) <> ''").select("image_id", "article_id", "context")
     # a page's different contexts; each is at most 200 characters, and there are as many as the page has places
-    distinct = with_context.select("article_id", "context").distinct().groupBy("article_id").agg(F.collect_list("context").alias("context"))
-    bad = distinct.join(placed, "article_id", "left").select("article_id", "site", "title", "text", "paths", "context").mapInPandas(contexts, "article_id long, context string")
+    distinct = with_context.select("article_id", "context").distinct().groupBy("article_id").agg(F.collect_list("context").alias("contexts"))
+    told = persisted(placed.where(filled).join(distinct, "article_id", "left").union(placed.where(f"not coalesce({filled}, false)").join(distinct, "article_id").select("article_id", "site", "title", "text", "paths", "contexts")).mapInPandas(batches, schema), "boilerplate-told")
+    bad = told.where("field_name = 'context'").select(F.col("row_id").alias("article_id"), "context")
     found = with_context.join(bad, ["article_id", "context"], "left_semi")
-    return out.union(found.select(F.lit("context"), F.col("image_id"), F.lit(0).cast("long")))
+    return told.where("field_name = 'text'").select("field_name", "row_id", "line_no").union(found.select(F.lit("context"), "image_id", F.lit(0).cast("long")))
 
 
 def main_text(articles: DataFrame) -> DataFrame:
