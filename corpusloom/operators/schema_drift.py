@@ -304,13 +304,14 @@ def consistent_table(raw: DataFrame, fields: list[str] | None = None) -> DataFra
 
     Every value is cast to text (booleans as true/false, arrays as JSON), the one type all files' values fit.
     Unreadable payloads give nulls in every field and ``readable`` false; where two old names of one record lead to one
-    consistent name, the first non-null in the order of the names stands. Columns of ``raw`` never clash with ``f_``.
+    consistent name, the first non-null in the order of the names stands. Own columns of these names give way.
     """
     profiled = persisted(profiles(raw), "profiles")
     named = canonical_names(changes(raw, profiled), profiled, side_by_side(profiled))
     targets = sorted(set(named.values())) if fields is None else fields
     place = {n: i for i, n in enumerate(targets)}
-    keep = [c for c in raw.columns if c != "payload"]
+    named_out = {"payload", "readable", *[f"f_{t.replace('.', '_')}" for t in targets]}
+    keep = [c for c in raw.columns if c not in named_out]
 
     def batches(frames):
         for pdf in frames:
@@ -326,6 +327,6 @@ def consistent_table(raw: DataFrame, fields: list[str] | None = None) -> DataFra
             made = pd.DataFrame(rows, columns=[f"f_{t.replace('.', '_')}" for t in targets], index=pdf.index, dtype=object)
             yield pd.concat([pdf[keep], pd.Series(readable, index=pdf.index, name="readable", dtype=bool), made], axis=1)
 
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields if f.name != "payload")
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields if f.name in keep)
     schema = ", ".join(x for x in (own, "readable boolean", *[f"`f_{t.replace('.', '_')}` string" for t in targets]) if x)
     return raw.mapInPandas(batches, schema)
