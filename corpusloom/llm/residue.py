@@ -143,7 +143,7 @@ def train(rows: list[tuple[np.ndarray, float, float, bool]], rounds: int = 120,
     """Logistic regression by full-batch AdaGrad. Rows: features, label, weight, whether the host is held out."""
     fit = [r for r in rows if not r[3]]
     index = np.concatenate([r[0] for r in fit]) if fit else np.empty(0, np.int64)
-    size = np.array([len(r[0]) for r in fit])
+    size = np.array([len(r[0]) for r in fit], np.int64)
     row = np.repeat(np.arange(len(fit)), size)
     scale = np.repeat(1 / np.sqrt(np.maximum(size, 1)), size)
     y, w = np.array([r[1] for r in fit]), np.array([r[2] for r in fit])
