@@ -21,7 +21,7 @@ from pyspark.sql.types import BooleanType
 from corpusloom.operators.graph import connected_components
 from corpusloom.runtime import broadcast_if_small, persisted
 
-from . import hashforest
+from . import hashforest, nearby
 
 _TRACKING = re.compile(r"^(?:utm_.*|ref|ref_src|source|share|amp|fbclid|gclid|mc_[a-z]+|campaign|cmp|igshid|s|from|output|print)$")
 _HOST_PREFIX = re.compile(r"^(?:www\d?|m|mobile|amp)\.(?=[^.]+\.)")
@@ -170,11 +170,11 @@ def _hashed(kind: str, *columns: str) -> Column:
     return F.when(present, F.xxhash64(F.lit(kind), *columns))
 
 
-def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = None) -> DataFrame:
+def article_labels(signals: DataFrame) -> DataFrame:
     """(row_id, class): records of the same article have the same class.
 
     Exact copies and records with the same words are one class by their key, before any join; classes are linked
-    where the hash forest finds titles that are the same apart from editing, where a page carries such titles
+    where ``nearby`` finds titles of a publisher that are the same apart from editing, where a page carries such titles
     loosely, and where a record without url has the id of another. Only links between different classes enter the
     connected components, so a group of a third of all rows is one node there. Strings are replaced by 64-bit keys
     before anything is shuffled, except for one row of each different title.
@@ -200,8 +200,7 @@ def article_labels(signals: DataFrame, forest: hashforest.HashForest | None = No
         two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
         return pairs.join(one, "a").join(two, "b")
 
-    forest = forest or hashforest.HashForest()
-    pairs = with_words(forest.candidates(subjects, "publisher", "words", "title", "n"))
+    pairs = with_words(nearby.near_pairs(subjects, "publisher", "words", "title"))
     links = pairs.where(_same("words_a", "words_b")).select("a", "b")
 
     # what a page carries

@@ -1,0 +1,73 @@
+"""Pairs of short texts that are the same apart from slips and additions, all of them.
+
+Texts are compared by their rarest words and the words one slip away from these, so the search is exact and its work
+follows the number of texts with a rare word in common.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.runtime import broadcast_if_small, persisted
+
+from .hashforest import MISSING, SHORT
+
+#: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
+BUCKET = 64
+
+
+def near_pairs(entries: DataFrame, group: str, text: str, key: str, lenient: bool = False, bucket: int = BUCKET) -> DataFrame:
+    """(a, b), a < b: every pair of entries of a group that ``articles.same_title`` can call the same.
+
+    Such a pair has the same numbers, and each word of the shorter text stands in the longer one, at most one slip
+    away (``lenient``: all but two words). So it is enough to look up the shorter text's rarest word (its three
+    rarest), as it stands and with its near words, among all texts that have one of these. Where more than ``bucket``
+    texts have one, the two rarest words are looked up together. No range is cut.
+    """
+    words = F.split(text, " ")
+    number = lambda w: w.rlike("^[0-9]+$")
+    numbers = F.array_join(F.filter(words, lambda w: number(w) & ~w.rlike("^(19|20)[0-9][0-9]$")), " ")
+    named = entries.select(F.col(key).alias("k"), F.xxhash64(F.col(group), numbers).alias("g"), F.size(words).alias("n"), F.array_distinct(words).alias("_w"))
+    hashes = F.transform("_w", lambda w: F.xxhash64("g", w))
+    bits = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
+    posts = named.withColumn("bits", bits).select("g", "k", F.struct("n", "bits").alias("e"), F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
+    posts = persisted(posts.select("w", "g", "k", "e", "word"), "near-posts")
+    texts = persisted(posts.groupBy("g", "w").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "near-words")
+    posts = posts.select("w", "g", "k", "e")
+
+    # words one slip apart share what is left of them without one letter: as many words a key as the alphabet allows
+    cut = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.concat(F.substring(F.col("word"), F.lit(1), i - 1), F.substring(F.col("word"), i + 1, F.length("word"))))
+    keys = texts.where((F.length("word") >= 3) & ~number(F.col("word"))).select("w", "df", F.explode(F.array_distinct(F.array_append(cut, F.col("word")))).alias("_c"), "g")
+    shared = keys.groupBy(F.xxhash64("g", "_c").alias("_c")).agg(F.collect_list(F.struct("w", "df")).alias("ws")).where(F.size("ws") > 1)
+    near = shared.select(F.explode("ws").alias("x"), "ws").select(F.col("x.w").alias("w"), F.explode("ws").alias("y")).select("w", F.col("y.w").alias("v"), "y.df").where("w <> v").distinct()
+    near = persisted(near, "near-near")
+    frequency = near.groupBy("w").agg(F.sum("df").alias("more"))
+    known = texts.select("w", "df").join(frequency, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
+
+    # a text is looked up by its rarest words; a word that no other text has, or nearly has, finds nothing
+    ranked = posts.join(known, "w").groupBy("g", "k").agg(F.first("e").alias("e"), F.slice(F.array_sort(F.collect_list(F.struct("nd", "w"))), 1, 3 if lenient else 2).alias("r"))
+    if lenient:
+        asked = ranked.withColumn("x", F.explode(F.slice("r", 1, F.least(F.lit(3), F.expr("e.n div 2") + 1).cast("int")))).where("x.nd > 1").select("g", "k", "e", F.col("x.w").alias("w"))
+        paired = None
+    else:
+        asked = persisted(ranked.where("r[0].nd > 1").select("g", "k", "e", F.col("r")[0]["w"].alias("w"), F.get("r", F.lit(1))["w"].alias("w2"), F.col("r")[0]["nd"].alias("nd")), "near-asked")
+        many = (F.col("nd") > bucket) & F.col("w2").isNotNull()
+        paired, asked = asked.where(many), asked.where(~many)
+    either = near.select("w", "v").union(texts.select("w", F.col("w").alias("v")))
+
+    def found(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        pairs = left.alias("l").join(right.alias("r"), on).where("l.k <> r.k and l.e.n <= r.e.n")
+        missing = F.bit_count(F.col("l.e.bits").bitwiseAND(F.bitwise_not(F.col("r.e.bits"))))
+        allowed = F.when(F.col("l.e.n") <= SHORT, MISSING - 1).otherwise(MISSING) + (2 if lenient else 0)
+        return pairs.where(missing <= allowed).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b"))
+
+    out = found(broadcast_if_small(asked.join(either, "w").select(F.col("v").alias("w"), "k", "e")), posts.select("w", "k", "e"), ["w"])
+    if paired is not None and not paired.isEmpty():
+        one = paired.join(either, "w").select("g", "k", "e", F.col("v").alias("v1"), "w2")
+        two = either.select(F.col("w").alias("w2"), F.col("v").alias("v2"))
+        both = persisted(one.join(two, "w2").select("k", "e", "v1", "v2"), "near-both")
+        full = posts.select(F.col("w").alias("v1"), "g", "k", "e").join(both.select("v1").distinct(), "v1", "left_semi")
+        beside = full.join(posts.select("g", "k", F.col("w").alias("v2")), ["g", "k"])
+        out = out.union(found(both, beside.select("v1", "v2", "k", "e"), ["v1", "v2"]))
+    return out.distinct()

@@ -1,7 +1,9 @@
+import random
+
 import pytest
 
 from corpusloom.llm import articles as A
-from corpusloom.llm import history, survivors
+from corpusloom.llm import history, nearby, survivors
 from corpusloom.llm.hashforest import HashForest
 
 SIGNALS = "row_id long, file_name string, run_date string, id string, source string, category string, tier string, title string, url string, extra string"
@@ -127,3 +129,37 @@ def test_survivors(spark):
     slow = survivors.survivors(df, "g", "row_id", "run_date", usable, "source", spark.createDataFrame([("s", 5.0)], "source string, weight double"), half_life_days=3650)
     assert {r.g: r.category for r in slow.collect()}["g"] in ("art", "film", "music")
     assert survivors.survivors(df.limit(0), "g", "row_id", "run_date", usable).count() == 0
+
+
+def brute(rows, lenient=False):
+    same = lambda a, b: A.same_title(a.split(), b.split(), lenient)
+    return {(a, b) for a, g, x in rows for b, h, y in rows if a < b and g == h and same(x, y)}
+
+
+def verified(spark, rows, **options):
+    text = {k: t.split() for k, _, t in rows}
+    pairs = {(r.a, r.b) for r in nearby.near_pairs(spark.createDataFrame(rows, "k long, g string, t string"), "g", "t", "k", **options).collect()}
+    return {(a, b) for a, b in pairs if A.same_title(text[a], text[b], options.get("lenient", False))}
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket": 2}, {"lenient": True}])
+def test_near_pairs_equal_brute_force_on_a_hot_source(spark, options):
+    rng = random.Random(7)
+    common = ["the", "quiet", "lens", "echo", "room", "notes", "studio", "visit", "of", "2026", "5", "6"]
+    slip = lambda w: (w[:2] + w[3:], w[:1] + "q" + w[1:], w[:1] + w[2] + w[1] + w[3:], w[:-1] + "x")[rng.randrange(4)]
+    rows = []
+    for i in range(250):
+        name = "".join(rng.choice("bdklmnrst") + rng.choice("aiou") for _ in range(3))
+        words = rng.sample(common, rng.randrange(1, 6)) + [name] * (i % 5 > 0)
+        rng.shuffle(words)
+        edited = [slip(w) if w == name or (len(w) > 3 and rng.random() < 0.2 and not w.isdigit()) else w for w in words] + rng.sample(common[:9], rng.randrange(3))
+        rows += [(2 * i, "hot" if i % 9 else "z", " ".join(words)), (2 * i + 1, "hot" if i % 9 else "z", " ".join(edited))]
+    want = brute(rows, options.get("lenient", False))
+    assert verified(spark, rows, **options) == want and len(want) > 200
+
+
+def test_a_slip_in_the_only_rare_word_is_found_in_a_full_source(spark):
+    rng = random.Random(3)
+    names = ["".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5)) for _ in range(60)]
+    rows = [rec(i + 1, f"Studio visit with the {n}", f"{U}{i}") for i, n in enumerate(names)] + [rec(999, f"Studio visit with the {names[30][:-1]}", "https://q.example/other")]
+    assert {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()} == {(31, 999)}
