@@ -158,7 +158,7 @@ def _same_on_page(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_title(x.split(), y.split(), lenient=True) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-#: Pages with more different titles than this are root or column pages: their titles are compared like any others.
+#: Of pages with more different titles than this, titles are looked up by their rarest words, not all compared.
 PAGE_TITLES = 50
 
 
@@ -208,9 +208,14 @@ def article_labels(signals: DataFrame) -> DataFrame:
         keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named")), "article-marked"
     )
     per_page = persisted(marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("slug").alias("slug")), "article-pages")
-    shared = per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) & (F.col("n") <= PAGE_TITLES)).select("page")
-    beside = per_page.join(shared, "page").select("page", "named")
-    loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b").distinct()
+    shared = persisted(per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "article-shared")
+    beside = per_page.join(shared.where(F.col("n") <= PAGE_TITLES), "page").select("page", "named")
+    loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b")
+    crowded = shared.where(F.col("n") > PAGE_TITLES)
+    if not crowded.isEmpty():
+        entries = per_page.join(crowded, "page").join(texts, F.col("named") == F.col("title")).select("page", "named", "words")
+        loose = loose.union(nearby.near_pairs(entries, "page", "words", "named", lenient=True))
+    loose = loose.distinct()
     loose = with_words(loose).where(_same_on_page("words_a", "words_b")).select("a", "b")
     linked = persisted(connected_components(links.union(loose)), "article-links")
 

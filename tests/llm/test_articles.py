@@ -163,3 +163,12 @@ def test_a_slip_in_the_only_rare_word_is_found_in_a_full_source(spark):
     names = ["".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5)) for _ in range(60)]
     rows = [rec(i + 1, f"Studio visit with the {n}", f"{U}{i}") for i, n in enumerate(names)] + [rec(999, f"Studio visit with the {names[30][:-1]}", "https://q.example/other")]
     assert {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()} == {(31, 999)}
+
+
+def test_a_crowded_page_is_compared_as_loosely_as_others(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(5))
+    titles = [" ".join(word() for _ in range(6)) for _ in range(A.PAGE_TITLES + 10)]
+    edited = " ".join([*titles[7].split()[:4], word(), word()])
+    rows = [rec(i + 1, t, U + "hot") for i, t in enumerate([*titles, edited])]
+    assert {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()} == {(8, len(rows))}
