@@ -130,7 +130,7 @@ def variant_overlap(spark, sf):
 def extract_images(spark, sf):
     """Images out of HTML pages that are built from the tables, by the parser."""
     a = table(spark, sf, "articles").select("article_id", "url", "title", "text")
-    i = table(spark, sf, "article_images").groupBy("article_id").agg(F.array_join(F.slice(F.array_sort(F.collect_list(F.concat(F.lit('<figure><img src="'), F.coalesce("image_url", F.lit("")), F.lit('"><figcaption>'), F.coalesce("caption", F.lit("")), F.lit("</figcaption></figure>")))), 1, 500), "").alias("pics"))
+    i = table(spark, sf, "article_images").groupBy("article_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('<figure><img src="'), F.coalesce("image_url", F.lit("")), F.lit('"><figcaption>'), F.coalesce("caption", F.lit("")), F.lit("</figcaption></figure>")))), "").alias("pics"))
     html = F.concat(F.lit("<html><nav><img src='/n.jpg'></nav><article><h1>"), F.coalesce("title", F.lit("")), F.lit("</h1><p>"), F.coalesce("text", F.lit("")), F.lit("</p>"), F.coalesce("pics", F.lit("")), F.lit("</article></html>"))
     pages = a.where("url is not null").join(i, "article_id", "left").select("url", html.alias("html"))
     return G.extract(pages)[1]
