@@ -42,6 +42,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "articles"))
 
 
+def p4_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classifier's threshold, and its precision and recall on hosts it was not trained on."""
+    return residue.validation(table(spark, sf_dir, "articles"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeats(table(spark, sf_dir, "tagged_signals"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_clusters": p3_clusters,
     "p4_found": p4_found,
+    "p4_validation": p4_validation,
     "p7_found": p7_found,
     "p6_found": p6_found,
     "p6_scores": p6_scores,

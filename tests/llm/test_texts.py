@@ -184,3 +184,40 @@ def test_training_separates():
     rows = [(np.unique(rng.integers(0, 50, 8) + (1000 if i % 5 == 0 else 0)), float(i % 5 == 0), 1.0, i % 4 == 0) for i in range(400)]
     model = residue.train(rows)
     assert model.precision > 0.9 and model.recall > 0.9
+
+
+@pytest.mark.parametrize(
+    ("sentence", "message"),
+    [
+        ("404 people came to the opening.", False),
+        ("Forbidden love is the theme of the novel.", False),
+        ("Just a moment of silence opened the evening.", False),
+        ("Nothing here is new, and that is the point.", False),
+        ("This page requires patience.", False),
+        ("404", True),
+        ("Just a moment…", True),
+        ("This page requires JavaScript.", True),
+        ("500 – something went wrong on our side.", True),
+    ],
+)
+def test_phrase_labels_need_a_whole_message(sentence, message):
+    assert residue.begins_like_message(sentence) is message
+
+
+def test_scores_decide_not_phrases():
+    """A model without weights finds no message, whatever the phrase; a long sentence is read to its end."""
+    blank = residue.Classifier(np.zeros(residue.DIMENSIONS), -2.0, 0.5, 1.0, 1.0, 0)
+    assert not residue.Scorer(blank).is_message("403 Forbidden", frozenset())
+    rows = [(residue.features(s, "title0"), y, 1.0, False) for s, y in [("access denied by the server", 1.0), ("403 forbidden", 1.0), *[(f"the garden {w} keeps its wall", 0.0) for w in "abcdef"]] for _ in range(9)]
+    model = residue.train(rows)
+    assert residue.Scorer(model).is_message("403 Forbidden", frozenset())
+    long = " ".join(["the garden keeps its wall"] * 12)
+    scorer = residue.Scorer(residue.Classifier(model.weights, model.bias, 0.2, 1.0, 1.0, 0))
+    assert not scorer.is_message(long, frozenset()) and scorer.is_message(long + " access denied by the server access denied by the server access denied by the server access denied by the server", frozenset())
+
+
+def test_the_gate_keeps_precision():
+    held = [(0.95, True, 1.0), (0.8, True, 1.0), (0.75, True, 1.0), (0.7, False, 5.0), (0.6, True, 1.0)]
+    threshold, precision, recall = residue.gate(held)
+    assert (threshold, precision, recall) == (0.75, 1.0, 0.75)
+    assert residue.gate([])[0] == 0.5
