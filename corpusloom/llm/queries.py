@@ -12,11 +12,22 @@ from corpusloom.runtime import table
 from . import articles, boilerplate, clusters, distinctive, history, leakage, quality, residue, survivors, tokenizing
 
 
-def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     signals = table(spark, sf_dir, "tagged_signals")
-    labels = articles.article_labels(signals)
-    records = signals.select("row_id", "source", "category", "tier", "run_date").join(labels, "row_id")
-    best = survivors.survivors(records, "class", "row_id", "run_date", {"category": table(spark, sf_dir, "sources").select("category"), "tier": ["core", "extended"]}, source="source")
+    return signals.select("row_id", "source", "category", "tier", "run_date").join(articles.article_labels(signals), "row_id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    usable = {"category": table(spark, sf_dir, "sources").select("category"), "tier": ["core", "extended"]}
+    best = survivors.survivors(_records(spark, sf_dir), "class", "row_id", "run_date", usable, source="source")
+    return best.select("first_row_id", "best_row_id", "category", "tier")
+
+
+def p1_voted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners by votes that halve in 90 days and trust a source by its share of usable tiers."""
+    usable = {"category": table(spark, sf_dir, "sources").select("category"), "tier": ["core", "extended"]}
+    trust = survivors.trust_of(table(spark, sf_dir, "tagged_signals"), "source", {"tier": ["core", "extended"]})
+    best = survivors.survivors(_records(spark, sf_dir), "class", "row_id", "run_date", usable, source="source", trust=trust, half_life_days=90.0)
     return best.select("first_row_id", "best_row_id", "category", "tier")
 
 
@@ -83,6 +94,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_voted": p1_voted,
     "p2_found": p2_found,
     "p2_main_text": p2_main_text,
     "p3_found": p3_found,

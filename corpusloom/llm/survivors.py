@@ -6,15 +6,17 @@ field and the winners are pivoted back. All steps are sums, maxima and ``max_by`
 shuffle, so a group may hold any share of the rows.
 
 With ``half_life_days`` the decay is ``0.5 ** (age / half_life_days)``, age counted from the latest run of the table. With
-``half_life_days=None`` the decay is infinitely steep: whatever the trusts, a later record's vote outweighs all
-earlier ones together, and votes are compared by (order of the latest record, trust summed). p1_found is stated so.
+``half_life_days=None`` the decay is steep: votes are ranked within their group and field from the latest (run, key) on, and
+each rank weighs so much less than the one before that it outweighs all later ranks together, whatever the trusts. Votes of one
+value and run are summed first, so what is ranked is bounded by the runs and the usable values, not by the group.
+p1_found is stated by the latest record, which is the winner of these votes.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,6 +25,13 @@ def normalised(column: Column) -> Column:
     return F.lower(F.regexp_replace(column, r"(?U)^\s+|\s+$", ""))
 
 
+def trust_of(df: DataFrame, source: str, usable: dict[str, list[str]]) -> DataFrame:
+    """(source, weight): the share of a source's fields that are usable, between 0.1 and 1, as its trust."""
+    good = reduce(lambda a, b: a + b, [F.coalesce(normalised(F.col(f)).isin(values), F.lit(False)).cast("int") for f, values in usable.items()])
+    share = F.sum(good) / (F.count(F.lit(1)) * len(usable))
+    return df.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("source")).agg(F.greatest(F.lit(0.1), share).alias("weight"))
+
+
 def survivors(
     df: DataFrame,
     group: str,
@@ -38,7 +47,8 @@ def survivors(
     ``order`` is the run date (a string; null comes first), ``key`` breaks ties. ``usable`` gives each field's usable
     values, as a list or a one-column table; both are compared after normalising. The best record has the most usable
     fields, then the latest run, then the largest key. A field without usable value is the empty string. ``trust`` has
-    (source, weight); sources not in it, and null ones, weigh 1. Repeated rows count as records of their own.
+    (source, weight), weights above 0; sources not in it, and null ones, weigh 1. Repeated rows count as records of their
+    own. Equal votes go to the value of the latest record.
     """
     base = df
     for name, values in usable.items():
@@ -65,15 +75,19 @@ def survivors(
 
     votes = base.select(group, key, when.alias("_o"), weight.alias("_w"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_{f}").alias("value")) for f in fields])).alias("_f"))
     votes = votes.where("_f.value is not null").select(group, key, "_o", "_w", "_f.*")
+    by_run = votes.groupBy(group, "field", "value", "_o").agg(F.sum("_w").alias("_w"), F.max(key).alias("_k"))
     if half_life_days is None:
-        tally = votes.groupBy(group, "field", "value").agg(F.max(F.struct(F.col("_o").alias("o"), F.col(key).alias("k"))).alias("latest"), F.sum("_w").alias("vote"))
-        rank = F.struct("latest", "vote")
+        whole = Window.partitionBy(group, "field")
+        step = 4 * F.sum("_w").over(whole) / F.min("_w").over(whole)
+        rank = F.row_number().over(whole.orderBy(F.desc("_o"), F.desc("_k")))
+        voted = by_run.withColumn("vote", F.col("_w") * F.pow(step, -rank.cast("double")))
     else:
         last = df.agg(F.max(F.try_to_timestamp(F.col(order), F.lit("yyyy-MM-dd"))).alias("_last"))
-        dated = votes.crossJoin(F.broadcast(last))  # one row
+        dated = by_run.crossJoin(F.broadcast(last))  # one row
         age = F.datediff("_last", F.try_to_timestamp(F.col("_o"), F.lit("yyyy-MM-dd")))
         decay = F.pow(F.lit(0.5), F.coalesce(age, F.lit(100 * half_life_days)) / F.lit(float(half_life_days)))
-        tally = dated.groupBy(group, "field", "value").agg(F.sum(F.col("_w") * decay).alias("vote"), F.max(F.struct(F.col("_o").alias("o"), F.col(key).alias("k"))).alias("latest"))
-        rank = F.struct("vote", "latest")
+        voted = dated.withColumn("vote", F.col("_w") * decay)
+    tally = voted.groupBy(group, "field", "value").agg(F.sum("vote").alias("vote"), F.max(F.struct(F.col("_o").alias("o"), F.col("_k").alias("k"))).alias("latest"))
+    rank = F.struct(F.round(F.log2("vote"), 9).alias("vote"), "latest") if half_life_days is not None else F.struct("vote", "latest")
     won = tally.groupBy(group).pivot("field", fields).agg(F.max_by("value", rank))
     return groups.join(won, group, "left").select(group, f"first_{key}", f"best_{key}", *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in fields])

@@ -127,10 +127,35 @@ def test_survivors(spark):
     got = {tuple(r) for r in survivors.survivors(df, "g", "row_id", "run_date", usable).collect()}
     assert got == {("g", 1, 1, "film", "core"), ("i", 6, 7, "", "")}
     slow = survivors.survivors(df, "g", "row_id", "run_date", usable, "source", spark.createDataFrame([("s", 5.0)], "source string, weight double"), half_life_days=3650)
-    assert {r.g: r.category for r in slow.collect()}["g"] in ("art", "film", "music")
+    # dates that are none are as old as can be: the trusted votes win, of them the later one
+    assert {r.g: r.category for r in slow.collect()}["g"] == "art"
     assert survivors.survivors(df.limit(0), "g", "row_id", "run_date", usable).count() == 0
 
 
+def test_votes_decide(spark):
+    rows = [
+        (1, "g", "2026-01-01", "art", "core", "s"),
+        (2, "g", "2026-01-01", "art", "core", "s"),
+        (3, "g", "2026-03-01", "film", "extended", "t"),
+        (4, "h", "2026-01-01", "art", "core", "s"),
+        (5, "h", "2026-01-01", "film", "core", "s"),
+        (6, "h", "2026-02-01", None, "core", "t"),
+    ]
+    df = spark.createDataFrame(rows, "row_id long, g string, run_date string, category string, tier string, source string")
+    usable = {"category": ["art", "film"], "tier": ["core", "extended"]}
+
+    def won(**options):
+        return {r.g: (r.category, r.tier) for r in survivors.survivors(df, "g", "row_id", "run_date", usable, "source", **options).collect()}
+
+    trust = lambda s, t: spark.createDataFrame([("s", s), ("t", t)], "source string, weight double")
+    assert won() == {"g": ("film", "extended"), "h": ("film", "core")}  # the latest outweighs all earlier ones
+    assert won(trust=trust(1000.0, 0.001))["g"] == ("film", "extended")  # whatever the trusts
+    assert won(half_life_days=20.0)["g"] == ("film", "extended")  # 2 * 0.5 ** (59 / 20) < 1
+    assert won(half_life_days=200.0)["g"] == ("art", "core")  # 2 * 0.5 ** (59 / 200) > 1
+    assert won(half_life_days=20.0, trust=trust(5.0, 1.0))["g"] == ("art", "core")  # trust overturns recency
+    assert won(half_life_days=20.0)["h"] == ("film", "core")  # a tie goes to the latest record
+
+
 def brute(rows, lenient=False):
     same = lambda a, b: A.same_title(a.split(), b.split(), lenient)
     return {(a, b) for a, g, x in rows for b, h, y in rows if a < b and g == h and same(x, y)}
