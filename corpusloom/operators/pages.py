@@ -100,7 +100,8 @@ def srcset_pick(value: Column) -> Column:
 _SKIP = {"nav", "header", "footer", "aside"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _CAPTION = re.compile(r"caption|credit|cutline|wp-caption-text|image-desc", re.IGNORECASE)
-_SIZE = re.compile(r"[-_](?:\d{2,4}x\d{2,4}|\d{2,4}w?|scaled|large|medium|small|thumb(?:nail)?)(?=\.\w{3,4}$)")
+#: Attributes that hold an image's address, the ones of late loading last.
+_ADDRESSES = ("src", "data-src", "data-lazy-src", "data-original")
 
 
 class _Node:
@@ -183,41 +184,53 @@ def _caption(img: _Node) -> str:
     return img.attrs.get("title", "").strip()
 
 
-def variants(url: str) -> set[str]:
-    """Forms of an image's url that stand for the same picture: without query, and without a size at the end."""
-    bare = url.split("#")[0].split("?")[0]
-    return {url, bare, _SIZE.sub("", bare)}
+def _up(node: _Node, tag: str) -> _Node | None:
+    """The nearest ancestor of a tag."""
+    at = node.parent
+    while at is not None and at.tag != tag:
+        at = at.parent
+    return at
+
+
+def addresses(img: _Node) -> tuple[str | None, list[str]]:
+    """(best, all): the address an image is kept under, and every one it can be reached by.
+
+    Sets of sizes come first, those of a surrounding picture before the image's own; the largest of the first set is the
+    best. Without sets it is the first plain address.
+    """
+    around = _up(img, "picture")
+    holders = ([n for n in around.all() if n.tag == "source"] if around is not None else []) + [img]
+    sets = [v for n in holders if (v := n.attrs.get("srcset") or n.attrs.get("data-srcset"))]
+    plain = [v for k in _ADDRESSES if (v := img.attrs.get(k))]
+    best = next((u for v in sets if (u := pick_from_srcset(v))), None) or next(iter(plain), None)
+    return best, [w[0] for v in sets for part in v.split(",") if (w := part.split())] + plain
 
 
 def images_of(html: str | None, base: str) -> list[dict]:
     """The meaningful images of a page in document order: url, alt, caption, context.
 
-    Images in navigation, header, footer and asides are left out, as is furniture by the rules of junk_reason; of one
-    picture in several sizes the first stays, in its largest form. Broken pages give what can be read.
+    Images in navigation, header, footer and asides are left out, as is furniture by the rules of junk_reason. An image
+    any of whose addresses an earlier one of the page has is the same picture and left out. Broken pages give what can be read.
     """
-    root = parse(html)
-    nodes = list(root.all())
-    paragraphs = [(n.order, n.content()) for n in nodes if n.tag == "p"]
-    out, seen = [], set()
-    for img in nodes:
-        if img.tag != "img" or img.inside(_SKIP):
+    nodes = [n for n in parse(html).all() if not n.inside(_SKIP)]
+    out: list[dict] = []
+    seen: set[str] = set()
+    context = ""
+    for n in nodes:
+        if n.tag == "p" and len(said := n.content()) > 30:
+            context = said[:SNIPPET]
+        if n.tag != "img":
             continue
-        a, url = img.attrs, None
-        if img.parent is not None and img.parent.tag == "picture":
-            url = next((u for s in img.parent.children if s.tag == "source" and (u := pick_from_srcset(s.attrs.get("srcset") or s.attrs.get("data-srcset")))), None)
-        url = url or pick_from_srcset(a.get("srcset") or a.get("data-srcset"))
-        url = url or next((a[k] for k in ("src", "data-src", "data-lazy-src", "data-original") if a.get(k) and not a[k].startswith("data:")), None)
-        if not url or url.startswith("data:"):
+        best, every = addresses(n)
+        if not best or best.strip().startswith("data:"):
             continue
-        url = urljoin(base, url.strip())
-        if _junk(url, a.get("width"), a.get("height")):
+        url = urljoin(base, best.strip())
+        if _junk(url, n.attrs.get("width"), n.attrs.get("height")):
             continue
-        forms = variants(url)
-        if forms & seen:
-            continue
-        seen |= forms
-        context = next((t[:SNIPPET] for o, t in reversed(paragraphs) if o < img.order and len(t) > 30), "")
-        out.append({"url": url, "alt": a.get("alt", "").strip(), "caption": _caption(img), "context": context})
+        known = {url} | {urljoin(base, v.strip()) for v in every if not v.strip().startswith("data:")}
+        if known.isdisjoint(seen):
+            out.append({"url": url, "alt": n.attrs.get("alt", "").strip(), "caption": _caption(n), "context": context})
+            seen |= known
     return out
 
 
@@ -256,20 +269,25 @@ def article_fields(html: str | None) -> dict:
     }
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html") -> tuple[DataFrame, DataFrame]:
-    """(articles, images) of pages: the fields by url, and the images with their place ``seq``."""
+def extract(pages: DataFrame, url: str = "url", html: str = "html", key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(articles, images) of pages: the fields by url, and the images with their place ``seq``; ``key`` (a long) stays with both."""
+    also = [key] if key else []
+    head = f"{key} long, " if key else ""
+
+    def rows_of(pdf: pd.DataFrame) -> Iterator[tuple]:
+        return zip(pdf[url], pdf[html], *[pdf[k] for k in also], strict=True)
 
     def fields(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pd.DataFrame([{"url": u, **article_fields(h)} for u, h in zip(pdf[url], pdf[html], strict=True)], columns=["url", "title", "date", "author", "tags", "text", "page_text"])
+            yield pd.DataFrame([{**dict(zip(also, k, strict=True)), "url": u, **article_fields(h)} for u, h, *k in rows_of(pdf)], columns=[*also, "url", "title", "date", "author", "tags", "text", "page_text"])
 
     def pictures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(u, i, x["url"], x["alt"], x["caption"], x["context"]) for u, h in zip(pdf[url], pdf[html], strict=True) for i, x in enumerate(images_of(h, u))]
-            yield pd.DataFrame(rows, columns=["url", "seq", "image_url", "alt", "caption", "context"])
+            rows = [(*k, u, i, x["url"], x["alt"], x["caption"], x["context"]) for u, h, *k in rows_of(pdf) for i, x in enumerate(images_of(h, u))]
+            yield pd.DataFrame(rows, columns=[*also, "url", "seq", "image_url", "alt", "caption", "context"])
 
-    read = pages.select(url, html)
+    read = pages.select(*also, url, html)
     return (
-        read.mapInPandas(fields, "url string, title string, date string, author string, tags array<string>, text string, page_text string"),
-        read.mapInPandas(pictures, "url string, seq int, image_url string, alt string, caption string, context string"),
+        read.mapInPandas(fields, head + "url string, title string, date string, author string, tags array<string>, text string, page_text string"),
+        read.mapInPandas(pictures, head + "url string, seq int, image_url string, alt string, caption string, context string"),
     )

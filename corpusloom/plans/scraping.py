@@ -126,21 +126,52 @@ def variant_overlap(spark, sf):
     return i.join(first, ["article_id", "u"]).where("image_id > twin").select("image_id", "twin")
 
 
-@query()
+_TIDY = r"trim(regexp_replace(coalesce({0}, ''), '[\s\p{{Z}}]+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH p AS (SELECT article_id, image_id, image_url AS u, {_TIDY.format("alt")} AS alt, {_TIDY.format("caption")} AS caption, {_TIDY.format("context")} AS said FROM article_images WHERE image_url <> '' AND {_JUNK.replace("(image_id % 500 < 200)", "FALSE")} IS NULL),
+i AS (SELECT article_id, image_id, 0 AS again, u AS image_url, alt, caption, said, CASE WHEN image_id % 4 < 2 THEN [u, u || '?w=400'] ELSE [u] END AS forms FROM p
+  UNION ALL SELECT article_id, image_id, 1, u || '?w=400', '', '', '', [u || '?w=400'] FROM p WHERE image_id % 5 = 0),
+c AS (SELECT *, coalesce(last_value(CASE WHEN length(said) > 30 THEN left(said, 200) END IGNORE NULLS) OVER (PARTITION BY article_id ORDER BY image_id, again ROWS UNBOUNDED PRECEDING), '') AS context FROM i),
+f AS (SELECT article_id, image_id, again, unnest(forms) AS form FROM i),
+late AS (SELECT DISTINCT x.article_id, x.image_id, x.again FROM f x JOIN f y ON x.article_id = y.article_id AND x.form = y.form AND (y.image_id, y.again) < (x.image_id, x.again))
+SELECT article_id, row_number() OVER (PARTITION BY article_id ORDER BY image_id, again)::INT - 1 AS seq, image_url, alt, caption, context FROM c JOIN (SELECT article_id FROM articles WHERE url IS NOT NULL) USING (article_id) ANTI JOIN late USING (article_id, image_id, again)"""
+)
 def extract_images(spark, sf):
-    """Images out of HTML pages that are built from the tables, by the parser."""
-    a = table(spark, sf, "articles").select("article_id", "url", "title", "text")
-    i = table(spark, sf, "article_images").groupBy("article_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('<figure><img src="'), F.coalesce("image_url", F.lit("")), F.lit('"><figcaption>'), F.coalesce("caption", F.lit("")), F.lit("</figcaption></figure>")))), "").alias("pics"))
-    html = F.concat(F.lit("<html><nav><img src='/n.jpg'></nav><article><h1>"), F.coalesce("title", F.lit("")), F.lit("</h1><p>"), F.coalesce("text", F.lit("")), F.lit("</p>"), F.coalesce("pics", F.lit("")), F.lit("</article></html>"))
-    pages = a.where("url is not null").join(i, "article_id", "left").select("url", html.alias("html"))
-    return G.extract(pages)[1]
+    """Images out of HTML pages that are built from the tables: in pictures, sets of sizes, late loading, and once more in small."""
+    quoted = lambda c: X.html_escape(F.coalesce(F.col(c), F.lit("")))
+    u, alt, caption = quoted("image_url"), quoted("alt"), quoted("caption")
+    small = F.concat(u, F.lit("?w=400"))
+    put = lambda text, *cols: F.format_string(text, *cols)
+    kind = F.col("image_id") % 4
+    shown = (
+        F.when(kind == 0, put('<figure><picture><source srcset="%s 400w, %s 1600w"><img src="%s" alt="%s"></picture><figcaption>%s</figcaption></figure>', small, u, small, alt, caption))
+        .when(kind == 1, put('<div><img srcset="%s 1x, %s 2x" src="%s" alt="%s"><div class="wp-caption-text">%s</div></div>', small, u, small, alt, caption))
+        .when(kind == 2, put('<div><img data-src="%s" alt="%s" title="%s"></div>', u, alt, caption))
+        .otherwise(put('<figure><img src="%s" alt="%s"><figcaption>%s</figcaption></figure>', u, alt, caption))
+    )
+    again = F.when(F.col("image_id") % 5 == 0, put('<div><img src="%s"></div>', small)).otherwise("")
+    part = F.concat(put("<p>%s</p>", quoted("context")), shown, again)
+    i = table(spark, sf, "article_images").where("image_url <> ''").groupBy("article_id")
+    i = i.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("image_id", part.alias("part")))), lambda s: s["part"]), "").alias("shown"))  # one page is one document
+    html = F.concat(F.lit("<html><nav><img src='/n.jpg'></nav><article><h1>"), quoted("title"), F.lit("</h1>"), "shown", F.lit("</article><footer><img src='/f.jpg'></footer></html>"))
+    pages = table(spark, sf, "articles").where("url is not null").join(i, "article_id").select("article_id", "url", html.alias("html"))
+    return G.extract(pages, key="article_id")[1].drop("url")
 
 
-@query()
+@query(
+    f"SELECT article_id, url, {_TIDY.format('title')} AS title, coalesce(pub_date, '')[1:10] AS date, trim(coalesce(author, '')) AS author, "
+    f"list_filter(list_transform(string_split(array_to_string(tags, ','), ','), lambda t: trim(t)), lambda t: t <> '') AS tags, left({_TIDY.format('text')}, 1500) AS text FROM articles WHERE url IS NOT NULL"
+)
 def page_fields(spark, sf):
-    """Title and excerpt out of HTML pages that are built from the tables."""
-    html = F.concat(F.lit("<html><title>"), X.html_escape(F.coalesce("title", F.lit(""))), F.lit("</title><article><p>"), X.html_escape(F.coalesce("text", F.lit(""))), F.lit("</p></article></html>"))
-    return G.extract(table(spark, sf, "articles").where("url is not null").select("url", html.alias("html")))[0].drop("page_text")
+    """Title, date, author, tags and excerpt out of HTML pages that are built from the tables."""
+    quoted = lambda c: X.html_escape(F.coalesce(c, F.lit("")))
+    meta = lambda name, c: F.concat(F.lit(f'<meta name="{name}" content="'), quoted(c), F.lit('">'))
+    head = F.concat(F.lit("<html><head><title>"), quoted(F.col("title")), F.lit("</title>"), meta("author", F.col("author")), meta("article:published_time", F.col("pub_date")), meta("keywords", F.array_join("tags", ",")), F.lit("</head>"))
+    html = F.concat(head, F.lit("<article><p>"), quoted(F.col("text")), F.lit("</p></article></html>"))
+    pages = table(spark, sf, "articles").where("url is not null").select("article_id", "url", html.alias("html"))
+    return G.extract(pages, key="article_id")[0].drop("page_text")
 
 
 @query("WITH l AS (SELECT article_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM articles) SELECT article_id, line AS context FROM l WHERE length(line) > 30 QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY i DESC) = 1")

@@ -95,8 +95,8 @@ def test_junk(spark):
 
 PAGE = """<html><head><title>T</title><meta name=author content="Ann"></head><nav><img src=/nav.jpg></nav><article><h1>Head</h1>
 <p>This paragraph is the one that stands before the first picture.</p><figure><picture><source srcset="/hero-400.jpg 400w, /hero-1600.jpg 1600w"><img src="/hero-400.jpg" alt="Hero"></picture><figcaption>The hero</figcaption></figure>
-<img srcset="/b.jpg 800w, /c.jpg 2400w"><div class="photo-credit">By Bo</div><img src="data:x" data-src="/lazy.jpg" title="Lazy">
-<img src="https://ad.doubleclick.net/x.jpg"><img src="/tiny.jpg" width=1 height=1><img src="/hero-1600.jpg?w=3"><p>short</p></article><footer><img src=/f.jpg></footer>"""
+<img srcset="/b.jpg 800w, /c.jpg 2400w"><div class="photo-credit">By Bo</div><img src="data:x" data-src="/late.jpg"><img data-src="/lazy.jpg" title="Lazy">
+<img src="https://ad.doubleclick.net/x.jpg"><img src="/tiny.jpg" width=1 height=1><img src="/hero-400.jpg"><p>short</p></article><footer><img src=/f.jpg></footer>"""
 
 
 def test_images_of_a_page():
@@ -107,6 +107,14 @@ def test_images_of_a_page():
     assert G.images_of(None, "https://x.com") == [] == G.images_of("<img src=", "")
 
 
+def test_only_addresses_make_two_images_one():
+    of = lambda html: [g["url"] for g in G.images_of(html, "https://x.com/")]
+    assert len(of("".join(f'<img src="gallery-0{i}.jpg">' for i in range(1, 6)))) == 5
+    assert len(of("".join(f'<img src="img?id={i}">' for i in range(1, 6)))) == 5
+    assert of('<img srcset="p-small.jpg 400w, p-large.jpg 1600w"><p>x</p><img src="p-small.jpg">') == ["https://x.com/p-large.jpg"]
+    assert of('<picture><source srcset="a.webp"><span><img src="a.jpg"></span></picture><img src="a.jpg">') == ["https://x.com/a.webp"]
+
+
 def test_fields_of_a_page():
     got = G.article_fields(PAGE)
     assert (got["title"], got["author"]) == ("Head", "Ann") and "stands before" in got["text"]

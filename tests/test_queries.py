@@ -56,7 +56,7 @@ def test_images_of_a_full_page_all_come_out(spark, tmp_path):
     from corpusloom.plans.scraping import extract_images
 
     spark.createDataFrame([(1, "https://q.example/a", "T", "x")], "article_id long, url string, title string, text string").write.parquet(str(tmp_path / "articles.parquet"))
-    images = [(1, f"https://q.example/pictures/n{i}.jpg", f"caption {i}") for i in range(1200)]
-    spark.createDataFrame(images, "article_id long, image_url string, caption string").write.parquet(str(tmp_path / "article_images.parquet"))
+    images = [(1, 4 * i + 1, f"https://q.example/pictures/n{i}.jpg", f"caption {i}", "", None) for i in range(1200)]
+    spark.createDataFrame(images, "article_id long, image_id long, image_url string, caption string, alt string, context string").write.parquet(str(tmp_path / "article_images.parquet"))
     got = extract_images(spark, str(tmp_path)).collect()
-    assert {r.image_url for r in got} == {u for _, u, _ in images} and sorted(r.seq for r in got) == list(range(1200))
+    assert {r.image_url for r in got} == {r[2] for r in images} and sorted(r.seq for r in got) == list(range(1200))
