@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import base64
-import binascii
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -37,27 +31,12 @@ def quantize(a: Column, scale: Column) -> Column:
 
 def decode_bytes(column: Column) -> Column:
     """Signed bytes of a base64 string; null if it is null, empty or no base64."""
-
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def decode(texts: pd.Series) -> pd.Series:
-        def one(t):
-            if not t:
-                return None
-            try:
-                return np.frombuffer(base64.b64decode(t, validate=True), np.int8).astype(int).tolist()
-            except (binascii.Error, ValueError):
-                return None
-
-        return texts.map(one)
-
-    return decode(column)
+    digits = F.hex(F.try_to_binary(F.nullif(column, F.lit("")), F.lit("base64")))
+    values = F.transform(F.regexp_extract_all(F.nullif(digits, F.lit("")), F.lit("(..)"), F.lit(1)), lambda x: F.conv(x, 16, 10).cast("int"))
+    return F.transform(values, lambda x: F.when(x > 127, x - 256).otherwise(x))
 
 
 def encode_bytes(column: Column) -> Column:
     """Base64 of an array of signed bytes."""
-
-    @F.pandas_udf(StringType())
-    def encode(arrays: pd.Series) -> pd.Series:
-        return arrays.map(lambda a: None if a is None else base64.b64encode(np.asarray(a, np.int8).tobytes()).decode())
-
-    return encode(column)
+    raw = F.unhex(F.array_join(F.transform(column, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(255))), 2, "0")), ""))
+    return F.regexp_replace(F.base64(raw), r"\s", "")

@@ -39,11 +39,11 @@ def embed_missing(spark, sf):
     return table(spark, sf, "tagged_signals").select(F.sha1(text).alias("h")).distinct().join(cache, "h", "left_anti")
 
 
-@query(f"WITH {_HASHES} SELECT DISTINCT h FROM a WHERE h IN (SELECT h FROM a)")
+@query(f"SELECT DISTINCT sha1({_TEXT}) AS h FROM corpus WHERE sha1({_TEXT}) IN (SELECT sha1({_TEXT}) FROM corpus WHERE vec <> '')")
 def embed_have(spark, sf):
-    text = X.embed_text(F.col("title"), F.col("summary"))
-    h = corpus(spark, sf).select(F.sha1(text).alias("h"))
-    return h.distinct().join(h, "h", "left_semi")
+    """Texts of the corpus that the cache (the rows with a vector) has, once each."""
+    c = corpus(spark, sf).select(F.sha1(X.embed_text(F.col("title"), F.col("summary"))).alias("h"), "vec")
+    return c.select("h").distinct().join(c.where("vec <> ''").select("h"), "h", "left_semi")
 
 
 @query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS length FROM embeddings")
@@ -80,7 +80,11 @@ def quantize_int8(spark, sf):
     return embeddings(spark, sf).select("vec_id", V.quantize(F.col("embedding"), F.lit(0.03)).alias("q"))
 
 
-@query()
+_BLOB = "try(from_base64(nullif(vec, '')))"
+_BYTES = "list_transform(range(octet_length({0})), lambda i: (('0x' || substr(hex({0}), 2 * i::INT + 1, 2))::INT + 128) % 256 - 128)"
+
+
+@query(f"SELECT ord, CASE WHEN octet_length(b) > 0 THEN {_BYTES.format('b')} END AS v, CASE WHEN octet_length(b) > 0 THEN to_base64(b) = vec END AS same FROM (SELECT ord, vec, {_BLOB} AS b FROM corpus)")
 def decode_vec(spark, sf):
     """The signed bytes of each record's vector, and the string they give again."""
     v = V.decode_bytes(F.col("vec"))
@@ -186,6 +190,34 @@ def _vectors(spark, sf):
     return docs.where(F.size("v") == 128)
 
 
+_UNIT = f"""u AS (SELECT ord, need, list_transform(v, lambda x: x / CASE WHEN l = 0 THEN 1 ELSE l END) AS u FROM (SELECT ord, need, v, sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x))) AS l FROM
+(SELECT ord, coalesce(nullif(need, ''), 'unsettled') AS need, {_BYTES.format("b")} AS v FROM (SELECT ord, need, {_BLOB} AS b FROM corpus) WHERE octet_length(b) = 128)))"""
+_NEAR = "round(list_dot_product(u.u, {0}.u), 11)"
+
+
+@query(
+    f"""WITH {_UNIT}, a AS (SELECT need, arg_min(u, ord) AS u FROM u GROUP BY need),
+b AS (SELECT u.need, arg_min(u.u, ROW({_NEAR.format("a")}, ord)) AS u FROM u JOIN a USING (need) GROUP BY u.need),
+c AS (SELECT u.need, arg_min(u.u, ROW(greatest({_NEAR.format("a")}, {_NEAR.format("b")}), ord)) AS u FROM u JOIN a USING (need) JOIN b USING (need) GROUP BY u.need),
+s AS (SELECT u.need, ord, {_NEAR.format("a")} AS x, {_NEAR.format("b")} AS y, {_NEAR.format("c")} AS z FROM u JOIN a USING (need) JOIN b USING (need) JOIN c USING (need))
+SELECT need, ord, CASE WHEN x >= y AND x >= z THEN 0 WHEN y >= z THEN 1 ELSE 2 END AS cluster FROM s"""
+)
+def kmeans_init_assign(spark, sf):
+    """The rollup's seeds, farthest first, and each record's place under them: the first step of its k-means."""
+    return P.cluster_by_need(_vectors(spark, sf), rounds=1)
+
+
+@query(
+    f"""WITH {_UNIT.replace("list_transform(v, lambda x: x / CASE WHEN l = 0 THEN 1 ELSE l END)", "v")}, x AS (SELECT need, ord, generate_subscripts(u, 1) AS i, unnest(u)::DOUBLE AS x FROM u)
+SELECT need, count(*) AS n, round(sum(m), 4) AS mean, round(sum(w), 4) AS variance FROM (SELECT need, i, avg(x) AS m, var_pop(x) AS w, count(*) AS n FROM x GROUP BY ALL HAVING count(*) > 1) GROUP BY need"""
+)
+def plane_moments(spark, sf):
+    """Of each need's plane: dimensions, sum of the means and whole variance, from the summed products that give its axes."""
+    m = P.moments(persisted(_vectors(spark, sf).select("need", "ord", F.col("v").cast("array<double>").alias("v")), "plane-rows"), 128).where("n > 1")
+    mean = F.col("total") / F.col("n")
+    return m.groupBy("need").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(mean), 4).alias("mean"), F.round(F.sum(F.get("products", F.col("i")) / F.col("n") - mean * mean), 4).alias("variance"))
+
+
 @query()
 def kmeans_rollup(spark, sf):
     """Three clusters a need, by the rollup's k-means."""

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import pages as G
@@ -121,13 +122,59 @@ def test_fields_of_a_page():
     assert G.article_fields("")["title"] == ""
 
 
-def test_kmeans_and_pca():
-    x = np.ones((5, 3))
-    assert set(P.kmeans_rollup(x, 3)) == {0} and set(P.kmeans_plane(x, 2)) == {0}
-    y = np.array([[1, 0], [0.9, 0.1], [0, 1], [0.1, 0.9]])
-    assert P.kmeans_rollup(y, 2).tolist() == [0, 0, 1, 1]
-    at, share = P.pca(np.array([[0.0, 0], [2, 0], [4, 0]]), 2)
-    assert np.allclose(at[:, 0], [-2, 0, 2]) and np.isclose(share[0], 1)
+def plain_kmeans(x, k, seated, rounds=25):
+    """The two variants, row by row, as they are stated."""
+    unit = lambda v: v / (np.linalg.norm(v) + 1e-9) if not seated else v / (np.linalg.norm(v) or 1)
+    x = np.array([unit(v) for v in x])
+    c = [x[0]]
+    while len(c) < min(k, len(x)):
+        c.append(x[min(range(len(x)), key=lambda i: (round(max(x[i] @ s for s in c), 11), i))])
+    label = [0 if seated else -1] * len(x)
+    for _ in range(rounds):
+        new = [max(range(len(c)), key=lambda j: (round(v @ c[j], 11), -j)) for v in x]
+        if new == label and not seated:
+            break
+        still, label = new == label, new
+        c = [unit(sum(x[i] for i in range(len(x)) if label[i] == j)) if j in label else c[j] for j in range(len(c))]
+        if still:
+            break
+    return label
+
+
+@pytest.mark.parametrize("rollup", [True, False])
+def test_kmeans_by_need_equals_the_plain_algorithm(spark, rollup):
+    rng = np.random.default_rng(4)
+    needs = {"a": rng.integers(-90, 90, (70, 6)), "b": np.ones((5, 6), int), "c": rng.integers(-9, 9, (1, 6)), "d": np.vstack([rng.integers(-90, 90, (9, 6)), np.zeros((2, 6), int)])}
+    rows = [(n, 1000 * i + j, [float(v) for v in r]) for i, (n, x) in enumerate(needs.items()) for j, r in enumerate(x)]
+    df = spark.createDataFrame([*rows, ("a", 9999, None)], "need string, ord long, v array<double>").repartition(5)
+    got = {(r.need, r.ord): r.cluster for r in P.cluster_by_need(df, rollup=rollup).collect()}
+    for i, (n, x) in enumerate(needs.items()):
+        want = plain_kmeans(x.astype(float), 3 if rollup else P.range_k(len(x)), rollup)
+        assert [got[n, 1000 * i + j] for j in range(len(x))] == want
+    assert P.cluster_by_need(df.limit(0), rollup=rollup).count() == 0
+
+
+def test_planes_equal_the_decomposition(spark):
+    rng = np.random.default_rng(5)
+    needs = {"a": rng.normal(size=(40, 6)) * [5, 3, 1, 1, 1, 1], "b": rng.normal(size=(3, 6)), "c": rng.normal(size=(1, 6))}
+    rows = [(n, 100 * i + j, [float(v) for v in r]) for i, (n, x) in enumerate(needs.items()) for j, r in enumerate(x)]
+    got = {(r.need, r.ord): r for r in P.plane_of_need(spark.createDataFrame(rows, "need string, ord long, v array<double>").repartition(4), width=6).collect()}
+    assert {n for n, _ in got} == {"a", "b"}
+    for i, n in enumerate("ab"):
+        centred = needs[n] - needs[n].mean(0)
+        _, s, v = np.linalg.svd(centred, full_matrices=False)
+        v = v[:2] * np.where(np.take_along_axis(v[:2], np.abs(v[:2]).argmax(1)[:, None], 1) < 0, -1, 1)
+        at = np.array([[got[n, 100 * i + j].x, got[n, 100 * i + j].y] for j in range(len(centred))])
+        assert np.allclose(at, centred @ v.T, atol=1e-6) and np.isclose(got[n, 100 * i].share_x, s[0] ** 2 / (s**2).sum())
+
+
+def test_vectors_as_text(spark):
+    df = spark.createDataFrame([(1, "AP+AfwE="), (2, ""), (3, None), (4, "%%"), (5, "AAA")], "i int, t string")
+    from corpusloom.functions import vectors as V
+
+    v = V.decode_bytes(F.col("t"))
+    got = {r.i: (r.v, r.t2) for r in df.select("i", v.alias("v"), V.encode_bytes(v).alias("t2")).collect()}
+    assert got[1] == ([0, -1, -128, 127, 1], "AP+AfwE=") and all(got[i] == (None, None) for i in (2, 3, 4))
 
 
 def test_inject_and_svg():
