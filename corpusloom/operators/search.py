@@ -119,11 +119,11 @@ def scored(corpus: DataFrame, query: str, synonyms: dict[str, list[str]] | None
 
 
 def search(corpus: DataFrame, query: str, limit: int = 25, exclude: list[str] | None = None, synonyms: dict[str, list[str]] | None = None) -> DataFrame:
-    """The best ``limit`` rows by score, then number of runs, then order. Excluded needs never change the ranking."""
+    """The best ``limit`` rows by score (to nine places), then number of runs, then order. Excluded needs never change the ranking."""
     found = scored(corpus, query, synonyms).where("score > 0")
     if exclude:
         found = found.where(~F.lower(or_else(F.col("need"), F.lit("unsettled"))).isin([e.lower() for e in exclude]))
-    return found.orderBy(F.desc("score"), F.desc(F.size("_runs")), "ord").limit(limit)
+    return found.orderBy(F.desc(F.round("score", 9)), F.desc(F.size("_runs")), "ord").limit(limit)
 
 
 def browse(corpus: DataFrame, column: str, default: str | None) -> DataFrame:

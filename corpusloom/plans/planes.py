@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.functions import vectors as V
 from corpusloom.operators import planes as P
-from corpusloom.runtime import cut, persisted, table
+from corpusloom.runtime import broadcast_if_small, cut, persisted, table
 
 from .registry import query, s_list, s_strip, s_words
 
@@ -171,7 +171,7 @@ def central_items(spark, sf):
     e = embeddings(spark, sf)
     long = e.select("label", "vec_id", F.posexplode("embedding").alias("i", "v"))
     centre = long.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("m")).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c"))  # one entry a dimension
-    near = e.join(F.broadcast(centre), "label").select("label", "vec_id", V.dot(F.col("embedding"), F.transform("c", lambda s: s["m"])).alias("dot"))  # one row a label
+    near = e.join(broadcast_if_small(centre, 10_000), "label").select("label", "vec_id", V.dot(F.col("embedding"), F.transform("c", lambda s: s["m"])).alias("dot"))
     best = near
     for part in (["label", "_s"], ["label"]):  # salted first, so that no label is sorted by one task
         best = best.withColumn("_s", F.pmod(F.xxhash64("vec_id"), F.lit(16)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as X
 from corpusloom.operators import search as R
 from corpusloom.operators import worklist as W
-from corpusloom.runtime import table
+from corpusloom.runtime import persisted, table
 
 from .registry import query, s_date, s_list, s_path, s_strip, s_words
 
@@ -93,8 +93,8 @@ def lexical_neighbours(spark, sf):
     """Records near the matched ones by their words: idf weights of the matches' words, squared share of the nearest; extension."""
     c = corpus(spark, sf)
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("summary", F.lit("")))
-    tok = c.select("ord", F.explode(F.array_distinct(X.label_words(text, X.ROLLUP_STOP))).alias("term"))
-    matched = R.scored(c, QUERY).where("score > 0").select("ord")
+    tok = persisted(c.select("ord", F.explode(F.array_distinct(X.label_words(text, X.ROLLUP_STOP))).alias("term")), "neighbour-words")
+    matched = persisted(R.scored(c, QUERY).where("score > 0").select("ord"), "neighbour-matches")
     df = tok.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     sizes = c.agg(F.count(F.lit(1)).alias("n")).crossJoin(matched.agg(F.count(F.lit(1)).alias("m")))  # one row each
     weight = tok.join(matched, "ord", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("mdf")).join(df, "term").crossJoin(F.broadcast(sizes))
@@ -237,8 +237,10 @@ def status_velocity(spark, sf):
 def changed_chip(spark, sf):
     """The last six pulls of each indicator, and whether they changed."""
     e = table(spark, sf, "events")
-    w, back = Window.partitionBy("user_id").orderBy("ts", "event_id"), Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
-    p = e.select("user_id", "event_id", "value", F.lag("value").over(w).alias("before"), F.row_number().over(back).alias("age"))
+    # the seven newest of a user: cut in every task before the shuffle, so no user is gathered
+    age = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
+    newest = e.select("user_id", "event_id", "ts", "value").withColumn("age", age).where("age <= 7")
+    p = newest.withColumn("before", F.lag("value").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     return p.where("age <= 6").select("user_id", "event_id", (F.col("before").isNotNull() & ~F.col("value").eqNullSafe(F.col("before"))).alias("changed"))
 
 
