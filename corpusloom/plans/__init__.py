@@ -1,5 +1,5 @@
 """Queries over the test tables; importing the modules registers them."""
 
-from . import ingest, planes, registry, retrieval, scraping  # noqa: F401
+from . import curation, ingest, planes, registry, retrieval, scraping  # noqa: F401
 
 QUERIES, SQL = registry.QUERIES, registry.SQL

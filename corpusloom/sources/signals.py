@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +21,8 @@ SOURCE = T.StructType(
     + [T.StructField(f, T.BooleanType()) for f in ("fetchable", "semiotic_only", "recent_url_uncertain")]
 )
 
+LEDGER = T.StructType([T.StructField("url", T.StringType()), T.StructField("method", T.StringType()), T.StructField("images", T.LongType())])
+
 
 def scan_runs(spark: SparkSession, pattern: str) -> DataFrame:
     """Records of run files: (file_name, run_date, seq, fields). A run without date takes its file's name."""
@@ -37,13 +38,37 @@ def run_order(signals: DataFrame) -> DataFrame:
 
 
 def scan_sources(spark: SparkSession, path: str) -> DataFrame:
-    """The ``sources`` list of a YAML file; keys that are left out are null."""
+    """The ``sources`` list of a YAML file, on any file system Spark reads; keys that are left out are null."""
     import yaml
 
-    listed = yaml.safe_load(Path(path).read_text()).get("sources") or []
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one curated file
+    listed = (yaml.safe_load(text) or {}).get("sources") or []
     return spark.createDataFrame([tuple(s.get(f) for f in SOURCE.names) for s in listed], SOURCE)
 
 
+def scan_field_guide(spark: SparkSession, path: str) -> DataFrame:
+    """(name, category, base_url) of a source list, read line by line without a YAML parser; semiotic-only ones are left out.
+
+    The list begins after the line ``sources:`` and ends before the next line that is neither indented, blank nor a comment.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("i", "line"))  # one curated file
+    ends = ~F.col("line").rlike(r"^\s|^#|^$|^-")
+    order = Window.orderBy("i")
+    marked = lines.withColumn("section", F.last(F.when(ends, F.trim("line")), ignorenulls=True).over(order)).where("section = 'sources:'")
+    marked = marked.withColumn("n", F.count_if(F.col("line").rlike(r"^\s*-?\s*name:")).over(order))
+    pair = F.regexp_extract("line", r"^\s*-?\s*(\w+):\s*[\"']?(.*?)[\"']?\s*$", 1), F.regexp_extract("line", r"^\s*-?\s*(\w+):\s*[\"']?(.*?)[\"']?\s*$", 2)
+    told = marked.where("n > 0").select("n", pair[0].alias("k"), pair[1].alias("v")).groupBy("n").pivot("k", ["name", "category", "base_url", "semiotic_only"]).agg(F.first("v"))
+    return told.where("coalesce(semiotic_only, 'false') <> 'true'").select("name", "category", F.nullif("base_url", F.lit("null")).alias("base_url"))
+
+
+def scan_codes(spark: SparkSession, pattern: str) -> DataFrame:
+    """(need, codes, file_name) of code files: of the files of a need the last by name; those without need or codes do not count."""
+    schema = "need string, codes array<struct<id:string,status:string,confidence:string>>, _broken string"
+    read = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").json(pattern, multiLine=True).withColumn("file_name", F.col("_metadata.file_name"))
+    good = read.where("need <> '' and size(codes) > 0").drop("_broken")
+    return latest_by_key(good, "need", ["file_name"])
+
+
 def scan_url_list(spark: SparkSession, path: str, need: str) -> DataFrame:
     """(url, need) of a text file: lines that begin with http, without blanks and comments."""
     lines = spark.read.text(path).select(strip(F.col("value")).alias("url"))

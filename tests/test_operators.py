@@ -177,10 +177,8 @@ def test_vectors_as_text(spark):
     assert got[1] == ([0, -1, -128, 127, 1], "AP+AfwE=") and all(got[i] == (None, None) for i in (2, 3, 4))
 
 
-def test_inject_and_svg():
+def test_inject():
     assert P.inject("a/*__X__*/old/*__END__*/b", "X", "new") == "a/*__X__*/new/*__END__*/b"
-    assert "<svg" in P.svg_of_need("N", [(0, 0, 4, "a & b"), (1, 1, 9, "c")], (("l", "r"), ("d", "u")), "#000000")
-    assert P.svg_of_need("N", [], (("", ""), ("", "")), "#000000") == ""
 
 
 def test_sources(spark, tmp_path):
@@ -203,3 +201,15 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     for _ in range(2):
         append_new(read_files(spark, str(tmp_path / "in"), data.schema), "k", str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_pictures(spark):
+    rows = [("N", 0, 0.0, 1.0, 4, "a & b"), ("N", 1, 2.0, 1.0, 9, "c" * 30), ("M", 0, 5.0, 5.0, 400, "x")]
+    groups = spark.createDataFrame(rows, "need string, cluster int, x double, y double, n long, label string")
+    at = {(r.need, r.cluster): r for r in P.geometry(groups).collect()}
+    assert (at["N", 0].r, at["N", 1].r, at["M", 0].r) == (15.0, 18.0, 30.0)
+    assert (at["N", 0].px, at["N", 1].px, at["N", 0].py, at["M", 0].px) == (290 - (212 - 28), 290 + (212 - 28), 216.0, 290.0)
+    assert at["N", 1].shown == "c" * 25 + "…" and at["N", 0].label_y == 216 - 15 - 6
+    svg = {r.need: r.svg for r in P.pictures(groups, {"N": (("l", "r"), ("d", "<u>"))}, {"N": "#000000"}).collect()}
+    assert "a &amp; b" in svg["N"] and "&lt;u&gt;" in svg["N"] and svg["N"].index("ccc") < svg["N"].index("a &amp;") and "#8f9092" in svg["M"]
+    assert P.pictures(groups.limit(0), {}).count() == 0
