@@ -151,9 +151,21 @@ def except_subset(spark, sf):
     return signals(spark, sf).select("source").where("source is not null").distinct().join(table(spark, sf, "sources").select(F.col("name").alias("source")), "source", "left_anti")
 
 
-@query()
+_FOLD = f"""n AS (SELECT row_id, coalesce(nullif({s_norm_url()}, ''), coalesce(id, '')) AS grp, {s_norm_title()} AS t, coalesce(run_date, '') AS r, coalesce(file_name, '') AS f FROM tagged_signals),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY r, f, row_id) AS i FROM n),
+fold AS (SELECT grp, i, row_id, [t] AS titles, 1::BIGINT AS slot FROM o WHERE i = 1
+  UNION ALL SELECT grp, i, row_id, CASE WHEN s IS NULL THEN list_append(titles, t) ELSE list_transform(titles, lambda x, j: CASE WHEN j = s THEN t ELSE x END) END, coalesce(s, len(titles) + 1) FROM
+  (SELECT o.grp, o.i, o.row_id, o.t, p.titles, list_filter(range(1, len(p.titles) + 1), lambda j: starts_with(p.titles[j], o.t) OR starts_with(o.t, p.titles[j]) OR list_has_all(string_split(p.titles[j], ' '), string_split(o.t, ' ')) OR list_has_all(string_split(o.t, ' '), string_split(p.titles[j], ' ')))[1] AS s
+   FROM fold p JOIN o ON o.grp = p.grp AND o.i = p.i + 1)),
+m AS (SELECT fold.grp, slot, i, t.* FROM fold JOIN tagged_signals t USING (row_id))"""
+
+
+@query(
+    f"""WITH RECURSIVE {_FOLD} SELECT arg_max(row_id, i) AS row_id, arg_max(ROW(id), i)[1] AS id, arg_max(ROW(source), i)[1] AS source, arg_max(category, i) FILTER (WHERE category <> '') AS category, arg_max(ROW(title), i)[1] AS title, arg_max(ROW(url), i)[1] AS url, arg_max(ROW(pub_date), i)[1] AS date,
+arg_max(ROW(summary), i)[1] AS summary, arg_max(ROW(forward_looking), i)[1] AS forward_looking, arg_max(tier, i) FILTER (WHERE tier <> '') AS tier, arg_max(ROW(need), i)[1] AS need, list_sort(list_distinct(list(coalesce(run_date, '')))) AS _runs, min(coalesce(run_date, '')) AS _first_seen, min(row_id) AS _first_key, count(*) AS n_records FROM m GROUP BY grp, slot"""
+)
 def corpus_merge(spark, sf):
-    """The ordered fuzzy merge of all runs; rows only, as each step depends on what the one before replaced."""
+    """The ordered fuzzy merge of all runs: each step depends on what the one before replaced."""
     t = signals(spark, sf).withColumnRenamed("pub_date", "date")
     merged = C.merge_corpus(t)
     keep = ["row_id", "id", "source", "category", "title", "url", "date", "summary", "forward_looking", "tier", "need", "_runs", "_first_seen", "_first_key", "n_records"]

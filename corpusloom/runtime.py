@@ -55,10 +55,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def persisted(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (columnar, prunable)."""
+    """Write ``df`` as Parquet in the shared folder and read it back (columnar, prunable); deleted when the application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # whoever reads it later reads it lazily, so it goes when the application ends
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
