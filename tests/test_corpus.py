@@ -1,5 +1,7 @@
 import itertools
 
+import pytest
+
 from corpusloom.operators import corpus as C
 from corpusloom.operators.graph import connected_components
 
@@ -59,14 +61,16 @@ def test_shares(spark):
     assert got == {("a", 2): 0.5, ("unsettled", 2): 0.5}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components(spark, few):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (3, 1), (20, 21), (None, 4)] + [(100, i) for i in range(101, 160)]
-    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()}
     want = {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20} | dict.fromkeys(range(100, 160), 100)
     assert got == want
 
 
-def test_components_of_a_chain(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_of_a_chain(spark, few):
     edges = [(i, i + 1) for i in range(60)]
-    got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    got = connected_components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()
     assert len(got) == 61 and {r.component for r in got} == {0}
