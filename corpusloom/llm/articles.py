@@ -21,7 +21,7 @@ from pyspark.sql.types import BooleanType
 from corpusloom.operators.graph import connected_components
 from corpusloom.runtime import broadcast_if_small, persisted
 
-from . import hashforest, nearby
+from . import hashforest
 
 _TRACKING = re.compile(r"^(?:utm_.*|ref|ref_src|source|share|amp|fbclid|gclid|mc_[a-z]+|campaign|cmp|igshid|s|from|output|print)$")
 _HOST_PREFIX = re.compile(r"^(?:www\d?|m|mobile|amp)\.(?=[^.]+\.)")
@@ -170,28 +170,39 @@ def _hashed(kind: str, *columns: str) -> Column:
     return F.when(present, F.xxhash64(F.lit(kind), *columns))
 
 
+def keyed(signals: DataFrame) -> DataFrame:
+    """The records' keys, hashed: strings are replaced by 64-bit keys before anything is shuffled, but for the titles' words."""
+    blank = (F.col("words") == "") | F.col("publisher").isNull()
+    keys = record_keys(signals).withColumn("title", F.when(~blank, _hashed("title", "publisher", "words")))
+    hashed = [_hashed(c, c).alias(c) for c in ("id", "page", "slug")]
+    return persisted(keys.select("row_id", *hashed, "root", "title", (F.col("words") == "").alias("untitled"), "publisher", "words"), "article-keys")
+
+
 def article_labels(signals: DataFrame) -> DataFrame:
     """(row_id, class): records of the same article have the same class.
 
     Exact copies and records with the same words are one class by their key, before any join; classes are linked
-    where ``nearby`` finds titles of a publisher that are the same apart from editing, where a page carries such titles
+    where a hash forest finds titles of a publisher that are the same apart from editing, where a page carries such titles
     loosely, and where a record without url has the id of another. Only links between different classes enter the
-    connected components, so a group of a third of all rows is one node there. Strings are replaced by 64-bit keys
-    before anything is shuffled, except for one row of each different title.
+    connected components, so a group of a third of all rows is one node there.
     """
-    blank = (F.col("words") == "") | F.col("publisher").isNull()
-    keys = persisted(
-        record_keys(signals)
-        .withColumn("title", F.when(~blank, _hashed("title", "publisher", "words")))
-        .select("row_id", _hashed("id", "id").alias("id"), _hashed("page", "page").alias("page"), _hashed("slug", "slug").alias("slug"), "root", "title", (F.col("words") == "").alias("untitled"), "publisher", "words"),
-        "article-keys",
-    )
-    titles = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"), F.count(F.lit(1)).alias("n"))
+    return labels_of(keyed(signals))
+
+
+def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(title, publisher, words) of the titles that name a subject, and the general ones (as ``_general``)."""
+    titles = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"))
     titles = persisted(titles, "article-titles")
     many = titles.groupBy(F.xxhash64("words").alias("_w")).agg(F.count(F.lit(1)).alias("_p")).where("_p > 1").select("_w")
     many = broadcast_if_small(persisted(many, "article-general"))
     subjects = persisted(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_anti"), "article-subjects")
     general = broadcast_if_small(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_semi").select(F.col("title").alias("_general")))
+    return subjects, general
+
+
+def labels_of(keys: DataFrame, located: DataFrame | None = None) -> DataFrame:
+    """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest."""
+    subjects, general = titles_of(keys)
     texts = subjects.select("title", "words")
 
     def with_words(pairs: DataFrame) -> DataFrame:
@@ -200,7 +211,7 @@ def article_labels(signals: DataFrame) -> DataFrame:
         two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
         return pairs.join(one, "a").join(two, "b")
 
-    pairs = with_words(nearby.near_pairs(subjects, "publisher", "words", "title"))
+    pairs = with_words(hashforest.near_pairs(subjects, "publisher", "words", "title") if located is None else located)
     links = pairs.where(_same("words_a", "words_b")).select("a", "b")
 
     # what a page carries
@@ -214,7 +225,7 @@ def article_labels(signals: DataFrame) -> DataFrame:
     crowded = shared.where(F.col("n") > PAGE_TITLES)
     if not crowded.isEmpty():
         entries = per_page.join(crowded, "page").join(texts, F.col("named") == F.col("title")).select("page", "named", "words")
-        loose = loose.union(nearby.near_pairs(entries, "page", "words", "named", lenient=True))
+        loose = loose.union(hashforest.near_pairs(entries, "page", "words", "named", lenient=True))
     loose = loose.distinct()
     loose = with_words(loose).where(_same_on_page("words_a", "words_b")).select("a", "b")
     linked = persisted(connected_components(links.union(loose)), "article-links")

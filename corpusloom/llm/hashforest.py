@@ -1,126 +1,178 @@
 """A prefix-tree hash forest over short texts, kept as sorted runs.
 
-A text's words are hashed within its group and sorted by hash; each of its words leads one permutation: the
-word, then the others in that order. The permutations of all texts, sorted, are a forest of prefix trees. An
-entry is looked up by the range of entries that share a prefix of its permutation, starting with the longest and
-widened, word by word, to the shortest one whose range holds at most ``BUCKET`` entries. Where that is one word,
-all texts that share the word are found, so a pair of texts is found for certain if they share a word that few
-texts of the group have; that is the recall target. (A slip in the only rare word of a text is not found this way.) Ranges that are still too full at ``DEPTH`` words are walked in
-order of their texts: every entry meets its next neighbours and the range's most frequent text.
+The words of a text, hashed within its group, are its signature; each word leads one permutation of it. The permutations of
+all texts, sorted by their leading hash, are a forest of prefix trees, and every batch adds one run of it. Three sorted
+runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each new word under what is left of it without one
+letter, so that words one slip apart stand side by side) and ``askers`` (the prefix that a text is looked up by).
+
+An entry is located by the range of permutations that begin with its rarest word or a near one. Of two texts that
+``articles.same_title`` can call the same, each word of the shorter one stands in the longer, at most one slip away
+(``lenient``: all but two words); so the range of one word, with its near words, holds every partner, and that is the
+recall target: all. Where a range of one word holds more than ``bucket`` texts the prefix is kept at two words, which
+misses nothing either, as the second word stands in the partner too. Ranges are never cut. What is located is checked by
+bit sets of the words before texts are compared.
+
+Both directions are searched: the batch's entries in all runs, and the older askers in the batch. Older runs are only
+joined, neither shortened nor written again; ``merge`` makes one run of many and picks the askers' prefixes anew.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import broadcast_if_small, persisted
+from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
 
-BUCKET = 16
-DEPTH = 3
-NEIGHBOURS = 8
+#: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
+BUCKET = 64
 MISSING = 2
 SHORT = 4
 
 
-def _share(a: Column, b: Column) -> Column:
-    """Whether two bit sets agree in all but MISSING bits of the smaller one (one fewer for short texts)."""
-    least = F.least(F.bit_count(a), F.bit_count(b))
-    return F.bit_count(a.bitwiseAND(b)) >= least - F.when(least <= SHORT, MISSING - 1).otherwise(MISSING)
+def _number(w: Column) -> Column:
+    return w.rlike("^[0-9]+$")
+
+
+def deletions(word: str) -> Column:
+    """A word and what is left of it without one letter: two words one slip apart share one of these."""
+    at = F.sequence(F.lit(1), F.length(word))
+    left = F.transform(at, lambda i: F.concat(F.substring(F.col(word), F.lit(1), i - 1), F.substring(F.col(word), i + 1, F.length(word))))
+    return F.array_distinct(F.array_append(left, F.col(word)))
+
+
+def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool) -> DataFrame:
+    """(a, b): pairs of a shorter text that asks and a longer one in its range whose words' bits leave them possible."""
+    pairs = askers.alias("l").join(posts.alias("r"), on).where("l.k <> r.k and l.e.n <= r.e.n")
+    missing = F.bit_count(F.col("l.e.bits").bitwiseAND(F.bitwise_not(F.col("r.e.bits"))))
+    allowed = F.when(F.col("l.e.n") <= SHORT, MISSING - 1).otherwise(MISSING) + (2 if lenient else 0)
+    return pairs.where(missing <= allowed).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b"))
 
 
 class HashForest:
-    def __init__(self, bucket: int = BUCKET, depth: int = DEPTH):
-        self.bucket, self.depth = bucket, depth
+    """The forest in the folder ``path``: ``<part>/run=<n>``."""
 
-    @property
-    def prefixes(self) -> list[str]:
-        return [f"p{d}" for d in range(1, self.depth + 1)]
+    def __init__(self, spark: SparkSession, path: str, lenient: bool = False, bucket: int = BUCKET):
+        self.spark, self.path, self.lenient, self.bucket = spark, path.rstrip("/"), lenient, bucket
 
-    def signatures(self, entries: DataFrame, group: str, text: str, key: str) -> DataFrame:
-        """(k, bits, p1 .. p<depth>): a row for each word of each entry; a prefix beyond the last word repeats the whole.
+    def read(self, part: str, before: int | None = None) -> DataFrame | None:
+        """A part of all runs, or of those before a run; null where there are none."""
+        try:
+            found = self.spark.read.parquet(f"{self.path}/{part}")
+        except AnalysisException:
+            return None
+        found = found if before is None else found.where(F.col("run") < before)
+        return found.drop("run")
 
-        ``bits`` has one bit of 64 for each word: what two entries share can be told without their texts.
-        """
-        words = F.array_sort(F.array_distinct(F.transform(F.split(text, " "), lambda w: F.xxhash64(F.col(group), w))))
-        hashed = entries.select(F.col(key).alias("k"), words.alias("_h"))
-        bits = F.aggregate("_h", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
-        led = hashed.select("k", bits.alias("bits"), F.explode("_h").alias("p1"), "_h").withColumn("_o", F.array_remove("_h", F.col("p1")))
-        longer = [F.xxhash64("p1", *[F.coalesce(F.get("_o", F.lit(i)), F.lit(0)) for i in range(d - 1)]).alias(f"p{d}") for d in range(2, self.depth + 1)]
-        return led.select("k", "bits", "p1", *longer)
-
-    def candidates(self, entries: DataFrame, group: str, text: str, key: str, weight: str) -> DataFrame:
-        """(a, b), a < b: keys of different entries that share a range and all but MISSING of the shorter one's words.
-
-        Each pair comes once. ``weight`` is how often the text stands; of an over-full range the text with the largest
-        meets all others.
+    def _write(self, rows: DataFrame, part: str, run: int, lead: str) -> DataFrame:
+        rows.repartitionByRange(lead).sortWithinPartitions(lead).write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
+
+    def add(self, entries: DataFrame, group: str, text: str, key: str, run: int = 0) -> DataFrame:
+        """Persist a batch as a run and locate it: (a, b), a < b, the pairs with an entry of the batch, each once.
+
+        ``key`` is a number that no older entry has; texts are words with single blanks between them. Entries with equal
+        words pair too; an empty batch gives no pairs and an empty run.
         """
-        rest = self.signatures(entries, group, text, key)
-        found = []
-        for d in range(1, self.depth + 1):
-            p = f"p{d}"
-            sizes = persisted(rest.groupBy(p).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), f"forest-sizes-{d}")
-            # at most BUCKET entries a range, as counted
-            fit = sizes.where(F.col("_n") <= self.bucket).select(p)
-            lists = rest.select(p, "k", "bits").join(fit, p).groupBy(p).agg(F.array_sort(F.collect_set(F.struct("k", "bits"))).alias("ks")).select("ks")
-            pairs = F.flatten(F.transform("ks", lambda x: F.transform(F.filter(F.col("ks"), lambda y: (y["k"] > x["k"]) & _share(x["bits"], y["bits"])), lambda y: F.struct(x["k"].alias("a"), y["k"].alias("b")))))
-            found.append(lists.select(F.explode(pairs).alias("_p")).select("_p.a", "_p.b"))
-            full = broadcast_if_small(sizes.where(F.col("_n") > self.bucket).select(p))
-            rest = rest.join(full, p, "left_semi")
-        p = self.prefixes[-1]
-        placed = rest.select(F.col(p).alias("p"), "k", "bits").distinct().join(entries.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(weight).alias("w")), "k")
-        placed = persisted(placed, "forest-full")
-        top = placed.groupBy("p").agg(F.max_by(F.struct("k", "bits"), F.struct("w", "k")).alias("top"))
-        star = placed.join(top, "p").where(F.col("k") != F.col("top.k")).where(_share(F.col("bits"), F.col("top.bits")))
-        found += [star.select(F.least("k", F.col("top.k")).alias("a"), F.greatest("k", F.col("top.k")).alias("b")), self._neighbours(placed)]
-        return reduce(DataFrame.union, found).distinct()
-
-    def _neighbours(self, placed: DataFrame) -> DataFrame:
-        """Sorted neighbours within ranges, over range partitions of the whole: no range goes to one task."""
-
-        def batches(frames):
-            last: list[tuple] = []
-            for pdf in frames:
-                rows = []
-                for p, k, bits in zip(pdf["p"].tolist(), pdf["k"].tolist(), (pdf["bits"].to_numpy().view("uint64")).tolist(), strict=True):
-                    for p2, k2, bits2 in last:
-                        least = min(bits.bit_count(), bits2.bit_count())
-                        if p2 == p and k2 != k and (bits & bits2).bit_count() >= least - (MISSING - (least <= SHORT)):
-                            rows.append((min(k, k2), max(k, k2)))
-                    last = [*last[-NEIGHBOURS + 1 :], (p, k, bits)]
-                yield pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
-
-        return placed.repartitionByRange("p", "t").sortWithinPartitions("p", "t").select("p", "k", "bits").mapInPandas(batches, "a long, b long")
-
-    # --- persisted runs ---
-
-    def write_run(self, signed: DataFrame, path: str, run: int) -> None:
-        """Persist a batch's signatures as a run, sorted by its prefixes."""
-        signed.repartitionByRange(*self.prefixes).sortWithinPartitions(*self.prefixes).write.mode("overwrite").parquet(f"{path}/run={run}")
-
-    def merge_runs(self, spark: SparkSession, path: str, into: str) -> None:
-        """Merge all runs into one sorted run at ``into``; the old ones stay until the caller drops them."""
-        self.write_run(spark.read.parquet(path).drop("run").distinct(), into, 0)
-
-    def lookup(self, batch: DataFrame, runs: DataFrame) -> DataFrame:
-        """(k, other): keys of the runs in the ranges of the batch's entries; full ranges are narrowed up to DEPTH words.
-
-        Ranges are sized by the runs. What is still too full at DEPTH words comes out whole: as many rows as the runs
-        have there for each entry of the batch.
+        older = self.read("posts", run) if run else None
+        words = F.split(text, " ")
+        numbers = F.array_join(F.filter(words, lambda w: _number(w) & ~w.rlike("^(19|20)[0-9][0-9]$")), " ")
+        named = entries.select(F.col(key).alias("k"), F.xxhash64(F.col(group), numbers).alias("g"), F.size(words).alias("n"), F.array_distinct(words).alias("_w"))
+        hashes = F.transform("_w", lambda w: F.xxhash64("g", w))
+        bits = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
+        led = named.withColumn("bits", bits).select("g", "k", F.struct("n", "bits").alias("e"), F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
+        mine = self._write(led.select("w", "g", "k", "e", "word"), "posts", run, "w")
+        every = mine if older is None else older.select(*mine.columns).union(mine)
+
+        # the batch's words, and all words one slip apart from them
+        own = persisted(mine.groupBy("g", "w").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "forest-words")
+        cut = own.where((F.length("word") >= 3) & ~_number(F.col("word"))).select("w", F.explode(deletions("word")).alias("_c"), "g").select(F.xxhash64("g", "_c").alias("c"), "w")
+        fresh = cut if older is None else cut.join(older.select("w"), "w", "left_anti")
+        added = self._write(fresh.select("c", "w"), "words", run, "c")
+        known_words = self.read("words", run) if run else None
+        beside = added if known_words is None else known_words.select("c", "w").union(added)
+        asked_words = added if older is None else persisted(cut, "forest-asked-words")
+        near = persisted(asked_words.join(beside.withColumnRenamed("w", "v"), "c").where("w <> v").select("w", "v").distinct(), "forest-near")
+
+        # how many texts each of them has
+        if older is None:
+            counted = own.select("w", "df")
+        else:
+            wanted = persisted(own.select("w").union(near.select("v")).distinct(), "forest-wanted")
+            counted = persisted(every.select("w").join(broadcast_if_small(wanted), "w", "left_semi").groupBy("w").agg(F.count(F.lit(1)).alias("df")), "forest-counted")
+        more = near.join(counted.select(F.col("w").alias("v"), "df"), "v").groupBy("w").agg(F.sum("df").alias("more"))
+        known = counted.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
+
+        # the prefix a text is looked up by: its rarest words
+        chosen = self._prefixes(mine.select("w", "g", "k", "e").join(known, "w"))
+        waiting = self.read("askers", run) if run else None
+        asked = self._write(chosen, "askers", run, "w").where("nd > 1")  # a word that no other text has, or nearly has, finds nothing
+        either = near.select("w", "v").union(own.select("w", F.col("w").alias("v")))
+
+        # the batch in all runs
+        lone = broadcast_if_small(asked.where("w2 is null").join(either, "w").select(F.col("v").alias("w"), "k", "e"))
+        out = _located(lone, every.select("w", "k", "e"), ["w"], self.lenient)
+        two = asked.where("w2 is not null")
+        if not self.lenient and not two.isEmpty():
+            one = two.join(either, "w").select("k", "e", F.col("v").alias("v1"), "w2")
+            both = persisted(one.join(either.select(F.col("w").alias("w2"), F.col("v").alias("v2")), "w2").select("k", "e", "v1", "v2"), "forest-two")
+            held = every.select(F.col("w").alias("v1"), "g", "k", "e").join(both.select("v1").distinct(), "v1", "left_semi")
+            held = held.join(every.select("g", "k", F.col("w").alias("v2")), ["g", "k"]).select("v1", "v2", "k", "e")
+            out = out.union(_located(both, held, ["v1", "v2"], False))
+        if waiting is not None:
+            out = out.union(self._waiting(waiting, mine, either))
+        return out.distinct()
+
+    def _prefixes(self, led: DataFrame) -> DataFrame:
+        """What each text is looked up by: its rarest word, with the next one where the range of the first is full.
+
+        Lenient texts, two words of which may be others, ask with up to three words one by one.
         """
-        mine, found = batch, []
-        for d in range(1, self.depth + 1):
-            p = f"p{d}"
-            sizes = runs.join(mine.select(p).distinct(), p, "left_semi").groupBy(p).agg(F.count(F.lit(1)).alias("_n"))
-            sized = mine.join(sizes, p)
-            fits = F.lit(True) if d == self.depth else F.col("_n") <= self.bucket
-            found.append(sized.where(fits).select("k", p).join(runs.select(p, F.col("k").alias("other")), p).select("k", "other"))
-            mine = sized.where(~fits).drop("_n")
-        return reduce(DataFrame.union, found).where("k <> other").distinct()
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+        ranked = led.groupBy("g", "k").agg(F.first("e").alias("e"), F.slice(F.array_sort(F.collect_list(F.struct("nd", "w"))), 1, 3 if self.lenient else 2).alias("r"))  # a text's words
+        if self.lenient:
+            asks = ranked.withColumn("x", F.explode(F.slice("r", 1, F.least(F.lit(3), F.expr("e.n div 2") + 1).cast("int"))))
+            return asks.select(F.col("x.w").alias("w"), F.lit(None).cast("long").alias("w2"), F.col("x.nd").alias("nd"), "g", "k", "e")
+        first = F.col("r")[0]
+        return ranked.select(first["w"].alias("w"), F.when(first["nd"] > self.bucket, F.get("r", F.lit(1))["w"]).alias("w2"), first["nd"].alias("nd"), "g", "k", "e")
+
+    def _waiting(self, askers: DataFrame, mine: DataFrame, either: DataFrame) -> DataFrame:
+        """Older askers that find a text of the batch: near words stand for each other, so the batch's words are widened."""
+        wide = persisted(mine.select("w", "g", "k", "e").withColumnRenamed("w", "own").join(either.withColumnRenamed("w", "own"), "own").select(F.col("v").alias("w"), "k", "e").distinct(), "forest-wide")
+        reached = askers.join(broadcast_if_small(wide.select("w").distinct()), "w", "left_semi")
+        out = _located(reached.where("w2 is null").select("w", "k", "e"), wide, ["w"], self.lenient)
+        two = persisted(reached.where("w2 is not null").select("w", "w2", "k", "e"), "forest-waiting")
+        first = wide.join(two.select("w").distinct(), "w", "left_semi")
+        second = wide.select(F.col("w").alias("w2"), "k").join(two.select("w2").distinct(), "w2", "left_semi")
+        return out.union(_located(two, first.join(second, "k").select("w", "w2", "k", "e"), ["w", "w2"], False))
+
+    def merge(self, into: str) -> HashForest:
+        """All runs as one, at ``into``; prefixes are chosen by the words' present counts. The old folder stays."""
+        merged = HashForest(self.spark, into, self.lenient, self.bucket)
+        posts = self.read("posts")
+        if posts is None:
+            return merged
+        posts = merged._write(posts.select("w", "g", "k", "e", "word"), "posts", 0, "w")
+        merged._write(self.read("words").select("c", "w").distinct(), "words", 0, "c")
+        counted = posts.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+        words = merged.read("words")
+        near = words.join(words.withColumnRenamed("w", "v"), "c").where("w <> v").select("w", "v").distinct()
+        more = near.join(counted.withColumnRenamed("w", "v"), "v").groupBy("w").agg(F.sum("df").alias("more"))
+        known = counted.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
+        chosen = self._prefixes(posts.join(known, "w"))
+        merged._write(chosen, "askers", 0, "w")
+        return merged
+
+
+def near_pairs(entries: DataFrame, group: str, text: str, key: str, lenient: bool = False, bucket: int = BUCKET, path: str | None = None) -> DataFrame:
+    """(a, b), a < b: every pair of entries of a group that ``articles.same_title`` can call the same, through a new forest.
+
+    Without ``path`` the forest is only made for this and goes when the application ends.
+    """
+    spark = entries.sparkSession
+    if path is None:
+        path = f"{shared_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return HashForest(spark, path, lenient, bucket).add(entries, group, text, key)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import table
+from corpusloom.runtime import shared_dir, table
 
 from . import articles, boilerplate, clusters, distinctive, history, leakage, quality, residue, survivors, tokenizing
 
@@ -58,8 +59,22 @@ def p4_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.validation(table(spark, sf_dir, "articles"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; it goes when the application ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.repeats(table(spark, sf_dir, "tagged_signals"))
+    """The first load of an empty history: all files as one batch."""
+    return history.History(spark, _folder(spark, "history")).accept(table(spark, sf_dir, "tagged_signals"), 0)
+
+
+def p7_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repeats where every file is a batch of its own against the history of the files before it."""
+    return history.by_files(history.History(spark, _folder(spark, "history")), table(spark, sf_dir, "tagged_signals"))[0]
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_validation": p4_validation,
     "p7_found": p7_found,
+    "p7_by_file": p7_by_file,
     "p6_found": p6_found,
     "p6_scores": p6_scores,
     "p8_ids": p8_ids,

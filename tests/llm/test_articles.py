@@ -3,7 +3,7 @@ import random
 import pytest
 
 from corpusloom.llm import articles as A
-from corpusloom.llm import history, nearby, survivors
+from corpusloom.llm import hashforest, history, survivors
 from corpusloom.llm.hashforest import HashForest
 
 SIGNALS = "row_id long, file_name string, run_date string, id string, source string, category string, tier string, title string, url string, extra string"
@@ -95,21 +95,61 @@ def test_repeats(spark):
 
 def test_batches_give_what_all_at_once_gives(spark, tmp_path):
     h = history.History(spark, str(tmp_path / "history"))
+    parts = [RECORDS[:5], RECORDS[5:10], RECORDS[10:]]
     seen = set()
-    for run, part in enumerate((RECORDS[:5], RECORDS[5:10], RECORDS[10:])):
+    for run, part in enumerate(parts):
         seen |= {tuple(r) for r in h.accept(spark.createDataFrame(part, SIGNALS), run).collect()}
-    assert {(1, 2), (1, 3), (4, 10), (6, 15)} <= seen <= {(1, 2), (1, 3), (4, 9), (4, 10), (6, 15)}
-    h.forest.merge_runs(spark, f"{h.path}/forest", f"{h.path}/merged")
-    merged, runs = spark.read.parquet(f"{h.path}/merged"), spark.read.parquet(f"{h.path}/forest")
-    assert merged.select("k", "p1").distinct().count() == runs.select("k", "p1").distinct().count()
+    assert seen == {(1, 2), (1, 3), (4, 9), (4, 10), (6, 15)} == {tuple(r) for r in history.repeats(spark.createDataFrame(RECORDS, SIGNALS)).collect()}
+    merged = h.merge_runs(str(tmp_path / "merged"), 3)
+    more = [rec(20, "The root of Cabela", None, ident="new"), rec(21, "Cracked recipe Quso, no. 2", None, ident="x"), rec(22, "Other", "https://q.example/zzz")]
+    last = spark.createDataFrame(more, SIGNALS)
+    want = {tuple(r) for r in h.accept(last, 3).collect()}
+    assert {tuple(r) for r in merged.accept(last, 1).collect()} == want == {(5, 20), (14, 21)}
 
 
-def test_full_ranges_are_narrowed_and_the_rare_word_finds_the_slip(spark):
-    names = [chr(97 + i % 26) + chr(97 + i // 26) for i in range(60)]
-    rows = [(i, "q", f"studio visit {n}lucamu", 1) for i, n in enumerate(names)] + [(1000, "q", "studio vist aalucamu", 9)]
-    df = spark.createDataFrame(rows, "k long, g string, t string, n long")
-    pairs = {(r.a, r.b) for r in HashForest(bucket=4).candidates(df, "g", "t", "k", "n").collect()}
-    assert pairs == {(0, 1000)}
+def test_a_batch_joins_articles_of_the_history(spark, tmp_path):
+    h = history.History(spark, str(tmp_path / "history"))
+    rows = [rec(1, "The echo of Viwado", "https://q.example/p1"), rec(2, "A wholly other heading Zabolu", "https://q.example/p2"), rec(3, "A wholly other heading Zabolu", "https://q.example/p2"), rec(4, "Wholly other heading Zabolu", "https://q.example/p1"), rec(5, None, "https://q.example/p2")]
+    assert {tuple(r) for r in h.accept(spark.createDataFrame(rows[:3], SIGNALS), 0).collect()} == {(2, 3)}
+    got = {tuple(r) for r in h.accept(spark.createDataFrame([rows[3], rows[4]], SIGNALS), 1).collect()}
+    assert got == {(2, 4), (2, 5)}
+    bridge = rec(6, "The echo of Viwado", None, ident="id4")
+    assert {tuple(r) for r in h.accept(spark.createDataFrame([bridge], SIGNALS), 2).collect()} == {(1, 6)}
+    assert {tuple(r) for r in h.joined(2).collect()} == {(2, 1)} and h.joined(1).count() == 0
+
+
+def test_files_one_by_one_equal_all_at_once(spark, tmp_path):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(3))
+    shapes = ["The {} of {}", "Notes on {} and {}", "{} {} studio", "Quiet {}s room {} at night"]
+    told = [(rng.choice(shapes).format(word(), word()), rng.random() < 0.7) for _ in range(40)]
+    rows = []
+    for i in range(1, 91):
+        j = rng.randrange(40)
+        title, paged = told[j]
+        at = rng.randrange(len(title))
+        title = title[:at] + title[at + 1 :] if rng.random() < 0.4 else title
+        rows.append((i, f"f{(i - 1) // 30}", "2026-01", f"id{j}", "Q", None, None, title, f"https://q.example/p{j}?utm_source=x" if paged and rng.random() < 0.8 else None, "x"))
+    df = spark.createDataFrame(rows, SIGNALS)
+    got, figures = history.by_files(history.History(spark, str(tmp_path / "h")), df)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in history.repeats(df).collect()}
+    assert [f["records"] for f in figures] == [30] * 3 and got.count() > 30
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket": 2}, {"lenient": True}])
+def test_runs_of_the_forest_equal_brute_force(spark, tmp_path, options):
+    rng = random.Random(11)
+    name = lambda: "".join(rng.choice("bdk") + rng.choice("ai") for _ in range(3))
+    rows = [(i, "hot", " ".join([*rng.sample(["the", "quiet", "lens", "echo", "room", "5", "6"], rng.randrange(1, 5)), name()])) for i in range(240)]
+    want = brute(rows, options.get("lenient", False))
+    text = {k: t.split() for k, _, t in rows}
+    forest, pairs = HashForest(spark, str(tmp_path / "f"), **options), set()
+    df = lambda part: spark.createDataFrame(part, "k long, g string, t string")
+    for run in range(3):
+        pairs |= {(r.a, r.b) for r in forest.add(df(rows[60 * run : 60 * run + 60]), "g", "t", "k", run).collect()}
+    merged = forest.merge(str(tmp_path / "m"))
+    pairs |= {(r.a, r.b) for r in merged.add(df(rows[180:]), "g", "t", "k", 1).collect()}
+    assert {(a, b) for a, b in pairs if A.same_title(text[a], text[b], options.get("lenient", False))} == want and len(want) > 100
 
 
 def test_survivors(spark):
@@ -163,7 +203,7 @@ def brute(rows, lenient=False):
 
 def verified(spark, rows, **options):
     text = {k: t.split() for k, _, t in rows}
-    pairs = {(r.a, r.b) for r in nearby.near_pairs(spark.createDataFrame(rows, "k long, g string, t string"), "g", "t", "k", **options).collect()}
+    pairs = {(r.a, r.b) for r in hashforest.near_pairs(spark.createDataFrame(rows, "k long, g string, t string"), "g", "t", "k", **options).collect()}
     return {(a, b) for a, b in pairs if A.same_title(text[a], text[b], options.get("lenient", False))}
 
 
