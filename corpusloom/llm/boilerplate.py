@@ -14,6 +14,7 @@ winners by host travel as one bounded array per host, joined to its pages.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 
@@ -28,7 +29,14 @@ from .quality import COMMON
 #: Least share of a host's (and number of its) articles, and of a language's, that make a path win.
 HOST_SHARE, HOST_ARTICLES = 0.12, 4
 LANGUAGE_SHARE, CUED_SHARE, LANGUAGE_ARTICLES = 0.012, 0.0015, 3
-LONGEST = 300
+#: Longer prose lines vote as a whole, by their hash.
+LONG = 160
+#: Function words that tell a text's language clearly, three times as many as of any other.
+CLEAR = 12
+#: Lines up to this are remembered, which changes no result; so are the sets of so many hosts at a time.
+LONGEST, HOSTS = 300, 2_000
+#: Most winning paths of all hosts together that are broadcast.
+BROADCAST_PATHS = 200_000
 
 #: Words that mark furniture in the four languages: fixed values.
 CUES = re.compile(
@@ -53,7 +61,8 @@ _NUMBERED = re.compile(r"^(?:#\.){1,3}(?=\s)")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
-_ENDED = re.compile(r"[.!?…][\"'”’»)\]]*$")
+_CLOSING, _STOPS = "\"'”’»)]", (".", "!", "?", "…")
+_SHRINKS = re.compile(r"\d|\s\s|\t|^[ .,;:|·•›»/>→–—]|[ .,;:|·•›»/>→–—]$")
 _BULLET = re.compile(r"^[–—•*·-]\s")
 
 
@@ -79,10 +88,11 @@ def lead_of(text: str, site: str | None) -> str | None:
 
 
 def is_prose(text: str) -> bool:
-    if not _ENDED.search(text[-12:].rstrip()):
+    """Ends like a sentence, has seven words or more, and a fifth of them are common ones: over the whole text."""
+    if text.rstrip().rstrip(_CLOSING)[-1:] not in _STOPS:
         return False
-    words = _WORD.findall(text[:240].lower())
-    return len(words) >= 7 and sum(w in COMMON for w in words) >= 0.2 * len(words)
+    words = _WORD.findall(text.lower())
+    return len(words) >= 7 and sum(map(COMMON.__contains__, words)) >= 0.2 * len(words)
 
 
 def title_like(text: str) -> bool:
@@ -93,10 +103,14 @@ def title_like(text: str) -> bool:
 
 
 def language_of(text: str) -> str:
-    """By the function words of the middle of the text."""
-    at = max(0, len(text) // 2 - 400)
-    seen = Counter(_WORD.findall(text[at : at + 800].lower()))
-    return max(_LANGUAGES, key=lambda k: (sum(seen[w] for w in _LANGUAGES[k]), k == "en"))
+    """By the function words of the text."""
+    return max(scores_of(text).items(), key=lambda x: (x[1], x[0] == "en"))[0]
+
+
+def scores_of(text: str) -> dict[str, int]:
+    """How many function words of each language a text has."""
+    seen = Counter(text.lower().split())
+    return {k: sum(seen[w] for w in words) for k, words in _LANGUAGES.items()}
 
 
 def parts_of(line: str) -> list[str]:
@@ -104,23 +118,21 @@ def parts_of(line: str) -> list[str]:
 
 
 def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
-    """The paths of one stripped line, with their scores; long prose is no container."""
+    """The paths of one stripped line, with their scores; long prose is a container as a whole (``long_lines``) only."""
     prose = is_prose(s) and "©" not in s and not (site and site in s)
-    if prose and len(s) > 160:
+    if prose and len(s) > LONG:
         return []
-    found: list[str] = []
-    if len(s) <= LONGEST:
-        found.append(generalise(s, site))
-        lead = lead_of(s, site)
-        if lead:
-            found.append(lead)
+    found: list[str] = [generalise(s, site)]
+    lead = lead_of(s, site)
+    if lead:
+        found.append(lead)
     parts = parts_of(s)
     if len(parts) > 1:
         found += [generalise(p, site) for p in parts]
-    elif len(s) <= 2 * LONGEST and not prose:
+    elif not prose:
         soft = _SOFT.split(s)
-        if 1 < len(soft) <= 12:
-            found += [generalise(p, site) for p in soft if len(p) <= 120]
+        if len(soft) > 1:
+            found += [generalise(p, site) for p in soft]
     return [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
 
 
@@ -172,6 +184,23 @@ def votes(articles: DataFrame) -> DataFrame:
     return _voters(articles).mapInPandas(batches, "site string, language string, path string, cued double, n long, titles long")
 
 
+def line_hash(line: str) -> str:
+    """The hash of a long line, numbers as one sign: as ``long_lines`` has it."""
+    return hashlib.md5(re.sub("[0-9]+", "#", line.strip(" \t\r")).encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def long_lines(voters: DataFrame, pages: DataFrame) -> DataFrame:
+    """(site, paths): hashes of lines longer than LONG, prose or not, that win by the number of a host's articles with them.
+
+    An article's own paragraph stands on one article; what stands on many of a host is none of them's own. All in the JVM.
+    """
+    lines = voters.select("site", "article_id", F.explode(F.split("text", "\n")).alias("_l")).where(F.length("_l") > LONG)
+    hashed = lines.select("site", "article_id", F.md5(F.regexp_replace(F.btrim("_l", F.lit(" \t\r")), "[0-9]+", "#").cast("binary")).alias("path")).distinct()
+    said = hashed.groupBy("site", "path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOST_ARTICLES)
+    won = said.join(broadcast_if_small(pages), F.col("site").eqNullSafe(F.col("_site"))).where(F.col("n") >= HOST_SHARE * F.col("pages"))
+    return won.select("site", "path")
+
+
 def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
     """(site, paths) of the hosts, and the winning paths by language."""
     tally = persisted(votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued")), "boilerplate-tally")
@@ -192,6 +221,8 @@ def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]
     # what introduces articles' own titles anywhere ("studio visit: *") introduces no teaser by itself
     of_titles = by_language.groupBy("path").agg(F.sum("titles").alias("t"), F.sum("n").alias("m")).where("t > 0.02 * m and path like '%: *'").select("path")
     won = won.join(of_titles, "path", "left_anti")
+    won = won.select("site", "path").union(long_lines(_voters(articles), of_site))
+    # at most the paths of a page over the least share
     return won.groupBy("site").agg(F.collect_list("path").alias("paths")), shared
 
 
@@ -200,28 +231,41 @@ class Extractor:
 
     def __init__(self, shared: dict[str, list[str]]):
         self.shared = {k: frozenset(v) for k, v in shared.items()}
-        self.every = frozenset(p for v in shared.values() for p in v)
-        self.memo: dict[str | None, dict[str, bool]] = {}
-        self.sets: dict[str | None, frozenset[str]] = {}
+        self.all = frozenset(p for v in shared.values() for p in v)
+        self.every, self.language = self.all, None
+        self.memo: dict[tuple[str | None, str | None], dict[str, bool]] = {}
+        self.sets: dict[str | None, tuple[frozenset[str], frozenset[str]]] = {}
 
-    def host(self, site: str | None, paths) -> frozenset[str]:
-        """A host's winning paths as a set, made once."""
+    def host(self, site: str | None, paths, heads=None) -> tuple[frozenset[str], frozenset[str]]:
+        """A host's winning paths, and those of them that head lists of titles, as sets that are made once."""
         found = self.sets.get(site)
         if found is None:
-            found = self.sets[site] = frozenset(paths) if paths is not None else frozenset()
+            if len(self.sets) >= HOSTS:
+                self.sets.clear()
+                self.memo.clear()
+            found = self.sets[site] = tuple(frozenset(x) if x is not None else frozenset() for x in (paths, heads))
         return found
 
+    def speak(self, text: str | None) -> None:
+        """Take the winning paths of a text's language; those of all languages where the text does not tell it clearly."""
+        told = sorted(((n, k) for k, n in scores_of(text).items()), reverse=True) if text and text.strip() else [(0, None), (0, None)]
+        self.language = told[0][1] if told[0][0] >= CLEAR and told[0][0] >= 3 * told[1][0] else None
+        self.every = self.all if self.language is None else self.shared.get(self.language, frozenset())
+
     def wins(self, text: str, site: str | None, host: frozenset[str]) -> bool:
         g = generalise(text, site)
         return bool(g) and (g in host or g in self.every)
 
     def whole(self, s: str, site: str | None, host: frozenset[str], title: str | None) -> bool:
         """Whether a line is made of winning paths. Short lines are remembered by host, unless the title may play a part."""
-        if len(s) > 160 and is_prose(s) and "©" not in s and not (site and site in s):
-            return False
+        if len(s) > LONG:
+            if host and line_hash(s) in host:
+                return True
+            if is_prose(s) and "©" not in s and not (site and site in s):
+                return False
         if _TRAIL.search(s):
             return self._whole(s, site, host, title)
-        known = self.memo.setdefault(site, {})
+        known = self.memo.setdefault((site, self.language), {})
         found = known.get(s)
         if found is None:
             found = self._whole(s, site, host, None)
@@ -250,7 +294,7 @@ class Extractor:
                 return True
         return False
 
-    def lines(self, text: str, site: str | None, title: str | None, host: frozenset[str]) -> list[int]:
+    def lines(self, text: str, site: str | None, title: str | None, host: frozenset[str], heads: frozenset[str]) -> list[int]:
         lines = text.split("\n")
         own = generalise(title, site) if title else ""
         kind: list[str] = []
@@ -277,7 +321,8 @@ class Extractor:
                 if kind[i]:
                     run.append(i)
                 i += 1
-            heading = before >= 0 and kind[before] == "won" and (generalise(lines[before], site) in self.headings)
+            above = generalise(lines[before], site) if before >= 0 and kind[before] == "won" else ""
+            heading = bool(above) and (above in heads or above in self.headings)
             if heading or (len(run) >= 2 and before >= 0 and kind[before] == "won" and not self._head(kind, before)):
                 for j in run:
                     kind[j] = "won"
@@ -318,29 +363,37 @@ class Extractor:
         return title_like(c) and not is_prose(c)
 
 
-def learn_headings(articles: DataFrame, hosts: DataFrame, shared: dict[str, list[str]]) -> frozenset[str]:
-    """Winning short paths below which titles stand more often than not, in at least three pages."""
+def learn_headings(pages: DataFrame, shared: dict[str, list[str]]) -> tuple[DataFrame, frozenset[str]]:
+    """(site, heads), and heads among the languages' winners: short winning paths below which titles stand more often
+    than not, in at least three pages of the host, or of all.
+
+    ``pages`` has site, title, text, paths. Hosts' heads stay in a table; what reaches the driver is bounded by ``shared``.
+    """
     tool = Extractor(shared)
 
     def batches(frames):
         for pdf in frames:
             seen: Counter = Counter()
             for site, title, text, paths in zip(pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
-                host = tool.host(site, paths)
-                lines = [x.strip() for x in text.split("\n") if x.strip()]
+                host, _ = tool.host(site, paths)
+                tool.speak(text)
+                lines = [x for line in text.split("\n") if (x := line.strip())]
                 for a, b in zip(lines, lines[1:], strict=False):
-                    if len(a) > 60:
-                        continue
+                    if len(a) > 60 and not (site and site in a) and not _SHRINKS.search(a):
+                        continue  # its path is as long
                     g = generalise(a, site)
                     if len(g) <= 40 and (g in host or g in tool.every) and not parts_of(a)[1:]:
                         lead = lead_of(b, site)
                         below = (title_like(b) and not tool.whole(b, site, host, title)) or bool(lead and lead.startswith("#."))
-                        seen[(g, below)] += 1
-            yield pd.DataFrame([(g, b, n) for (g, b), n in seen.items()], columns=["path", "below", "n"])
+                        seen[(site, g, g in tool.every, below)] += 1
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["site", "path", "common", "below", "n"])
 
-    read = articles.where("text is not null").select("site", "title", "text").join(hosts, "site", "left")
-    counted = read.mapInPandas(batches, "path string, below boolean, n long").groupBy("path").agg(F.sum(F.when(F.col("below"), F.col("n")).otherwise(0)).alias("yes"), F.sum("n").alias("n"))
-    return frozenset(r.path for r in counted.where("yes >= 3 and yes >= 0.5 * n").select("path").toLocalIterator())
+    counted = pages.mapInPandas(batches, "site string, path string, common boolean, below boolean, n long")
+    counted = persisted(counted.groupBy("site", "path", "common").agg(F.sum(F.when(F.col("below"), F.col("n")).otherwise(0)).alias("yes"), F.sum("n").alias("n")), "boilerplate-heads")
+    heads = "yes >= 3 and yes >= 0.5 * n"
+    by_host = counted.where(heads).groupBy("site").agg(F.collect_list("path").alias("heads"))  # some of its winning paths
+    common = counted.where("common").groupBy("path").agg(F.sum("yes").alias("yes"), F.sum("n").alias("n")).where(heads)
+    return by_host, frozenset(r.path for r in common.select("path").toLocalIterator())
 
 
 def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame:
@@ -352,8 +405,11 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
     """
     pages = articles.select("article_id", "site", "url", "title", "text")
     hosts, shared = winning_paths(pages)
-    hosts = broadcast_if_small(persisted(hosts, "boilerplate-hosts"), 20_000)
-    heads = learn_headings(pages, hosts, shared)
+    hosts = persisted(hosts, "boilerplate-hosts")
+    few = (hosts.agg(F.sum(F.size("paths"))).first()[0] or 0) <= BROADCAST_PATHS
+    bounded = (lambda side: F.broadcast(side)) if few else (lambda side: side)
+    by_host, heads = learn_headings(pages.where("text is not null").select("site", "title", "text").join(bounded(hosts), "site", "left"), shared)
+    hosts = bounded(persisted(hosts.join(by_host, "site", "left"), "boilerplate-hosts"))
 
     def tool() -> Extractor:
         made = Extractor(shared)
@@ -364,9 +420,10 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
         e = tool()
         for pdf in frames:
             rows = []
-            for aid, site, title, text, paths, contexts in zip(pdf["article_id"], pdf["site"], pdf["title"], pdf["text"], pdf["paths"], pdf["contexts"], strict=True):
-                host = e.host(site, paths)
-                won = e.lines(text, site, title, host) if text else []
+            for aid, site, title, text, paths, under, contexts in zip(*[pdf[c] for c in ("article_id", "site", "title", "text", "paths", "heads", "contexts")], strict=True):
+                host, mine = e.host(site, paths, under)
+                e.speak(text)
+                won = e.lines(text, site, title, host, mine) if text else []
                 rows += [("text", aid, i, None) for i in won]
                 if contexts is not None and len(contexts):
                     lines, bad = text.split("\n") if text else [], set(won)
@@ -374,7 +431,7 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
             yield pd.DataFrame(rows, columns=["field_name", "row_id", "line_no", "context"])
 
     schema = "field_name string, row_id long, line_no long, context string"
-    placed = pages.join(hosts, "site", "left").select("article_id", "site", "title", "text", "paths")
+    placed = pages.join(hosts, "site", "left").select("article_id", "site", "title", "text", "paths", "heads")
     filled = "text is not null and trim(text) <> ''"
     if images is None:
         alone = placed.where(filled).withColumn("contexts", F.lit(None).cast("array<string>"))
@@ -382,7 +439,7 @@ def furniture(articles: DataFrame, images: DataFrame | None = None) -> DataFrame
     with_context = images.where("context is not null and trim(context) <> ''").select("image_id", "article_id", "context")
     # a page's different contexts; each is at most 200 characters, and there are as many as the page has places
     distinct = with_context.select("article_id", "context").distinct().groupBy("article_id").agg(F.collect_list("context").alias("contexts"))
-    told = persisted(placed.where(filled).join(distinct, "article_id", "left").union(placed.where(f"not coalesce({filled}, false)").join(distinct, "article_id").select("article_id", "site", "title", "text", "paths", "contexts")).mapInPandas(batches, schema), "boilerplate-told")
+    told = persisted(placed.where(filled).join(distinct, "article_id", "left").union(placed.where(f"not coalesce({filled}, false)").join(distinct, "article_id").select("article_id", "site", "title", "text", "paths", "heads", "contexts")).mapInPandas(batches, schema), "boilerplate-told")
     bad = told.where("field_name = 'context'").select(F.col("row_id").alias("article_id"), "context")
     found = with_context.join(bad, ["article_id", "context"], "left_semi")
     return told.where("field_name = 'text'").select("field_name", "row_id", "line_no").union(found.select(F.lit("context"), "image_id", F.lit(0).cast("long")))
