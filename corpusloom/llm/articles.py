@@ -200,9 +200,12 @@ def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return subjects, general
 
 
-def labels_of(keys: DataFrame, located: DataFrame | None = None) -> DataFrame:
-    """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest."""
-    subjects, general = titles_of(keys)
+def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest.
+
+    ``told`` is ``titles_of`` the records where it is known.
+    """
+    subjects, general = told or titles_of(keys)
     texts = subjects.select("title", "words")
 
     def with_words(pairs: DataFrame) -> DataFrame:

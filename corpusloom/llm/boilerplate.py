@@ -62,7 +62,8 @@ _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 _CLOSING, _STOPS = "\"'”’»)]", (".", "!", "?", "…")
-_SHRINKS = re.compile(r"\d|\s\s|\t|^[ .,;:|·•›»/>→–—]|[ .,;:|·•›»/>→–—]$")
+_SHRINKS = re.compile(r"\d|\s\s")
+_EDGE = " .,;:|·•›»/>→–—"
 _BULLET = re.compile(r"^[–—•*·-]\s")
 
 
@@ -91,7 +92,7 @@ def is_prose(text: str) -> bool:
     """Ends like a sentence, has seven words or more, and a fifth of them are common ones: over the whole text."""
     if text.rstrip().rstrip(_CLOSING)[-1:] not in _STOPS:
         return False
-    words = _WORD.findall(text.lower())
+    words = text.lower().split()
     return len(words) >= 7 and sum(map(COMMON.__contains__, words)) >= 0.2 * len(words)
 
 
@@ -117,11 +118,20 @@ def parts_of(line: str) -> list[str]:
     return [p for p in _CUT.split(line) if p and p.strip()]
 
 
+def line_hash(s: str) -> str:
+    """The path of a long line as a whole: the hash of its letters, numbers as one sign."""
+    return "=" + hashlib.md5(_DIGITS.sub("#", s).encode("utf-8", "surrogatepass")).hexdigest()[:16]
+
+
 def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
-    """The paths of one stripped line, with their scores; long prose is a container as a whole (``long_lines``) only."""
+    """The paths of one stripped line, with their scores; long prose is a container as a whole only, by its hash."""
     prose = is_prose(s) and "©" not in s and not (site and site in s)
-    if prose and len(s) > LONG:
-        return []
+    if len(s) > LONG:
+        whole = [(line_hash(s), 0.0)]
+        if prose:
+            return whole
+    else:
+        whole = []
     found: list[str] = [generalise(s, site)]
     lead = lead_of(s, site)
     if lead:
@@ -133,7 +143,7 @@ def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
         soft = _SOFT.split(s)
         if len(soft) > 1:
             found += [generalise(p, site) for p in soft]
-    return [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
+    return whole + [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
 
 
 def page_paths(text: str, site: str | None, seen: dict[tuple[str | None, str], list] | None = None) -> dict[str, float]:
@@ -184,27 +194,12 @@ def votes(articles: DataFrame) -> DataFrame:
     return _voters(articles).mapInPandas(batches, "site string, language string, path string, cued double, n long, titles long")
 
 
-def line_hash(line: str) -> str:
-    """The hash of a long line, numbers as one sign: as ``long_lines`` has it."""
-    return hashlib.md5(re.sub("[0-9]+", "#", line.strip(" \t\r")).encode("utf-8", "surrogatepass")).hexdigest()
-
-
-def long_lines(voters: DataFrame, pages: DataFrame) -> DataFrame:
-    """(site, paths): hashes of lines longer than LONG, prose or not, that win by the number of a host's articles with them.
-
-    An article's own paragraph stands on one article; what stands on many of a host is none of them's own. All in the JVM.
-    """
-    lines = voters.select("site", "article_id", F.explode(F.split("text", "\n")).alias("_l")).where(F.length("_l") > LONG)
-    hashed = lines.select("site", "article_id", F.md5(F.regexp_replace(F.btrim("_l", F.lit(" \t\r")), "[0-9]+", "#").cast("binary")).alias("path")).distinct()
-    said = hashed.groupBy("site", "path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOST_ARTICLES)
-    won = said.join(broadcast_if_small(pages), F.col("site").eqNullSafe(F.col("_site"))).where(F.col("n") >= HOST_SHARE * F.col("pages"))
-    return won.select("site", "path")
-
-
 def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
     """(site, paths) of the hosts, and the winning paths by language."""
-    tally = persisted(votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued")), "boilerplate-tally")
-    by_language = tally.groupBy("language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"), F.count(F.when(F.col("n") > 0, 1)).alias("sites"))
+    tally = votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"))
+    # most long lines stand on one article: they are their article's own
+    tally = persisted(tally.where("n > 1 or path not like '=%'"), "boilerplate-tally")
+    by_language = tally.where("path not like '=%'").groupBy("language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"), F.count(F.when(F.col("n") > 0, 1)).alias("sites"))
     whole = {r.language: r.n for r in by_language.where("path = ''").toLocalIterator()}
     size = F.create_map(*[x for k, v in whole.items() for x in (F.lit(k), F.lit(v))]) if whole else F.create_map()
     pages = F.element_at(size.cast("map<string,bigint>"), F.col("language"))
@@ -221,7 +216,6 @@ def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]
     # what introduces articles' own titles anywhere ("studio visit: *") introduces no teaser by itself
     of_titles = by_language.groupBy("path").agg(F.sum("titles").alias("t"), F.sum("n").alias("m")).where("t > 0.02 * m and path like '%: *'").select("path")
     won = won.join(of_titles, "path", "left_anti")
-    won = won.select("site", "path").union(long_lines(_voters(articles), of_site))
     # at most the paths of a page over the least share
     return won.groupBy("site").agg(F.collect_list("path").alias("paths")), shared
 
@@ -376,10 +370,9 @@ def learn_headings(pages: DataFrame, shared: dict[str, list[str]]) -> tuple[Data
             seen: Counter = Counter()
             for site, title, text, paths in zip(pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
                 host, _ = tool.host(site, paths)
-                tool.speak(text)
                 lines = [x for line in text.split("\n") if (x := line.strip())]
                 for a, b in zip(lines, lines[1:], strict=False):
-                    if len(a) > 60 and not (site and site in a) and not _SHRINKS.search(a):
+                    if len(a) > 60 and len(a.strip(_EDGE)) > 40 and not (site and site in a) and not _SHRINKS.search(a):
                         continue  # its path is as long
                     g = generalise(a, site)
                     if len(g) <= 40 and (g in host or g in tool.every) and not parts_of(a)[1:]:

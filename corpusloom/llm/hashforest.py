@@ -28,6 +28,8 @@ from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
 
 #: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
 BUCKET = 64
+#: A run's files are split by so many leading bits of the hash.
+RANGE_BITS = 8
 MISSING = 2
 SHORT = 4
 
@@ -67,7 +69,8 @@ class HashForest:
         return found.drop("run")
 
     def _write(self, rows: DataFrame, part: str, run: int, lead: str) -> DataFrame:
-        rows.repartitionByRange(lead).sortWithinPartitions(lead).write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
+        # hashes are spread evenly, so their first bits are ranges of like size and no sample is needed
+        rows.repartition(F.shiftright(lead, 64 - RANGE_BITS)).sortWithinPartitions(lead).write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
 
     def add(self, entries: DataFrame, group: str, text: str, key: str, run: int = 0) -> DataFrame:

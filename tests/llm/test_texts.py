@@ -225,7 +225,7 @@ def test_the_gate_keeps_precision():
 
 def test_a_long_notice_in_full_sentences_is_furniture_of_its_host_only(spark):
     notice = "This house keeps the records of its visitors for 12 months and gives them to no one, as it was agreed in the year in which the first of the two buildings was opened to all who live in the town and around it."
-    rows = [(i, "s.example", f"https://s.example/{i}", f"Title {i}", f"{PROSE} It is number {i} of its kind.\n{notice.replace('12', str(i))}") for i in range(8)]
+    rows = [(i, "s.example", f"https://s.example/{i}", f"Title {i}", f"{PROSE[: 60 + 7 * i]} the {'abcdefgh'[i] * 5} of it.\n{notice.replace('12', str(i))}") for i in range(8)]
     rows += [(100 + i, f"o{i}.example", None, None, f"{PROSE} Another {i}.\n{notice}") for i in range(3)]
     df = spark.createDataFrame(rows, "article_id long, site string, url string, title string, text string")
     assert len(notice) > B.LONG and B.is_prose(notice)
