@@ -189,23 +189,23 @@ def article_labels(signals: DataFrame) -> DataFrame:
     return labels_of(keyed(signals))
 
 
-def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(title, publisher, words) of the titles that name a subject, and the general ones (as ``_general``)."""
+def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(title, publisher, words) of the titles that name a subject, the general ones (as ``_general``), and all titles."""
     titles = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"))
     titles = persisted(titles, "article-titles")
     many = titles.groupBy(F.xxhash64("words").alias("_w")).agg(F.count(F.lit(1)).alias("_p")).where("_p > 1").select("_w")
     many = broadcast_if_small(persisted(many, "article-general"))
     subjects = persisted(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_anti"), "article-subjects")
     general = broadcast_if_small(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_semi").select(F.col("title").alias("_general")))
-    return subjects, general
+    return subjects, general, titles
 
 
-def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest.
 
     ``told`` is ``titles_of`` the records where it is known.
     """
-    subjects, general = told or titles_of(keys)
+    subjects, general, _ = told or titles_of(keys)
     texts = subjects.select("title", "words")
 
     def with_words(pairs: DataFrame) -> DataFrame:

@@ -54,35 +54,45 @@ _LANGUAGES = {
 }
 _CUT = re.compile(r"\s[|·•›»/>→]\s|\s[–—]\s|\s{2,}|\t")
 _SOFT = re.compile(r"(?<=[^\W])[.,;]\s+|\s(?=[©¿])")
+#: One of these stands wherever _CUT cuts: white space other than a single blank, or a separator.
+_CUTTERS = ("|", "·", "•", "›", "»", "/", ">", "→", "–", "—", "  ", "\t", "\xa0", "\u2002", "\u2003", "\u2009", "\u202f", "\u3000", "\r", "\x0b", "\x0c")
+_SOFTENERS = (".", ",", ";", "©", "¿")
 _ANY = re.compile(_SOFT.pattern + "|" + _CUT.pattern)
 _TRAIL = re.compile(r"\s(?:>|»|/|›)\s")
 _LEAD = re.compile(r"^([^\W\d][^:→|·]{1,40}?)\s?(?:[:→]|\s[–—])\s+(?=\S)")
 _NUMBERED = re.compile(r"^(?:#\.){1,3}(?=\s)")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile("[0-9]+")
 _SPACE = re.compile(r"\s+")
 _CLOSING, _STOPS = "\"'”’»)]", (".", "!", "?", "…")
-_SHRINKS = re.compile(r"\d|\s\s")
 _EDGE = " .,;:|·•›»/>→–—"
 _BULLET = re.compile(r"^[–—•*·-]\s")
 
 
 def generalise(text: str, site: str | None) -> str:
-    out = _SPACE.sub(" ", text).strip()
+    out = " ".join(text.split())
     if site:
         out = out.replace(site, "<site>")
-    return _DIGITS.sub("#", out.lower()).strip(" .,;:|·•›»/>→–—")
+    return numbers_as_signs(out.lower()).strip(_EDGE)
 
 
-def lead_of(text: str, site: str | None) -> str | None:
-    """The path of what comes before a title: its introducing words or its numbering."""
-    g = generalise(text, site)
-    if re.match(r"\s*#\s", text):
+def has_number(text: str) -> bool:
+    return any(map(text.__contains__, "0123456789"))
+
+
+def numbers_as_signs(text: str) -> str:
+    return _DIGITS.sub("#", text) if has_number(text) else text
+
+
+def lead_of(text: str, site: str | None, g: str | None = None) -> str | None:
+    """The path of what comes before a title: its introducing words or its numbering. ``g`` is the text generalised."""
+    g = generalise(text, site) if g is None else g
+    if text.lstrip()[:1] == "#" and re.match(r"\s*#\s", text):
         return "# tags *"
     m = _NUMBERED.match(g)
     if m:
         return m.group() + " *"
-    m = _LEAD.match(_SPACE.sub(" ", text).strip())
+    m = _LEAD.match(" ".join(text.split())) if any(map(text.__contains__, ":→–—")) else None
     if m and len(_WORD.findall(m.group(1))) <= 4:
         return generalise(m.group(1), site) + ": *"
     return None
@@ -99,8 +109,10 @@ def is_prose(text: str) -> bool:
 def title_like(text: str) -> bool:
     """Short, not a sentence, not a list entry, and more than a two-word subhead."""
     t = text.strip()
+    if not t or len(t) > 110 or t[-1] in ".!;,…”\"»" or t[0] in "“\"«" or t[0].islower() or _BULLET.match(t):
+        return False
     n = len(_WORD.findall(t))
-    return 2 <= n <= 16 and len(t) <= 110 and not _BULLET.match(t) and not re.search(r"[.!;,…”\"»]$", t) and (n >= 3 or ":" in t) and not t[:1].islower() and t[:1] not in "“\"«"
+    return 2 <= n <= 16 and (n >= 3 or ":" in t)
 
 
 def language_of(text: str) -> str:
@@ -115,9 +127,15 @@ def scores_of(text: str) -> dict[str, int]:
 
 
 def parts_of(line: str) -> list[str]:
+    if not any(map(line.__contains__, _CUTTERS)):
+        return [line]
     return [p for p in _CUT.split(line) if p and p.strip()]
 
 
+def soft_parts(line: str, split: re.Pattern) -> list[str]:
+    return [p for p in split.split(line) if p and p.strip()] if any(map(line.__contains__, _SOFTENERS if split is _SOFT else _SOFTENERS + _CUTTERS)) else [line]
+
+
 def line_hash(s: str) -> str:
     """The path of a long line as a whole: the hash of its letters, numbers as one sign."""
     return "=" + hashlib.md5(_DIGITS.sub("#", s).encode("utf-8", "surrogatepass")).hexdigest()[:16]
@@ -133,14 +151,14 @@ def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
     else:
         whole = []
     found: list[str] = [generalise(s, site)]
-    lead = lead_of(s, site)
+    lead = lead_of(s, site, found[0])
     if lead:
         found.append(lead)
     parts = parts_of(s)
     if len(parts) > 1:
         found += [generalise(p, site) for p in parts]
     elif not prose:
-        soft = _SOFT.split(s)
+        soft = soft_parts(s, _SOFT)
         if len(soft) > 1:
             found += [generalise(p, site) for p in soft]
     return whole + [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
@@ -268,9 +286,10 @@ class Extractor:
         return found
 
     def _whole(self, s: str, site: str | None, host: frozenset[str], title: str | None) -> bool:
-        if self.wins(s, site, host):
-            return not is_prose(s) or generalise(s, site) in host
-        lead = lead_of(s, site)
+        g = generalise(s, site)
+        if g and (g in host or g in self.every):
+            return g in host or not is_prose(s)
+        lead = lead_of(s, site, g)
         if lead and (lead in host or lead in self.every) and not is_prose(s):
             return True
         parts = parts_of(s)
@@ -283,7 +302,7 @@ class Extractor:
             if won[0] and _TRAIL.search(s) and len(parts) <= 3:
                 return True
         for split in (_SOFT, _ANY):
-            soft = [p for p in split.split(s) if p and p.strip()]
+            soft = soft_parts(s, split)
             if len(soft) > 1 and sum(len(p) for p in soft if self.wins(p, site, host)) >= 0.6 * sum(map(len, soft)):
                 return True
         return False
@@ -366,15 +385,20 @@ def learn_headings(pages: DataFrame, shared: dict[str, list[str]]) -> tuple[Data
     tool = Extractor(shared)
 
     def batches(frames):
+        known: dict[tuple[str | None, str], str] = {}
         for pdf in frames:
             seen: Counter = Counter()
             for site, title, text, paths in zip(pdf["site"], pdf["title"], pdf["text"], pdf["paths"], strict=True):
                 host, _ = tool.host(site, paths)
                 lines = [x for line in text.split("\n") if (x := line.strip())]
                 for a, b in zip(lines, lines[1:], strict=False):
-                    if len(a) > 60 and len(a.strip(_EDGE)) > 40 and not (site and site in a) and not _SHRINKS.search(a):
+                    if len(a) > 60 and len(a.strip(_EDGE)) > 40 and not (site and site in a) and not has_number(a) and len(" ".join(a.split())) > 60:
                         continue  # its path is as long
-                    g = generalise(a, site)
+                    g = known.get((site, a))
+                    if g is None:
+                        g = generalise(a, site)
+                        if len(known) < 100_000:
+                            known[(site, a)] = g
                     if len(g) <= 40 and (g in host or g in tool.every) and not parts_of(a)[1:]:
                         lead = lead_of(b, site)
                         below = (title_like(b) and not tool.whole(b, site, host, title)) or bool(lead and lead.startswith("#."))

@@ -86,11 +86,11 @@ class HashForest:
         hashes = F.transform("_w", lambda w: F.xxhash64("g", w))
         bits = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
         led = named.withColumn("bits", bits).select("g", "k", F.struct("n", "bits").alias("e"), F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
-        mine = self._write(led.select("w", "g", "k", "e", "word"), "posts", run, "w")
+        mine = self._write(led.select("w", "g", "k", "e"), "posts", run, "w")
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
         # the batch's words, and all words one slip apart from them
-        own = persisted(mine.groupBy("g", "w").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "forest-words")
+        own = persisted(led.groupBy("g", "w").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "forest-words")
         cut = own.where((F.length("word") >= 3) & ~_number(F.col("word"))).select("w", F.explode(deletions("word")).alias("_c"), "g").select(F.xxhash64("g", "_c").alias("c"), "w")
         fresh = cut if older is None else cut.join(older.select("w"), "w", "left_anti")
         added = self._write(fresh.select("c", "w"), "words", run, "c")
@@ -156,7 +156,7 @@ class HashForest:
         posts = self.read("posts")
         if posts is None:
             return merged
-        posts = merged._write(posts.select("w", "g", "k", "e", "word"), "posts", 0, "w")
+        posts = merged._write(posts.select("w", "g", "k", "e"), "posts", 0, "w")
         merged._write(self.read("words").select("c", "w").distinct(), "words", 0, "c")
         counted = posts.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
         words = merged.read("words")
