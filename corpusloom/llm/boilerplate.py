@@ -184,7 +184,7 @@ def _voters(articles: DataFrame) -> DataFrame:
     """One page of each article of a host: pages fetched twice vote once."""
     pages = articles.where("text is not null and trim(text) <> ''").withColumn("_who", F.coalesce(F.nullif(F.trim("title"), F.lit("")), "url", F.col("article_id").cast("string")))
     first = pages.groupBy("site", "_who").agg(F.min("article_id").alias("article_id"))
-    return pages.join(first.select("article_id"), "article_id", "left_semi").select("article_id", "site", "title", "text")
+    return pages.join(broadcast_if_small(first.select("article_id")), "article_id", "left_semi").select("article_id", "site", "title", "text")
 
 
 def votes(articles: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 The words of a text, hashed within its group, are its signature; each word leads one permutation of it. The permutations of
 all texts, sorted by their leading hash, are a forest of prefix trees, and every batch adds one run of it. Three sorted
-runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each new word under what is left of it without one
-letter, so that words one slip apart stand side by side) and ``askers`` (the prefix that a text is looked up by).
+runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each word with its count; words one slip apart
+are found by what is left of them without one letter) and ``askers`` (the prefix that a text is looked up by).
 
 An entry is located by the range of permutations that begin with its rarest word or a near one. Of two texts that
 ``articles.same_title`` can call the same, each word of the shorter one stands in the longer, at most one slip away
@@ -45,6 +45,12 @@ def deletions(word: str) -> Column:
     return F.array_distinct(F.array_append(left, F.col(word)))
 
 
+def _left_over(words: DataFrame) -> DataFrame:
+    """(c, w): each word of (w, g, word) under the hashes of what is left of it; numbers and short words only match themselves."""
+    cut = words.where((F.length("word") >= 3) & ~_number(F.col("word"))).select("w", "g", F.explode(deletions("word")).alias("_c"))
+    return cut.select(F.xxhash64("g", "_c").alias("c"), "w")
+
+
 def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool) -> DataFrame:
     """(a, b): pairs of a shorter text that asks and a longer one in its range whose words' bits leave them possible."""
     pairs = askers.alias("l").join(posts.alias("r"), on).where("l.k <> r.k and l.e.n <= r.e.n")
@@ -90,14 +96,17 @@ class HashForest:
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
         # the batch's words, and all words one slip apart from them
-        own = persisted(led.groupBy("g", "w").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "forest-words")
-        cut = own.where((F.length("word") >= 3) & ~_number(F.col("word"))).select("w", F.explode(deletions("word")).alias("_c"), "g").select(F.xxhash64("g", "_c").alias("c"), "w")
-        fresh = cut if older is None else cut.join(older.select("w"), "w", "left_anti")
-        added = self._write(fresh.select("c", "w"), "words", run, "c")
+        own = self._write(led.groupBy("w", "g").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "words", run, "w")
         known_words = self.read("words", run) if run else None
-        beside = added if known_words is None else known_words.select("c", "w").union(added)
-        asked_words = added if older is None else persisted(cut, "forest-asked-words")
-        near = persisted(asked_words.join(beside.withColumnRenamed("w", "v"), "c").where("w <> v").select("w", "v").distinct(), "forest-near")
+        if known_words is None:
+            # as many words a key as the alphabet allows
+            shared = _left_over(own).groupBy("c").agg(F.collect_list("w").alias("ws")).where(F.size("ws") > 1)
+            near = shared.select(F.explode("ws").alias("w"), "ws").select("w", F.explode("ws").alias("v"))
+        else:
+            asked_words = persisted(_left_over(own), "forest-asked-words")
+            beside = _left_over(known_words).join(broadcast_if_small(asked_words.select("c").distinct()), "c", "left_semi").union(asked_words)
+            near = asked_words.join(beside.withColumnRenamed("w", "v"), "c").select("w", "v")
+        near = persisted(near.where("w <> v").distinct(), "forest-near")
 
         # how many texts each of them has
         if older is None:
@@ -157,10 +166,10 @@ class HashForest:
         if posts is None:
             return merged
         posts = merged._write(posts.select("w", "g", "k", "e"), "posts", 0, "w")
-        merged._write(self.read("words").select("c", "w").distinct(), "words", 0, "c")
-        counted = posts.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-        words = merged.read("words")
-        near = words.join(words.withColumnRenamed("w", "v"), "c").where("w <> v").select("w", "v").distinct()
+        words = merged._write(self.read("words").groupBy("w", "g").agg(F.first("word").alias("word"), F.sum("df").alias("df")), "words", 0, "w")
+        counted = words.select("w", "df")
+        shared = _left_over(words).groupBy("c").agg(F.collect_list("w").alias("ws")).where(F.size("ws") > 1)
+        near = shared.select(F.explode("ws").alias("w"), "ws").select("w", F.explode("ws").alias("v")).where("w <> v").distinct()
         more = near.join(counted.withColumnRenamed("w", "v"), "v").groupBy("w").agg(F.sum("df").alias("more"))
         known = counted.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
         chosen = self._prefixes(posts.join(known, "w"))
