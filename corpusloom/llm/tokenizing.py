@@ -10,12 +10,12 @@ in rank order. The lexicon only decides which words are looked up, never what co
 
 from __future__ import annotations
 
+import ast
 import base64
 import os
 import re
 import uuid
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +38,12 @@ def load_ranks(name: str, folder: str = TOKENIZERS) -> dict[bytes, int]:
 
 
 def piece_pattern(folder: str = TOKENIZERS) -> str:
-    """The pre-token pattern published beside the vocabulary."""
-    scope: dict = {"__file__": f"{folder}/__init__.py", "__name__": "tokenizer_files"}
+    """The pre-token pattern published beside the vocabulary; the file is read, not run."""
     with open(f"{folder}/__init__.py") as f:
-        exec(compile(f.read(), scope["__file__"], "exec"), scope)  # noqa: S102 - the installed vocabulary package
-    return scope["PATTERN"]
+        for node in ast.parse(f.read()).body:
+            if isinstance(node, ast.Assign) and any(isinstance(t, ast.Name) and t.id == "PATTERN" for t in node.targets):
+                return ast.literal_eval(node.value)
+    raise ValueError(f"no pattern in {folder}")
 
 
 def merge_exactly(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -226,15 +227,25 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def _worker_encoder(name: str, folder: str, lexicon_dir: str | None) -> Encoder:
-    return Encoder(load_ranks(name, folder), piece_pattern(folder), Transducer.mapped(lexicon_dir) if lexicon_dir else None)
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _worker_encoder(name: str, folder: str, lexicon_dir: str | None, shared) -> Encoder:
+    """One encoder a worker and lexicon: mapped from a mounted folder, else from the broadcast arrays."""
+    key = (name, folder, lexicon_dir, None if shared is None else id(shared.value))
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        lexicon = Transducer.mapped(lexicon_dir) if lexicon_dir else Transducer(shared.value)
+        _ENCODERS[key] = Encoder(load_ranks(name, folder), piece_pattern(folder), lexicon)
+    return _ENCODERS[key]
 
 
 def compile_lexicon(texts: DataFrame, column: str, name: str, folder: str = TOKENIZERS) -> Transducer:
-    """The frequent words of at most LEXICON_TEXTS texts, with their ids."""
+    """The frequent words of at most LEXICON_TEXTS texts, chosen by their hash over the whole table, with their ids."""
     split, ranks, count = regex.compile(piece_pattern(folder)).findall, load_ranks(name, folder), Counter()
-    for row in texts.where(F.length(column) > 0).select(F.substring(column, 1, 20_000).alias("t")).limit(LEXICON_TEXTS).toLocalIterator():
+    share = min(1.0, 2 * LEXICON_TEXTS / max(texts.count(), 1))
+    some = texts.where((F.length(column) > 0) & ((F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(share * 1_000_000)) | F.lit(share >= 1.0)))
+    for row in some.select(F.col(column).alias("t")).limit(LEXICON_TEXTS).toLocalIterator():
         count.update(split(row.t))
     return Transducer.compile({w.encode(): merge_exactly(w.encode(), ranks) for w, _ in count.most_common(LEXICON_WORDS)})
 
@@ -250,20 +261,22 @@ def encode(df: DataFrame, column: str = "text", name: str = "byte_bpe_50k", fold
     """Add ``ids`` (array<int>): the text's ids without special tokens.
 
     Null and empty texts get an empty array; special tokens' strings in a text are ordinary text; repeated and
-    very long texts are encoded like any other. The only data sent to the workers is the lexicon's folder name.
-    Where the shared folder is no mounted path, workers go without the lexicon and merge exactly, with the same ids.
+    very long texts are encoded like any other. Workers map the lexicon from the shared folder where that is a mounted
+    path; on an object store its arrays, bounded by LEXICON_WORDS, are broadcast instead.
     """
     spark: SparkSession = df.sparkSession
     root = _as_local(shared_dir(spark))
-    lexicon_dir = None
+    lexicon, lexicon_dir, shared = compile_lexicon(df, column, name, folder), None, None
     if root:
         lexicon_dir = f"{root.rstrip('/')}/lexicon-{uuid.uuid4().hex}"
-        compile_lexicon(df, column, name, folder).save(lexicon_dir)
+        lexicon.save(lexicon_dir)
+    else:
+        shared = spark.sparkContext.broadcast(lexicon.arrays)
 
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def batches(it):
-        enc = _worker_encoder(name, folder, lexicon_dir)
+        enc = _worker_encoder(name, folder, lexicon_dir, shared)
         for batch in it:
             flat, offsets = [], [0]
             for text in batch.column(column).to_pylist():

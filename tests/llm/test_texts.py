@@ -64,6 +64,13 @@ def test_encode(spark):
     assert tokenizing.encode(df.limit(0)).count() == 0
 
 
+def test_encode_without_a_mounted_folder(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "The echo of the lens, the lens."), (2, None), (3, "")], "doc_id long, text string")
+    want = {r.doc_id: r.ids for r in tokenizing.encode(df).collect()}
+    monkeypatch.setattr(tokenizing, "_as_local", lambda path: None)
+    assert {r.doc_id: r.ids for r in tokenizing.encode(df).collect()} == want and want[2] == want[3] == []
+
+
 # --- leaked passages ---
 
 VOCABULARY = [f"w{i}" for i in range(400)]
