@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -299,34 +299,75 @@ def _as_text(value) -> str | None:
     return str(value)
 
 
+#: What each type of a field is in the consistent table.
+COLUMNS = {"string": "string", "number": "double", "boolean": "boolean", "array": "array<string>"}
+
+
+def cast_value(value, kind: str):
+    """A value as a field's type; null with the text kept apart (``rejects``) where it does not fit.
+
+    Text takes everything; numbers take what reads as one, booleans "true" and "false" in any case; arrays take a lone
+    value as their only element. Booleans are no numbers.
+    """
+    if value is None:
+        return None, False
+    if kind == "string":
+        return _as_text(value), False
+    if kind == "array":
+        return [_as_text(v) for v in value] if isinstance(value, list) else [_as_text(value)], False
+    if kind == "boolean":
+        said = value if isinstance(value, bool) else {"true": True, "false": False}.get(value.strip().lower()) if isinstance(value, str) else None
+        return said, said is None
+    if isinstance(value, bool) or isinstance(value, list):
+        return None, True
+    try:
+        number = float(value)
+    except (ValueError, OverflowError):
+        return None, True
+    return (number, False) if math.isfinite(number) else (None, True)
+
+
+def field_types(profiled: DataFrame, named: dict[str, str]) -> dict[str, str]:
+    """Each consistent name's type: that of most non-null values under any of its names, by the order of TYPES where they tie."""
+    counts: dict[str, Counter] = defaultdict(Counter)
+    for r in profiled.where("field is not null and kind <> 'null'").groupBy("field", "kind").agg(F.sum("n").alias("n")).toLocalIterator():  # a few rows a name
+        counts[named.get(r.field, r.field)][r.kind] += r.n
+    return {n: max(TYPES, key=lambda t: (counts[n][t], -TYPES.index(t))) if counts[n] else "string" for n in set(named.values())}
+
+
 def consistent_table(raw: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """All records in one table: the record's own columns, then a string column ``f_<name>`` for each consistent name.
+    """All records in one table: the record's own columns, then ``f_<name>`` for each consistent name, typed, and ``rejects``.
 
-    Every value is cast to text (booleans as true/false, arrays as JSON), the one type all files' values fit.
-    Unreadable payloads give nulls in every field and ``readable`` false; where two old names of one record lead to one
-    consistent name, the first non-null in the order of the names stands. Own columns of these names give way.
+    A field has the type of most of its values over all files (``field_types``); single values are cast to it, and those
+    that do not fit are null there and kept as text in the map ``rejects`` by column. Unreadable payloads give nulls in
+    every field and ``readable`` false; where two old names of one record lead to one consistent name, the first non-null
+    in the order of the names stands. Own columns of these names give way.
     """
     profiled = persisted(profiles(raw), "profiles")
     named = canonical_names(changes(raw, profiled), profiled, side_by_side(profiled))
-    targets = sorted(set(named.values())) if fields is None else fields
-    place = {n: i for i, n in enumerate(targets)}
-    named_out = {"payload", "readable", *[f"f_{t.replace('.', '_')}" for t in targets]}
-    keep = [c for c in raw.columns if c not in named_out]
+    kinds = field_types(profiled, named)
+    targets = sorted(kinds) if fields is None else fields
+    columns = [f"f_{t.replace('.', '_')}" for t in targets]
+    place = {n: (i, kinds.get(n, "string")) for i, n in enumerate(targets)}
+    keep = [c for c in raw.columns if c not in {"payload", "readable", "rejects", *columns}]
 
     def batches(frames):
         for pdf in frames:
-            rows, readable = [], []
+            rows, readable, rejects = [], [], []
             for payload in pdf["payload"]:
-                record, row = read_record(payload), [None] * len(targets)
+                record, row, odd = read_record(payload), [None] * len(targets), {}
                 readable.append(record is not None)
                 for path, value in sorted(flatten(record or {}), key=lambda x: x[0]):
-                    i = place.get(named.get(path, path))
-                    if i is not None and row[i] is None:
-                        row[i] = _as_text(value)
+                    i, kind = place.get(named.get(path, path), (None, ""))
+                    if i is not None and row[i] is None and columns[i] not in odd:
+                        row[i], unfit = cast_value(value, kind)
+                        if unfit:
+                            odd[columns[i]] = _as_text(value)
                 rows.append(row)
-            made = pd.DataFrame(rows, columns=[f"f_{t.replace('.', '_')}" for t in targets], index=pdf.index, dtype=object)
-            yield pd.concat([pdf[keep], pd.Series(readable, index=pdf.index, name="readable", dtype=bool), made], axis=1)
+                rejects.append(odd)
+            made = pd.DataFrame(rows, columns=columns, index=pdf.index, dtype=object)
+            yield pd.concat([pdf[keep], pd.Series(readable, index=pdf.index, name="readable", dtype=bool), made, pd.Series(rejects, index=pdf.index, name="rejects", dtype=object)], axis=1)
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields if f.name in keep)
-    schema = ", ".join(x for x in (own, "readable boolean", *[f"`f_{t.replace('.', '_')}` string" for t in targets]) if x)
-    return raw.mapInPandas(batches, schema)
+    typed = [f"`{c}` {COLUMNS[kinds.get(t, 'string')]}" for c, t in zip(columns, targets, strict=True)]
+    return raw.mapInPandas(batches, ", ".join(x for x in (own, "readable boolean", *typed, "rejects map<string,string>") if x))

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from corpusloom.operators import schema_drift as D
 
 RAW = "record_id long, feed string, file_no int, file_name string, payload string, readable string"
@@ -62,7 +64,17 @@ def test_consistent_table(spark):
     graded = [{"id": r["id"], "grade": r["tier"], "n": [1, None]} for r in TIERS[:3]]
     raw = spark.createDataFrame(feed("f", {1: TIERS, 2: graded, 3: ["{"]}), RAW)  # with a column of a name that clashes
     got = D.consistent_table(raw)
-    assert got.columns == ["record_id", "feed", "file_no", "file_name", "readable", "f_grade", "f_id", "f_n"]  # a tie: the first by name
+    assert got.columns == ["record_id", "feed", "file_no", "file_name", "readable", "f_grade", "f_id", "f_n", "rejects"]  # a tie: the first by name
     rows = got.orderBy("record_id").collect()
     assert [r.f_grade for r in rows] == ["core", "extended", "core", "core", "core", "extended", "core", None]
-    assert rows[4].f_n == "[1, null]" and not rows[-1].readable and rows[0].f_n == "0"
+    assert rows[0].f_n == 0.0 and rows[0].rejects == {} and not rows[-1].readable  # mostly numbers
+    assert rows[4].f_n is None and rows[4].rejects == {"f_n": "[1, null]"}
+
+
+@pytest.mark.parametrize(
+    ("value", "kind", "cast"),
+    [(True, "string", "true"), ("12.5", "number", 12.5), (True, "number", None), ("x", "number", None), ("nan", "number", None), (" TRUE ", "boolean", True), (1, "boolean", None), ("a", "array", ["a"]), ([1, None], "array", ["1", None]), (None, "number", None)],
+)
+def test_values_are_cast_or_kept_apart(value, kind, cast):
+    got, unfit = D.cast_value(value, kind)
+    assert got == cast and unfit == (cast is None and value is not None)
