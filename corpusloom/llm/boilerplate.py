@@ -138,7 +138,7 @@ def soft_parts(line: str, split: re.Pattern) -> list[str]:
 
 def line_hash(s: str) -> str:
     """The path of a long line as a whole: the hash of its letters, numbers as one sign."""
-    return "=" + hashlib.md5(_DIGITS.sub("#", s).encode("utf-8", "surrogatepass")).hexdigest()[:16]
+    return "=" + hashlib.md5(numbers_as_signs(s).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
@@ -246,6 +246,8 @@ class Extractor:
         self.all = frozenset(p for v in shared.values() for p in v)
         self.every, self.language = self.all, None
         self.memo: dict[tuple[str | None, str | None], dict[str, bool]] = {}
+        #: Whether a host has long lines that win.
+        self.hashed: dict[str | None, bool] = {}
         self.sets: dict[str | None, tuple[frozenset[str], frozenset[str]]] = {}
 
     def host(self, site: str | None, paths, heads=None) -> tuple[frozenset[str], frozenset[str]]:
@@ -254,8 +256,10 @@ class Extractor:
         if found is None:
             if len(self.sets) >= HOSTS:
                 self.sets.clear()
+                self.hashed.clear()
                 self.memo.clear()
             found = self.sets[site] = tuple(frozenset(x) if x is not None else frozenset() for x in (paths, heads))
+            self.hashed[site] = any(p.startswith("=") for p in found[0])
         return found
 
     def speak(self, text: str | None) -> None:
@@ -271,7 +275,7 @@ class Extractor:
     def whole(self, s: str, site: str | None, host: frozenset[str], title: str | None) -> bool:
         """Whether a line is made of winning paths. Short lines are remembered by host, unless the title may play a part."""
         if len(s) > LONG:
-            if host and line_hash(s) in host:
+            if self.hashed.get(site) and line_hash(s) in host:
                 return True
             if is_prose(s) and "©" not in s and not (site and site in s):
                 return False

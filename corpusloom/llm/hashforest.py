@@ -62,8 +62,10 @@ def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool)
 class HashForest:
     """The forest in the folder ``path``: ``<part>/run=<n>``."""
 
-    def __init__(self, spark: SparkSession, path: str, lenient: bool = False, bucket: int = BUCKET):
+    def __init__(self, spark: SparkSession, path: str, lenient: bool = False, bucket: int = BUCKET, once: bool = False):
         self.spark, self.path, self.lenient, self.bucket = spark, path.rstrip("/"), lenient, bucket
+        #: A forest that is located once and not kept needs no order on disk.
+        self.once = once
 
     def read(self, part: str, before: int | None = None) -> DataFrame | None:
         """A part of all runs, or of those before a run; null where there are none."""
@@ -75,6 +77,9 @@ class HashForest:
         return found.drop("run")
 
     def _write(self, rows: DataFrame, part: str, run: int, lead: str) -> DataFrame:
+        if self.once:
+            rows.write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
+            return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
         # hashes are spread evenly, so their first bits are ranges of like size and no sample is needed
         rows.repartition(F.shiftright(lead, 64 - RANGE_BITS)).sortWithinPartitions(lead).write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
@@ -182,9 +187,9 @@ def near_pairs(entries: DataFrame, group: str, text: str, key: str, lenient: boo
 
     Without ``path`` the forest is only made for this and goes when the application ends.
     """
-    spark = entries.sparkSession
+    spark, once = entries.sparkSession, path is None
     if path is None:
         path = f"{shared_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return HashForest(spark, path, lenient, bucket).add(entries, group, text, key)
+    return HashForest(spark, path, lenient, bucket, once).add(entries, group, text, key)
