@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import broadcast_if_small, persisted
+
 
 def normalised(column: Column) -> Column:
     """Lower case, without white space at the ends."""
@@ -71,7 +73,9 @@ def survivors(
         F.min(key).alias(f"first_{key}"),
         F.max(F.struct(filled.alias("c"), when.alias("o"), F.col(key).alias("k"))).alias("_best"),
     )
-    groups = groups.where("_n > 1").select(group, f"first_{key}", F.col("_best.k").alias(f"best_{key}"))
+    groups = persisted(groups.where("_n > 1").select(group, f"first_{key}", F.col("_best.k").alias(f"best_{key}")), "survivor-groups")
+    # lone records have no say in any group
+    base = base.join(broadcast_if_small(groups.select(group)), group, "left_semi")
 
     votes = base.select(group, key, when.alias("_o"), weight.alias("_w"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_{f}").alias("value")) for f in fields])).alias("_f"))
     votes = votes.where("_f.value is not null").select(group, key, "_o", "_w", "_f.*")
