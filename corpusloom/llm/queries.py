@@ -72,11 +72,6 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.History(spark, _folder(spark, "history")).accept(table(spark, sf_dir, "tagged_signals"), 0)
 
 
-def p7_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The repeats where every file is a batch of its own against the history of the files before it."""
-    return history.by_files(history.History(spark, _folder(spark, "history")), table(spark, sf_dir, "tagged_signals"))[0]
-
-
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = table(spark, sf_dir, "corpus")
     scored = distinctive.ppmi(corpus, "ord", ["title", "summary"], min_tf=3, min_df=2, max_df=8)
@@ -117,7 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_validation": p4_validation,
     "p7_found": p7_found,
-    "p7_by_file": p7_by_file,
     "p6_found": p6_found,
     "p6_scores": p6_scores,
     "p8_ids": p8_ids,
