@@ -1,8 +1,8 @@
 """Similarity clusters of embedding vectors, by Gaussian mixtures.
 
 Vectors are reduced to their principal axes and standardised. A mixture with regularised (diagonal plus ridge)
-covariances is fitted by expectation-maximization on a bounded sample, with the number of components chosen by the
-Bayesian information criterion; it routes every row to its most probable components, twice with different starts. What
+covariances is fitted by expectation-maximization on all rows, in passes of partial sums, with the number of components
+chosen by the Bayesian information criterion over all rows; only its start comes from a sample. It routes every row to its most probable components, twice with different starts. What
 is routed to one component is small (the number of components follows the number of rows), and a component that holds
 more rows than a leaf is split by salt: its leaves are reduced to representatives first, which then meet in one leaf.
 
@@ -30,8 +30,10 @@ from corpusloom.runtime import persisted
 
 ALIKE, APART, LEAST = 0.7, 0.65, 5
 BYTES = 128
-#: The router is fitted on at most so many rows; every row is routed, linked and checked.
+#: A router's fit starts from about so many rows; where there are more, it goes on over all of them.
 SAMPLE = 20_000
+#: A router has at most so many components.
+COMPONENTS = 2_500
 AXES = 48
 LEAF = 1_000
 #: How many components each router sends a row to; components of rows that are linked then meet by their centres.
@@ -72,14 +74,15 @@ def usable(df: DataFrame, key: str, vec: str) -> DataFrame:
 
 
 class Axes:
-    """Standardised principal axes, from a sample; reduced rows keep their direction only, as the cosine does."""
+    """Standardised principal axes, from a mean and a covariance; reduced rows keep their direction only, as the cosine does."""
 
-    def __init__(self, x: np.ndarray, axes: int = AXES):
-        self.mean = x.mean(0)
-        _, values, rows = np.linalg.svd(x - self.mean, full_matrices=False)
+    def __init__(self, mean: np.ndarray, covariance: np.ndarray, axes: int = AXES):
+        self.mean = mean.astype(FLOAT)
+        squares, rows = np.linalg.eigh(covariance)
+        values = np.sqrt(np.maximum(squares[::-1], 0))
         k = max(1, min(axes, int((values > 1e-6).sum())))
-        self.rows = rows[:k].astype(FLOAT)
-        self.scale = np.maximum((values[:k] / np.sqrt(max(len(x), 1))).astype(FLOAT), 1e-3)
+        self.rows = rows.T[::-1][:k].astype(FLOAT)
+        self.scale = np.maximum(values[:k].astype(FLOAT), 1e-3)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         z = (x - self.mean) @ self.rows.T / self.scale
@@ -102,54 +105,130 @@ class Mixture:
     def log_density(self, z: np.ndarray) -> np.ndarray:
         """log(weight * density) of each row under each component, up to the common constant."""
         inverse = 1 / self.variance
-        quad = (z**2) @ inverse.T - 2 * z @ (self.means * inverse).T + (self.means**2 * inverse).sum(1)
+        own = (z**2) @ inverse.T if self.shape == "diagonal" else np.outer((z**2).sum(1), inverse[:, 0])
+        quad = own - 2 * z @ (self.means * inverse).T + (self.means**2 * inverse).sum(1)
         return np.log(np.maximum(self.weights, 1e-12)) - 0.5 * (quad + np.log(self.variance).sum(1))
 
-    def criterion(self, z: np.ndarray, d: np.ndarray | None = None) -> float:
-        """Bayesian information criterion; smaller is better."""
+    def shares(self, z: np.ndarray, d: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The share of each component in each row, and the rows' log likelihoods; ``d`` is overwritten."""
         d = self.log_density(z) if d is None else d
-        top = d.max(1)
-        likelihood = float((top + np.log(np.exp(d - top[:, None]).sum(1))).sum())
-        return -2 * likelihood + self.parameters * np.log(len(z))
+        top = d.max(1, keepdims=True)
+        d -= top
+        r = np.exp(d, out=d)
+        whole = r.sum(1, keepdims=True)
+        r /= whole
+        return r, (top + np.log(whole))[:, 0]
+
+    def criterion(self, likelihood: float, n: int) -> float:
+        """Bayesian information criterion; smaller is better."""
+        return -2 * likelihood + self.parameters * np.log(n)
+
+    def squares(self, z: np.ndarray) -> np.ndarray:
+        """What a row adds to its components' squares: by axis, or over all axes where these share a variance."""
+        return z**2 if self.shape == "diagonal" else (z**2).sum(1, keepdims=True)
+
+    def maximised(self, n: np.ndarray, sums: np.ndarray, squares: np.ndarray, ridge: float) -> Mixture:
+        """The mixture by the components' shares, sums and ``squares`` of the rows."""
+        width = sums.shape[1]
+        n = n + 1e-6
+        m = sums / n[:, None]
+        if self.shape == "diagonal":
+            v = np.maximum(squares / n[:, None] - m**2, 0)
+        else:
+            v = np.maximum(squares / n[:, None] - (m**2).sum(1, keepdims=True), 0) / width
+            if self.shape == "tied":
+                v[:] = (n[:, None] * v).sum() / n.sum()
+            v = np.repeat(v, width, 1)
+        # small components lean on the ridge: their own variance says little
+        v = (n[:, None] * v + ridge * 4) / (n[:, None] + 4) + ridge
+        return Mixture(m.astype(FLOAT), v.astype(FLOAT), (n / n.sum()).astype(FLOAT), self.shape)
 
     @classmethod
     def fit(cls, z: np.ndarray, means: np.ndarray, rounds: int, ridge: float = RIDGE, spherical: bool = False, tied: bool = False, start: Mixture | None = None, first: np.ndarray | None = None) -> Mixture:
         k, shape, last = len(means), "tied" if tied else "spherical" if spherical else "diagonal", -np.inf
         mix = start or cls(means.astype(FLOAT), np.full((k, z.shape[1]), max(0.3, ridge), FLOAT), np.full(k, 1 / k, FLOAT), shape)
         for i in range(rounds):
-            d = first if i == 0 and first is not None else mix.log_density(z)
-            top = d.max(1, keepdims=True)
-            d -= top
-            r = np.exp(d, out=d)
-            whole = r.sum(1, keepdims=True)
-            likelihood = float((top + np.log(whole)).mean())
+            r, each = mix.shares(z, first if i == 0 else None)
+            likelihood = float(each.mean())
             if likelihood - last < CONVERGED * abs(likelihood):
                 break
             last = likelihood
-            r /= whole
-            n = r.sum(0) + 1e-6
-            m = (r.T @ z) / n[:, None]
-            v = np.maximum((r.T @ z**2) / n[:, None] - m**2, 0)
-            if tied:
-                v[:] = (n[:, None] * v).sum() / (n.sum() * z.shape[1])
-            elif spherical:
-                v[:] = v.mean(1, keepdims=True)
-            # small components lean on the ridge: their own variance says little
-            mix = cls(m.astype(FLOAT), ((n[:, None] * v + ridge * 4) / (n[:, None] + 4) + ridge).astype(FLOAT), (n / n.sum()).astype(FLOAT), shape)
+            mix = mix.maximised(r.sum(0), r.T @ z, r.T @ mix.squares(z), ridge)
         return mix
 
 
-def fit_router(z: np.ndarray, components: int, seed: int) -> Mixture:
-    """The mixture over a sample with the best criterion of once, one and a half times and twice so many components."""
-    best = None
+#: Ridge of a router's covariances, and rows of a step of its fit over all rows.
+ROUTER_RIDGE, STEP = 0.3, 2_048
+
+
+def starts(z: np.ndarray, n: int, components: int, seed: int) -> list[Mixture]:
+    """Mixtures over the sampled rows of ``n``, of once, one and a half times and twice so many components."""
     rng = np.random.default_rng(seed)
-    for k in sorted({max(1, components), max(1, components * 3 // 2), max(1, components * 2)}):
-        k = min(k, max(1, len(z) // 8))
-        mix = Mixture.fit(z, z[rng.choice(len(z), k, replace=False)], ROUNDS, ridge=0.3, tied=True)
-        c = mix.criterion(z)
-        if best is None or c < best[0]:
-            best = (c, mix)
-    return best[1]
+    most = max(1, min(COMPONENTS, n // 8, len(z)))
+    sizes = sorted({min(most, max(1, k)) for k in (components, components * 3 // 2, components * 2)})
+    return [Mixture.fit(z, z[rng.choice(len(z), k, replace=False)], ROUNDS, ridge=ROUTER_RIDGE, tied=True) for k in sizes]
+
+
+def moments(rows: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of (ord, v) rows, their mean and their covariance."""
+
+    def batches(frames):
+        n, sums = 0, np.zeros((BYTES + 1, BYTES))
+        for pdf in frames:
+            if len(pdf):
+                x = matrix(pdf["v"]).astype(np.float64)
+                n += len(x)
+                sums[0] += x.sum(0)
+                sums[1:] += x.T @ x
+        yield pd.DataFrame({"at": range(BYTES + 1), "n": n, "total": list(sums)})
+
+    parts = rows.select("v").mapInPandas(batches, "at int, n long, total array<double>")
+    found = parts.groupBy("at").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("total")[i]) for i in range(BYTES)]).alias("total")).orderBy("at").toPandas()  # a row an axis
+    n = int(found["n"].iloc[0]) if len(found) else 0
+    if n == 0:
+        return 0, np.zeros(BYTES), np.zeros((BYTES, BYTES))
+    sums = np.stack(found["total"].to_numpy())
+    mean = sums[0] / n
+    return n, mean, sums[1:] / n - np.outer(mean, mean)
+
+
+def fit_all(rows: DataFrame, n: int, axes: Axes, mixes: list[Mixture], rounds: int = ROUNDS) -> list[tuple[float, Mixture]]:
+    """Each mixture with its criterion, after expectation-maximization over all ``n`` rows.
+
+    A round is one pass of partial sums for all mixtures that have not converged; a row a component reaches the driver.
+    """
+    mixes, last, told = list(mixes), [-np.inf] * len(mixes), {}
+    width = mixes[0].means.shape[1]
+    for i in range(rounds + 1):
+        shared = rows.sparkSession.sparkContext.broadcast((axes, {m: mix for m, mix in enumerate(mixes) if m not in told}))  # bounded: COMPONENTS a mixture
+
+        def batches(frames, shared=shared):
+            ax, now = shared.value
+            total = {m: np.zeros((len(mix.means), width + 3)) for m, mix in now.items()}
+            for pdf in frames:
+                z = ax(matrix(pdf["v"])) if len(pdf) else np.zeros((0, width), FLOAT)
+                for m, mix in now.items():
+                    for at in range(0, len(z), STEP):
+                        part = z[at : at + STEP]
+                        r, each = mix.shares(part)
+                        total[m] += np.column_stack([np.zeros(len(mix.means)), r.sum(0), r.T @ np.column_stack([mix.squares(part), part])])
+                        total[m][0, 0] += each.sum(dtype=np.float64)
+            for m, t in total.items():
+                yield pd.DataFrame({"mix": m, "component": range(len(t)), "t": list(t)})
+
+        parts = rows.select("v").mapInPandas(batches, "mix int, component int, t array<double>")
+        sums = parts.groupBy("mix", "component").agg(F.array(*[F.sum(F.col("t")[j]) for j in range(width + 3)]).alias("t")).toPandas()
+        shared.destroy()
+        for m, found in sums.groupby("mix"):
+            t = np.stack(found.sort_values("component")["t"].to_numpy())
+            likelihood = t[:, 0].sum()
+            if i == rounds or likelihood - last[m] < CONVERGED * abs(likelihood):
+                told[m] = (mixes[m].criterion(likelihood, n), mixes[m])
+            else:
+                last[m], mixes[m] = likelihood, mixes[m].maximised(t[:, 1], t[:, 3:], t[:, 2:3], ROUTER_RIDGE)
+        if len(told) == len(mixes):
+            break
+    return [told[m] for m in range(len(mixes))]
 
 
 def leaders(z: np.ndarray, least: float) -> np.ndarray:
@@ -172,11 +251,11 @@ def solve_leaf(ords: np.ndarray, x: np.ndarray, axes: Axes) -> tuple[list[tuple[
         if best is not None and 2 * len(seeds) > n:
             continue  # the criterion never pays for components of fewer than two rows
         mix = Mixture.fit(z, z[seeds], 1, spherical=True)
-        d = mix.log_density(z)
-        c = mix.criterion(z, d)
+        r, each = mix.shares(z)
+        c = mix.criterion(float(each.sum()), n)
         if best is None or c < best[0]:
-            best = (c, mix, d)
-    d = Mixture.fit(z, best[1].means, 1, spherical=True, start=best[1], first=best[2]).log_density(z)
+            best = (c, mix, r)
+    d = best[1].maximised(best[2].sum(0), best[2].T @ z, best[2].T @ best[1].squares(z), RIDGE).log_density(z)
     label, dense = d.argmax(1), d.max(1)
     order = np.lexsort((ords, -dense))  # the densest first
     taken = np.full(n, -1)
@@ -225,16 +304,21 @@ def _leaf_frame(pdf: pd.DataFrame, axes: Axes) -> pd.DataFrame:
 def links_of(rows: DataFrame, sample: int = SAMPLE, leaf: int = LEAF, routes: tuple[int, ...] = ROUTES, seed: int = 0) -> DataFrame:
     """Links (kind 0) and conflicts (kind 1) of (ord, v) rows."""
     spark = rows.sparkSession
-    n = rows.count()
+    n, mean, covariance = moments(rows)
     if n == 0:
         return spark.createDataFrame([], _LINKS)
+    axes = Axes(mean, covariance)
     share = min(1.0, sample / n)
     some = rows.where((F.pmod(F.xxhash64("ord"), F.lit(1_000_000)) < int(share * 1_000_000)) | F.lit(share >= 1.0)).limit(2 * sample).toPandas()
-    x = matrix(some["v"])
-    axes = Axes(x)
-    z = axes(x)
-    routers = [fit_router(z, max(1, n * r // leaf), seed + i) for i, r in enumerate(routes)]
-    shared = spark.sparkContext.broadcast((axes, routers))  # bounded: axes, and components in step with SAMPLE
+    z = axes(matrix(some["v"]))
+    begun = [starts(z, n, max(1, n * r // leaf), seed + i) for i, r in enumerate(routes)]
+    if share < 1:
+        told = iter(fit_all(rows, n, axes, [mix for mixes in begun for mix in mixes]))
+        fitted = [[next(told) for _ in mixes] for mixes in begun]
+    else:
+        fitted = [[(mix.criterion(float(mix.shares(z)[1].sum(dtype=np.float64)), n), mix) for mix in mixes] for mixes in begun]
+    routers = [min(mixes, key=lambda f: f[0])[1] for mixes in fitted]
+    shared = spark.sparkContext.broadcast((axes, routers))  # bounded: axes, and COMPONENTS a router
 
     def route(frames):
         ax, mixes = shared.value

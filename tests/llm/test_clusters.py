@@ -100,3 +100,23 @@ def test_every_pair_of_a_hot_wide_cluster_is_checked(spark):
     for points, bad in ((ring, 0), ([*ring, at(24, side), at(24, -side)], 1)):  # the two are not alike, and not the farthest
         rows = spark.createDataFrame(list(enumerate(vectors(points))), "ord long, v binary")
         assert C.broken(rows, rows.selectExpr("cast(0 as long) as cluster_ord", "ord")).count() == bad
+
+
+def test_routers_are_fitted_on_all_rows(spark, monkeypatch):
+    rows = data([(400, 0.03), (40, 0.04), *[(20, 0.035)] * 20], 1500, seed=7)
+    x = C.matrix([C.decode(v) for _, v in rows])
+    vectors = C.usable(spark.createDataFrame(rows, "ord long, vec string"), "ord", "vec")
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(value) or send(sc, value))
+    C.links_of(vectors, sample=200, leaf=200)
+    axes, routers = sent[-1]
+    assert np.allclose(axes.mean, x.mean(0), atol=1e-6)
+    z = axes(x)
+    assert np.allclose(z.std(0).mean(), 1, atol=0.2) and len(z.T) == C.AXES
+    for router in routers:
+        r, each = router.shares(z)
+        assert np.abs(router.weights - r.mean(0)).sum() < 0.02
+        again = router.maximised(r.sum(0), r.T @ z, r.T @ router.squares(z), C.ROUTER_RIDGE)
+        assert again.shares(z)[1].mean() - each.mean() < C.CONVERGED * abs(each.mean())
+    n, mean, covariance = C.moments(vectors)
+    assert n == len(x) and np.allclose(covariance, np.cov(x.T, bias=True), atol=1e-6) and np.allclose(mean, x.mean(0))
