@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from corpusloom.llm import boilerplate as B
-from corpusloom.llm import distinctive, leakage, quality, residue, tokenizing
+from corpusloom.llm import distinctive, leakage, quality, queries, residue, tokenizing
 
 # --- distinctive terms ---
 
@@ -26,6 +26,17 @@ def test_ppmi_against_counts(spark):
     assert distinctive.ppmi(df.limit(0), "ord", ["title", "summary"]).count() == 0
 
 
+def test_found_terms_are_counted_and_nothing_is_scored(spark, tmp_path):
+    rows = [(1, "rare " * 3, " ".join(f"other{i}" for i in range(400))), (2, "Rare rare", "RARE"), (3, "own own own", None), (4, None, "")]
+    spark.createDataFrame(rows, "ord long, title string, summary string").write.parquet(str(tmp_path / "corpus.parquet"))
+    found = queries.p6_found(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "rare"), (2, "rare")]
+    scores = {(r.ord, r.term): r.ppmi for r in queries.p6_scores(spark, str(tmp_path)).collect()}
+    assert scores[1, "rare"] == 0 < scores[2, "rare"]  # a score of nought keeps its row
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "log2" not in plan and "pow" not in plan and "cross" not in plan
+
+
 # --- tokenizer ---
 
 
