@@ -139,11 +139,41 @@ def by_files(history: History, signals: DataFrame, file: str = "file_name") -> t
         found = part if found is None else found.union(part)
     if found is None:
         return history.spark.createDataFrame([], "accepted_row_id long, row_id long"), figures
-    merged = history._read("merged", len(files))
+    return _as_joined(found, history._read("merged", len(files))), figures
+
+
+def _as_joined(found: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """The batches' repeats with the articles that (old, new) first records showed to be one."""
     if merged is None or merged.isEmpty():
-        return found, figures
+        return found
     now = persisted(connected_components(merged.select(F.col("old").alias("a"), F.col("new").alias("b"))).select("node", "component"), "articles-joined")
     # the first record of an article that turned out to be another's repeats it too
     moved = now.where("node <> component").select(F.col("component").alias("accepted_row_id"), F.col("node").alias("row_id"))
     told = found.join(broadcast_if_small(now), F.col("accepted_row_id") == F.col("node"), "left").select(F.coalesce("component", "accepted_row_id").alias("accepted_row_id"), "row_id")
-    return told.union(moved).distinct(), figures
+    return told.union(moved).distinct()
+
+
+def newest_last(history: History, signals: DataFrame, file: str = "file_name") -> DataFrame:
+    """The repeats where the two newest files come as batches to the history of all files before them.
+
+    The older files are the first load of the empty history. The next file is located in that run; then both runs are
+    merged, and the newest file is located in what came of it. Loads end where the first record of a file is, so row ids
+    only grow; of two files the second is a batch, one file is one load.
+    """
+    firsts = sorted(r["first"] for r in signals.groupBy(file).agg(F.min("row_id").alias("first")).where("first is not null").collect())  # a row a file
+    borders = firsts[1:][-2:]
+    rid, found, merged, run = F.col("row_id"), None, [], 0
+    for i in range(len(borders) + 1):
+        load = signals
+        if i:
+            load = load.where(rid >= borders[i - 1])
+        if i < len(borders):
+            load = load.where((rid < borders[i]) if i else (rid < borders[i]) | rid.isNull())
+        if run > 1:
+            history, run = history.merge_runs(f"{history.path}/one-run", run), 1
+        part = history.accept(load, run)
+        merged.append(history.joined(run))
+        found, run = part if found is None else found.union(part), run + 1
+    for part in merged[1:]:
+        merged[0] = merged[0].union(part)
+    return _as_joined(found, merged[0])

@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import articles as A
-from corpusloom.llm import hashforest, history, survivors
+from corpusloom.llm import hashforest, history, queries, survivors
 from corpusloom.llm.hashforest import HashForest
 
 SIGNALS = "row_id long, file_name string, run_date string, id string, source string, category string, tier string, title string, url string, extra string"
@@ -136,6 +137,17 @@ def test_files_one_by_one_equal_all_at_once(spark, tmp_path):
     assert [f["records"] for f in figures] == [30] * 3 and got.count() > 30
 
 
+def test_the_query_locates_new_files_in_the_history(spark, sf, monkeypatch):
+    seen, accept, merge = [], history.History.accept, history.History.merge_runs
+    monkeypatch.setattr(history.History, "accept", lambda h, batch, run: seen.append((run, batch.count(), h.nodes(run) is not None if run else False)) or accept(h, batch, run))
+    monkeypatch.setattr(history.History, "merge_runs", lambda h, into, runs: seen.append(("merge", runs)) or merge(h, into, runs))
+    signals = spark.read.parquet(f"{sf}/tagged_signals.parquet")
+    got = [tuple(r) for r in queries.p7_found(spark, sf).collect()]
+    sizes = [r["count"] for r in signals.groupBy("file_name").agg(F.min("row_id").alias("first"), F.count("*").alias("count")).orderBy("first").collect()]
+    assert seen == [(0, sum(sizes[:-2]), False), (1, sizes[-2], True), ("merge", 2), (1, sizes[-1], True)]
+    assert len(got) == len(set(got)) and set(got) == {tuple(r) for r in history.repeats(signals).collect()}
+
+
 @pytest.mark.parametrize("options", [{}, {"bucket": 2}, {"lenient": True}])
 def test_runs_of_the_forest_equal_brute_force(spark, tmp_path, options):
     rng = random.Random(11)
