@@ -191,8 +191,7 @@ def article_labels(signals: DataFrame) -> DataFrame:
 
 def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(title, publisher, words) of the titles that name a subject, the general ones (as ``_general``), and all titles."""
-    titles = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"))
-    titles = persisted(titles, "article-titles")
+    titles = persisted(keys.where("title is not null").select("title", "publisher", "words").distinct(), "article-titles")
     many = titles.groupBy(F.xxhash64("words").alias("_w")).agg(F.count(F.lit(1)).alias("_p")).where("_p > 1").select("_w")
     many = broadcast_if_small(persisted(many, "article-general"))
     subjects = persisted(titles.join(many, F.xxhash64("words") == F.col("_w"), "left_anti"), "article-subjects")

@@ -1,9 +1,10 @@
 """A prefix-tree hash forest over short texts, kept as sorted runs.
 
 The words of a text, hashed within its group, are its signature; each word leads one permutation of it. The permutations of
-all texts, sorted by their leading hash, are a forest of prefix trees, and every batch adds one run of it. Three sorted
-runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each word with its count; words one slip apart
-are found by what is left of them without one letter) and ``askers`` (the prefix that a text is looked up by).
+all texts, sorted by their leading hash, are a forest of prefix trees, and every batch adds one run of it. Four sorted
+runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each word with its count), ``near`` (the words
+one slip apart, one of them of the batch; they are found by what is left of them without one letter) and ``askers`` (the
+prefix that a text is looked up by).
 
 An entry is located by the range of permutations that begin with its rarest word or a near one. Of two texts that
 ``articles.same_title`` can call the same, each word of the shorter one stands in the longer, at most one slip away
@@ -13,15 +14,19 @@ misses nothing either, as the second word stands in the partner too. Ranges are
 bit sets of the words before texts are compared.
 
 Both directions are searched: the batch's entries in all runs, and the older askers in the batch. Older runs are only
-joined, neither shortened nor written again; ``merge`` makes one run of many and picks the askers' prefixes anew.
+joined, neither shortened nor written again; ``merge`` makes one run of many and picks anew the prefixes whose ranges
+have filled up since.
 """
 
 from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
@@ -38,24 +43,78 @@ def _number(w: Column) -> Column:
     return w.rlike("^[0-9]+$")
 
 
-def deletions(word: str) -> Column:
-    """A word and what is left of it without one letter: two words one slip apart share one of these."""
-    at = F.sequence(F.lit(1), F.length(word))
-    left = F.transform(at, lambda i: F.concat(F.substring(F.col(word), F.lit(1), i - 1), F.substring(F.col(word), i + 1, F.length(word))))
-    return F.array_distinct(F.array_append(left, F.col(word)))
+def _left_over(batches):
+    """(c, w, own): each word of (w, g, word, own) under hashes of itself and of what is left of it without one letter."""
+    odd, mix, step = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), 1 << 20
+    for b in batches:
+        w, g, own = (b.column(x).to_numpy(zero_copy_only=False) for x in ("w", "g", "own"))
+        word, length = b.column("word").to_numpy(zero_copy_only=False), pc.utf8_length(b.column("word")).to_numpy(zero_copy_only=False)
+        for n in np.unique(length).tolist():
+            every = np.flatnonzero(length == n)
+            for part in np.array_split(every, 1 + len(every) * n // step):
+                letters = word[part].astype(f"<U{n}").view(np.uint32).reshape(-1, n).astype(np.uint64) * mix
+                letters ^= letters >> np.uint64(31)
+                place = np.cumprod(np.full(n, odd))  # powers, modulo 2 ** 64
+                at = letters * place
+                moved = np.zeros_like(at)
+                moved[:, 1:] = letters[:, 1:] * place[:-1]  # what comes after the letter moves up
+                whole = at.sum(axis=1, keepdims=True)
+                left = np.cumsum(at, axis=1) - at + moved.sum(axis=1, keepdims=True) - np.cumsum(moved, axis=1)
+                c = (np.hstack([whole, left]) ^ (g[part].view(np.uint64) * odd)[:, None]) * mix
+                c ^= c >> np.uint64(32)
+                yield pa.RecordBatch.from_arrays([pa.array(c.ravel().view(np.int64)), pa.array(np.repeat(w[part], n + 1)), pa.array(np.repeat(own[part], n + 1))], ["c", "w", "own"])
+
+
+def _pairs(c: np.ndarray, w: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """(w, v): the pairs under one key of which one is the batch's, both ways round."""
+    one, two, at, by = [w[:0]], [w[:0]], np.arange(len(c)), 1
+    while len(at := at[at + by < len(c)]) and len(at := at[c[at] == c[at + by]]):  # as many words a key as the alphabet allows
+        i = at[(w[at] != w[at + by]) & (own[at] | own[at + by])]
+        one, two, by = [*one, w[i], w[i + by]], [*two, w[i + by], w[i]], by + 1
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(one)), pa.array(np.concatenate(two))], ["w", "v"])
+
+
+def _sharing(batches):
+    """The pairs of words that share a key, of rows (c, w, own) in the order of their keys."""
+    open_key = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]  # a batch's last key may go on in the next one
+    for b in batches:
+        if b.num_rows:
+            rows = [np.concatenate([x, b.column(i).to_numpy(zero_copy_only=False)]) for i, x in enumerate(open_key)]
+            end = np.searchsorted(rows[0], rows[0][-1])
+            yield _pairs(*[x[:end] for x in rows])
+            open_key = [x[end:] for x in rows]
+    yield _pairs(*open_key)
+
+
+def _near(own: DataFrame, older: DataFrame | None) -> DataFrame:
+    """(w, v): the batch's words (w, g, word) and words of a group one slip apart from them, both ways round.
+
+    Two words one slip apart share what is left of one or both without one letter. Numbers and short words only match themselves.
+    """
+    words = own.select("w", "g", "word", F.lit(True).alias("own"))
+    if older is not None:
+        words = words.union(older.select("w", "g", "word", F.lit(False)))
+    left = words.where((F.length("word") >= 3) & ~_number(F.col("word"))).mapInArrow(_left_over, "c long, w long, own boolean")
+    return left.repartition("c").sortWithinPartitions("c").mapInArrow(_sharing, "w long, v long").distinct()
+
+
+def _widened(rows: DataFrame, near: DataFrame, c: str) -> DataFrame:
+    """The rows, and again with each near word in the place of the word in column ``c``."""
+    beside = near.select(F.col("w").alias("_w"), "v")
+    return rows.union(rows.join(beside, F.col(c) == F.col("_w")).select(*[F.col("v" if x == c else x).alias(x) for x in rows.columns]))
 
 
-def _left_over(words: DataFrame) -> DataFrame:
-    """(c, w): each word of (w, g, word) under the hashes of what is left of it; numbers and short words only match themselves."""
-    cut = words.where((F.length("word") >= 3) & ~_number(F.col("word"))).select("w", "g", F.explode(deletions("word")).alias("_c"))
-    return cut.select(F.xxhash64("g", "_c").alias("c"), "w")
+def _texts_with(words: DataFrame, near: DataFrame) -> DataFrame:
+    """(w, nd): how many texts have a word of (w, df) or one near it."""
+    more = near.join(words.select(F.col("w").alias("v"), "df"), "v").groupBy("w").agg(F.sum("df").alias("more"))
+    return words.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
 
 
 def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool) -> DataFrame:
     """(a, b): pairs of a shorter text that asks and a longer one in its range whose words' bits leave them possible."""
-    pairs = askers.alias("l").join(posts.alias("r"), on).where("l.k <> r.k and l.e.n <= r.e.n")
-    missing = F.bit_count(F.col("l.e.bits").bitwiseAND(F.bitwise_not(F.col("r.e.bits"))))
-    allowed = F.when(F.col("l.e.n") <= SHORT, MISSING - 1).otherwise(MISSING) + (2 if lenient else 0)
+    pairs = askers.alias("l").join(posts.alias("r"), on).where("l.k <> r.k and l.n <= r.n")
+    missing = F.bit_count(F.col("l.bits").bitwiseAND(F.bitwise_not(F.col("r.bits"))))
+    allowed = F.when(F.col("l.n") <= SHORT, MISSING - 1).otherwise(MISSING) + (2 if lenient else 0)
     return pairs.where(missing <= allowed).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b"))
 
 
@@ -96,50 +155,35 @@ class HashForest:
         named = entries.select(F.col(key).alias("k"), F.xxhash64(F.col(group), numbers).alias("g"), F.size(words).alias("n"), F.array_distinct(words).alias("_w"))
         hashes = F.transform("_w", lambda w: F.xxhash64("g", w))
         bits = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
-        led = named.withColumn("bits", bits).select("g", "k", F.struct("n", "bits").alias("e"), F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
-        mine = self._write(led.select("w", "g", "k", "e"), "posts", run, "w")
+        led = named.withColumn("bits", bits).select("g", "k", "n", "bits", F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
+        mine = self._write(led.select("w", "g", "k", "n", "bits"), "posts", run, "w")
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
-        # the batch's words, and all words one slip apart from them
-        own = self._write(led.groupBy("w", "g").agg(F.first("word").alias("word"), F.count(F.lit(1)).alias("df")), "words", run, "w")
+        # the batch's words, all words one slip apart from them, and how many texts each of them has
+        own = self._write(led.groupBy("w", "g", "word").agg(F.count(F.lit(1)).alias("df")), "words", run, "w")
         known_words = self.read("words", run) if run else None
-        if known_words is None:
-            # as many words a key as the alphabet allows
-            shared = _left_over(own).groupBy("c").agg(F.collect_list("w").alias("ws")).where(F.size("ws") > 1)
-            near = shared.select(F.explode("ws").alias("w"), "ws").select("w", F.explode("ws").alias("v"))
-        else:
-            asked_words = persisted(_left_over(own), "forest-asked-words")
-            beside = _left_over(known_words).join(broadcast_if_small(asked_words.select("c").distinct()), "c", "left_semi").union(asked_words)
-            near = asked_words.join(beside.withColumnRenamed("w", "v"), "c").select("w", "v")
-        near = persisted(near.where("w <> v").distinct(), "forest-near")
-
-        # how many texts each of them has
-        if older is None:
-            counted = own.select("w", "df")
-        else:
-            wanted = persisted(own.select("w").union(near.select("v")).distinct(), "forest-wanted")
-            counted = persisted(every.select("w").join(broadcast_if_small(wanted), "w", "left_semi").groupBy("w").agg(F.count(F.lit(1)).alias("df")), "forest-counted")
-        more = near.join(counted.select(F.col("w").alias("v"), "df"), "v").groupBy("w").agg(F.sum("df").alias("more"))
-        known = counted.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
+        near = self._write(_near(own, known_words), "near", run, "w")
+        counted = own.select("w", "df")
+        if known_words is not None:
+            counted = known_words.select("w", "df").union(counted).groupBy("w").agg(F.sum("df").alias("df"))
 
         # the prefix a text is looked up by: its rarest words
-        chosen = self._prefixes(mine.select("w", "g", "k", "e").join(known, "w"))
+        chosen = self._prefixes(mine.join(_texts_with(counted, near).hint("shuffle_hash"), "w"))
         waiting = self.read("askers", run) if run else None
         asked = self._write(chosen, "askers", run, "w").where("nd > 1")  # a word that no other text has, or nearly has, finds nothing
-        either = near.select("w", "v").union(own.select("w", F.col("w").alias("v")))
 
         # the batch in all runs
-        lone = broadcast_if_small(asked.where("w2 is null").join(either, "w").select(F.col("v").alias("w"), "k", "e"))
-        out = _located(lone, every.select("w", "k", "e"), ["w"], self.lenient)
+        lone = broadcast_if_small(_widened(asked.where("w2 is null").select("w", "k", "n", "bits"), near, "w"))
+        out = _located(lone, every.select("w", "k", "n", "bits"), ["w"], self.lenient)
         two = asked.where("w2 is not null")
         if not self.lenient and not two.isEmpty():
-            one = two.join(either, "w").select("k", "e", F.col("v").alias("v1"), "w2")
-            both = persisted(one.join(either.select(F.col("w").alias("w2"), F.col("v").alias("v2")), "w2").select("k", "e", "v1", "v2"), "forest-two")
-            held = every.select(F.col("w").alias("v1"), "g", "k", "e").join(both.select("v1").distinct(), "v1", "left_semi")
-            held = held.join(every.select("g", "k", F.col("w").alias("v2")), ["g", "k"]).select("v1", "v2", "k", "e")
+            both = _widened(two.select("k", "n", "bits", F.col("w").alias("v1"), F.col("w2").alias("v2")), near, "v1")
+            both = persisted(_widened(both, near, "v2"), "forest-two")
+            held = every.select(F.col("w").alias("v1"), "g", "k", "n", "bits").join(both.select("v1").distinct(), "v1", "left_semi")
+            held = held.join(every.select("g", "k", F.col("w").alias("v2")), ["g", "k"]).select("v1", "v2", "k", "n", "bits")
             out = out.union(_located(both, held, ["v1", "v2"], False))
         if waiting is not None:
-            out = out.union(self._waiting(waiting, mine, either))
+            out = out.union(self._waiting(waiting, mine, own, near))
         return out.distinct()
 
     def _prefixes(self, led: DataFrame) -> DataFrame:
@@ -147,38 +191,43 @@ class HashForest:
 
         Lenient texts, two words of which may be others, ask with up to three words one by one.
         """
-        ranked = led.groupBy("g", "k").agg(F.first("e").alias("e"), F.slice(F.array_sort(F.collect_list(F.struct("nd", "w"))), 1, 3 if self.lenient else 2).alias("r"))  # a text's words
+        by = Window.partitionBy("g", "k").orderBy("nd", "w")  # a text's words
+        ranked = led.withColumns({"_at": F.row_number().over(by), "_next": F.lead("w").over(by)})
         if self.lenient:
-            asks = ranked.withColumn("x", F.explode(F.slice("r", 1, F.least(F.lit(3), F.expr("e.n div 2") + 1).cast("int"))))
-            return asks.select(F.col("x.w").alias("w"), F.lit(None).cast("long").alias("w2"), F.col("x.nd").alias("nd"), "g", "k", "e")
-        first = F.col("r")[0]
-        return ranked.select(first["w"].alias("w"), F.when(first["nd"] > self.bucket, F.get("r", F.lit(1))["w"]).alias("w2"), first["nd"].alias("nd"), "g", "k", "e")
+            asks = ranked.where(F.col("_at") <= F.least(F.lit(3), F.expr("n div 2") + 1))
+            return asks.select("w", F.lit(None).cast("long").alias("w2"), "nd", "g", "k", "n", "bits")
+        return ranked.where("_at = 1").select("w", F.when(F.col("nd") > self.bucket, F.col("_next")).alias("w2"), "nd", "g", "k", "n", "bits")
 
-    def _waiting(self, askers: DataFrame, mine: DataFrame, either: DataFrame) -> DataFrame:
+    def _waiting(self, askers: DataFrame, mine: DataFrame, own: DataFrame, near: DataFrame) -> DataFrame:
         """Older askers that find a text of the batch: near words stand for each other, so the batch's words are widened."""
-        wide = persisted(mine.select("w", "g", "k", "e").withColumnRenamed("w", "own").join(either.withColumnRenamed("w", "own"), "own").select(F.col("v").alias("w"), "k", "e").distinct(), "forest-wide")
-        reached = askers.join(broadcast_if_small(wide.select("w").distinct()), "w", "left_semi")
-        out = _located(reached.where("w2 is null").select("w", "k", "e"), wide, ["w"], self.lenient)
-        two = persisted(reached.where("w2 is not null").select("w", "w2", "k", "e"), "forest-waiting")
+        wide = _widened(mine.select("w", "k", "n", "bits"), near, "w")
+        out = _located(askers.where("w2 is null").select("w", "k", "n", "bits"), wide, ["w"], self.lenient)
+        known = broadcast_if_small(own.select("w").union(near.select("v")).distinct())
+        two = persisted(askers.where("w2 is not null").select("w", "w2", "k", "n", "bits").join(known, "w", "left_semi"), "forest-waiting")
+        if two.isEmpty():
+            return out
         first = wide.join(two.select("w").distinct(), "w", "left_semi")
         second = wide.select(F.col("w").alias("w2"), "k").join(two.select("w2").distinct(), "w2", "left_semi")
-        return out.union(_located(two, first.join(second, "k").select("w", "w2", "k", "e"), ["w", "w2"], False))
+        return out.union(_located(two, first.join(second, "k").select("w", "w2", "k", "n", "bits"), ["w", "w2"], False))
 
     def merge(self, into: str) -> HashForest:
-        """All runs as one, at ``into``; prefixes are chosen by the words' present counts. The old folder stays."""
+        """All runs as one, at ``into``; where the range of one word is full by now, the prefix is chosen anew. The old folder stays."""
         merged = HashForest(self.spark, into, self.lenient, self.bucket)
         posts = self.read("posts")
         if posts is None:
             return merged
-        posts = merged._write(posts.select("w", "g", "k", "e"), "posts", 0, "w")
-        words = merged._write(self.read("words").groupBy("w", "g").agg(F.first("word").alias("word"), F.sum("df").alias("df")), "words", 0, "w")
-        counted = words.select("w", "df")
-        shared = _left_over(words).groupBy("c").agg(F.collect_list("w").alias("ws")).where(F.size("ws") > 1)
-        near = shared.select(F.explode("ws").alias("w"), "ws").select("w", F.explode("ws").alias("v")).where("w <> v").distinct()
-        more = near.join(counted.withColumnRenamed("w", "v"), "v").groupBy("w").agg(F.sum("df").alias("more"))
-        known = counted.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
-        chosen = self._prefixes(posts.join(known, "w"))
-        merged._write(chosen, "askers", 0, "w")
+        posts = merged._write(posts.select("w", "g", "k", "n", "bits"), "posts", 0, "w")
+        words = merged._write(self.read("words").groupBy("w", "g", "word").agg(F.sum("df").alias("df")), "words", 0, "w")
+        near = merged._write(self.read("near").distinct(), "near", 0, "w")
+        askers = self.read("askers").select("w", "w2", "nd", "g", "k", "n", "bits")
+        if not self.lenient:
+            known = _texts_with(words.select("w", "df"), near)
+            full = persisted(askers.where("w2 is null").join(known.where(F.col("nd") > self.bucket).select("w"), "w", "left_semi").select("g", "k"), "forest-full")
+            if not full.isEmpty():
+                full = broadcast_if_small(full)
+                chosen = self._prefixes(posts.join(full, ["g", "k"], "left_semi").select(*posts.columns).join(known, "w"))
+                askers = askers.join(full, ["g", "k"], "left_anti").select(*askers.columns).union(chosen.select(*askers.columns))
+        merged._write(askers, "askers", 0, "w")
         return merged
 
 

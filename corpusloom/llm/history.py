@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import broadcast_if_small, persisted
+from corpusloom.runtime import broadcast_if_small, delete, persisted, scratch
 
 from . import articles, hashforest
 
@@ -62,8 +62,12 @@ class History:
 
         Row ids are above all accepted ones, run numbers too. Records repeat earlier ones of the history or of the batch.
         Where the batch joins articles of the history, ``joined`` tells (old, new) first records. An empty batch changes
-        nothing; null and blank keys are handled as in ``articles.article_labels``.
+        nothing; null and blank keys are handled as in ``articles.article_labels``. What else was written on the way is deleted.
         """
+        with scratch(self.spark):
+            return self._accepted(batch, run)
+
+    def _accepted(self, batch: DataFrame, run: int) -> DataFrame:
         keys = articles.keyed(batch)
         old = self.nodes(run) if run else None
         if old is None:
@@ -73,7 +77,7 @@ class History:
             labels = articles.labels_of(keys, self.forest.add(told[0], "publisher", "words", "title", run), told)
             placed = labels.select("row_id", F.col("class").alias("component"), F.lit(None).cast("long").alias("accepted"))
         else:
-            fresh = keys.where("title is not null").groupBy("title").agg(F.first("publisher").alias("publisher"), F.first("words").alias("words"))
+            fresh = keys.where("title is not null").select("title", "publisher", "words").distinct()
             fresh = persisted(fresh.join(self._read("titles", run).select("title"), "title", "left_anti"), "fresh-titles")
             located = persisted(self.forest.add(fresh, "publisher", "words", "title", run), "located")
             reached = persisted(self._reached(keys, old, located, run), "reached")
@@ -92,7 +96,7 @@ class History:
         kept = keys.select("row_id", *_KEYS).join(mine, "row_id").groupBy(*_KEYS, F.col("first").alias("accepted")).agg(F.min("row_id").alias("row_id"))
         kept.write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}")
         fresh.write.mode("overwrite").parquet(f"{self.path}/titles/run={run}")
-        return mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id")
+        return persisted(mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id"), "repeats", keep=True)
 
     def joined(self, run: int) -> DataFrame:
         """(old, new): first records of articles that the run showed to be one."""
@@ -101,19 +105,18 @@ class History:
     def _reached(self, keys: DataFrame, old: DataFrame, located: DataFrame, run: int) -> DataFrame:
         """The history's nodes that share a page, a slug, an id or words with the batch, or a located title; and their titles' namesakes."""
         titles = self._read("titles", run)
-        near = located.select(F.explode(F.array("a", "b")).alias("title")).union(keys.select("title"))
         found = None
-        for c, side in (("page", keys.select("page")), ("slug", keys.select("slug")), ("id", keys.select("id")), ("title", near)):
-            wanted = broadcast_if_small(side.where(F.col(c).isNotNull()).distinct())
-            part = old.join(wanted, c, "left_semi").select("row_id", "accepted", *_KEYS)
-            found = part if found is None else found.union(part)
-        found = persisted(found, "reached-keys")
+        near = located.select(F.explode(F.array("a", "b")).alias("title")).union(keys.select("title"))
+        for c, side in (("page", keys), ("slug", keys), ("id", keys), ("title", near)):
+            wanted = broadcast_if_small(side.select(F.col(c).alias("_key")).where(F.col("_key").isNotNull()).distinct()).withColumn("_" + c, F.lit(True))
+            found = (old if found is None else found).join(wanted, F.col(c) == F.col("_key"), "left").drop("_key")
+        found = persisted(found.where("_page or _slug or _id or _title").select("row_id", "accepted", *_KEYS), "reached-keys")
         words = titles.join(broadcast_if_small(found.select("title").where("title is not null").distinct()), "title", "left_semi").select("words")
-        names = titles.join(broadcast_if_small(keys.select("words").union(words).where("words <> ''").distinct()), "words", "left_semi")
-        alike = old.join(broadcast_if_small(names.select("title")), "title", "left_semi").select("row_id", "accepted", *_KEYS)
-        every = found.union(alike).dropDuplicates(["row_id"])
-        told = titles.join(broadcast_if_small(every.select("title").where("title is not null").distinct()), "title", "left_semi").select(F.col("title").alias("_t"), "publisher", "words")
-        return every.join(told, F.col("title") == F.col("_t"), "left").select("row_id", "accepted", *_KEYS, "publisher", F.coalesce("words", F.lit("")).alias("words"))
+        names = persisted(titles.join(broadcast_if_small(keys.select("words").union(words).where("words <> ''").distinct()), "words", "left_semi").select(F.col("title").alias("_t"), "publisher", "words"), "reached-titles")
+        # what was found by a title's key is among the titles of these words
+        named = old.join(broadcast_if_small(names), F.col("title") == F.col("_t")).select("row_id", "accepted", *_KEYS, "publisher", "words")
+        untitled = found.where("title is null").select("row_id", "accepted", *_KEYS, F.lit(None).cast("string").alias("publisher"), F.lit("").alias("words"))
+        return named.union(untitled)
 
     def merge_runs(self, into: str, runs: int) -> History:
         """The history of the runs before ``runs`` as one run 0 at ``into``: articles joined, forest merged. The old folder stays."""
@@ -123,9 +126,15 @@ class History:
             nodes.write.mode("overwrite").parquet(f"{merged.path}/nodes/run=0")
             self._read("titles", runs).write.mode("overwrite").parquet(f"{merged.path}/titles/run=0")
             self.spark.createDataFrame([], "old long, new long").write.mode("overwrite").parquet(f"{merged.path}/merged/run=0")
-            self.forest.merge(f"{merged.path}/forest")
+            with scratch(self.spark):
+                self.forest.merge(f"{merged.path}/forest")
         return merged
 
+    def forget(self) -> None:
+        """Delete the runs, once they are merged elsewhere; which articles each run joined stays."""
+        for part in ("forest", "nodes", "titles"):
+            delete(self.spark, f"{self.path}/{part}")
+
 
 def by_files(history: History, signals: DataFrame, file: str = "file_name") -> tuple[DataFrame, list[dict]]:
     """Accept the files one by one, in the order of their first records: the repeats as all files show them, and figures of each batch."""
@@ -133,7 +142,7 @@ def by_files(history: History, signals: DataFrame, file: str = "file_name") -> t
     found, figures = None, []
     for run, name in enumerate(files):
         batch = signals.where(F.col(file).eqNullSafe(F.lit(name)))
-        part = persisted(history.accept(batch, run), "file-repeats")
+        part = history.accept(batch, run)
         old = history.nodes(run) if run else None
         figures.append({"file": name, "records": batch.count(), "repeats": part.count(), "articles_joined": history.joined(run).count(), "nodes_in_history": 0 if old is None else old.count()})
         found = part if found is None else found.union(part)
@@ -157,7 +166,7 @@ def newest_last(history: History, signals: DataFrame, file: str = "file_name") -
     """The repeats where the two newest files come as batches to the history of all files before them.
 
     The older files are the first load of the empty history. The next file is located in that run; then both runs are
-    merged, and the newest file is located in what came of it. Loads end where the first record of a file is, so row ids
+    merged, the merged ones deleted, and the newest file is located in what came of it. Loads end where the first record of a file is, so row ids
     only grow; of two files the second is a batch, one file is one load.
     """
     firsts = sorted(r["first"] for r in signals.groupBy(file).agg(F.min("row_id").alias("first")).where("first is not null").collect())  # a row a file
@@ -170,7 +179,9 @@ def newest_last(history: History, signals: DataFrame, file: str = "file_name") -
         if i < len(borders):
             load = load.where((rid < borders[i]) if i else (rid < borders[i]) | rid.isNull())
         if run > 1:
-            history, run = history.merge_runs(f"{history.path}/one-run", run), 1
+            old, history = history, history.merge_runs(f"{history.path}/one-run", run)
+            old.forget()
+            run = 1
         part = history.accept(load, run)
         merged.append(history.joined(run))
         found, run = part if found is None else found.union(part), run + 1
