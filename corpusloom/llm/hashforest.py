@@ -29,6 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
 
 #: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
@@ -86,15 +87,42 @@ def _sharing(batches):
     yield _pairs(*open_key)
 
 
+def _matching(words: pa.Table):
+    """What gives the pairs of rows (w, g, word, own) with these words, both ways round."""
+
+    def match(batches):
+        keys = list(_left_over(words.to_batches()))
+        c, w = (np.concatenate([np.empty(0, np.int64), *[b.column(i).to_numpy(zero_copy_only=False) for b in keys]]) for i in (0, 1))
+        order = np.argsort(c)
+        c, w = c[order], w[order]
+        for b in _left_over(batches):
+            asked, v = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            first = np.searchsorted(c, asked)
+            hit = np.flatnonzero(c[np.minimum(first, len(c) - 1)] == asked) if len(c) else first[:0]
+            n = np.searchsorted(c, asked[hit], "right") - first[hit]
+            at = np.repeat(first[hit] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            one, two = w[at], np.repeat(v[hit], n)
+            one, two = one[one != two], two[one != two]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([one, two])), pa.array(np.concatenate([two, one]))], ["w", "v"])
+
+    return match
+
+
 def _near(own: DataFrame, older: DataFrame | None) -> DataFrame:
     """(w, v): the batch's words (w, g, word) and words of a group one slip apart from them, both ways round.
 
-    Two words one slip apart share what is left of one or both without one letter. Numbers and short words only match themselves.
+    Two words one slip apart share what is left of one or both without one letter. Numbers and short words only match themselves. A batch of
+    counted few words goes to the tasks of the older ones; else all of what is left is shuffled.
     """
     words = own.select("w", "g", "word", F.lit(True).alias("own"))
     if older is not None:
         words = words.union(older.select("w", "g", "word", F.lit(False)))
-    left = words.where((F.length("word") >= 3) & ~_number(F.col("word"))).mapInArrow(_left_over, "c long, w long, own boolean")
+    words = words.where((F.length("word") >= 3) & ~_number(F.col("word")))
+    if older is not None:
+        few = words.where("own").limit(runtime.BROADCAST_ROWS + 1).toArrow()
+        if few.num_rows <= runtime.BROADCAST_ROWS:
+            return words.mapInArrow(_matching(few), "w long, v long").distinct()
+    left = words.mapInArrow(_left_over, "c long, w long, own boolean")
     return left.repartition("c").sortWithinPartitions("c").mapInArrow(_sharing, "w long, v long").distinct()
 
 
@@ -165,7 +193,9 @@ class HashForest:
         near = self._write(_near(own, known_words), "near", run, "w")
         counted = own.select("w", "df")
         if known_words is not None:
-            counted = known_words.select("w", "df").union(counted).groupBy("w").agg(F.sum("df").alias("df"))
+            wanted = broadcast_if_small(own.select("w").union(near.select("v")).distinct())
+            before = known_words.select("w", "df").join(wanted, "w", "left_semi")
+            counted = before.union(counted).groupBy("w").agg(F.sum("df").alias("df"))
 
         # the prefix a text is looked up by: its rarest words
         chosen = self._prefixes(mine.join(_texts_with(counted, near).hint("shuffle_hash"), "w"))

@@ -89,7 +89,7 @@ class History:
             placed = told.join(seats, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("component"), "accepted")
         placed = persisted(placed, f"placed-{run}")
         first = placed.groupBy("component").agg(F.min(F.coalesce("accepted", "row_id")).alias("first"))
-        settled = placed.join(first, "component").select("row_id", "accepted", "first")
+        settled = persisted(placed.join(first, "component").select("row_id", "accepted", "first"), "settled")
         joined = settled.where("accepted <> first").select(F.col("accepted").alias("old"), F.col("first").alias("new")).distinct()
         joined.write.mode("overwrite").parquet(f"{self.path}/merged/run={run}")
         mine = settled.where("accepted is null").select("row_id", "first")

@@ -1,8 +1,10 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.llm import articles as A
 from corpusloom.llm import hashforest, history, queries, survivors
 from corpusloom.llm.hashforest import HashForest
@@ -164,6 +166,32 @@ def test_runs_of_the_forest_equal_brute_force(spark, tmp_path, options):
     assert {(a, b) for a, b in pairs if A.same_title(text[a], text[b], options.get("lenient", False))} == want and len(want) > 100
 
 
+@pytest.mark.parametrize("rows", [hashforest.runtime.BROADCAST_ROWS, 0])
+def test_near_words_are_kept_with_their_run(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(hashforest.runtime, "BROADCAST_ROWS", rows)  # few words are sent out, others shuffled
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abké𝔘") for _ in range(rng.randrange(2, 6)))
+    texts = [list(dict.fromkeys(word() for _ in range(3))) for _ in range(90)] + [["12345", "1234"], ["x" * 3000]]
+    df = lambda part: spark.createDataFrame([(i, "g", " ".join(texts[i])) for i in part], "k long, g string, t string")
+    forest = HashForest(spark, str(tmp_path / "f"))
+    forest.add(df(range(60)), "g", "t", "k", 0)
+    forest.add(df(range(60, len(texts))), "g", "t", "k", 1)
+    pairs = lambda f: {(r.w, r.v) for r in f.read("near").collect()}
+    name = {r.w: r.word for r in forest.read("words").collect()}
+    got = {(name[w], name[v]) for w, v in pairs(forest)}
+    words = {w for t in texts for w in t}
+    assert {(a, b) for a in words for b in words if a != b and A._near(a, b)} <= got and ("12345", "1234") not in got
+    assert all(abs(len(a) - len(b)) <= 1 for a, b in got)
+    assert pairs(forest.merge(str(tmp_path / "m"))) == pairs(forest)
+
+
+def test_a_batch_leaves_only_its_run(spark, tmp_path):
+    left = lambda: {p.name for p in Path(runtime.shared_dir(spark).removeprefix("file:")).iterdir() if p.name.startswith(("article-", "forest-", "placed-", "reached-"))}
+    before = left()
+    assert history.History(spark, str(tmp_path / "h")).accept(spark.createDataFrame(RECORDS, SIGNALS), 0).count() == 5
+    assert left() == before
+
+
 def test_survivors(spark):
     rows = [
         (1, "g", "2026-01", " Art ", "core", "s"),
