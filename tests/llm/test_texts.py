@@ -37,6 +37,17 @@ def test_found_terms_are_counted_and_nothing_is_scored(spark, tmp_path):
     assert "log2" not in plan and "pow" not in plan and "cross" not in plan
 
 
+def test_found_terms_come_from_the_scored_pairs(spark, tmp_path):
+    rows = [(1, "rare " * 3, " ".join(f"other{i}" for i in range(400))), (2, "Rare rare", "RARE"), (3, "own own own", None), (None, "rare rare rare", "")]
+    spark.createDataFrame(rows, "ord long, title string, summary string").write.parquet(str(tmp_path / "corpus.parquet"))
+    found = queries.p6_found(spark, str(tmp_path))
+    assert {tuple(r) for r in found.collect()} == {(1, "rare"), (2, "rare"), (None, "rare")}
+    scored = {(r.ord, r.term): r for r in spark.read.parquet(*found.inputFiles()).collect()}
+    scores = {(r.ord, r.term): (r.tf, r.df, r.ppmi) for r in queries.p6_scores(spark, str(tmp_path)).collect()}
+    assert {k: (r.tf, r.df, round(r.ppmi, 6)) for k, r in scored.items()} == {k: scores[k] for k in scored}
+    assert len(scored) == 3 and scored[1, "rare"].ppmi == 0 < scored[2, "rare"].ppmi
+
+
 # --- tokenizer ---
 
 
