@@ -21,6 +21,7 @@ import binascii
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -105,9 +106,10 @@ class Mixture:
     def log_density(self, z: np.ndarray) -> np.ndarray:
         """log(weight * density) of each row under each component, up to the common constant."""
         inverse = 1 / self.variance
-        own = (z**2) @ inverse.T if self.shape == "diagonal" else np.outer((z**2).sum(1), inverse[:, 0])
-        quad = own - 2 * z @ (self.means * inverse).T + (self.means**2 * inverse).sum(1)
-        return np.log(np.maximum(self.weights, 1e-12)) - 0.5 * (quad + np.log(self.variance).sum(1))
+        own = -0.5 * (inverse if self.shape == "diagonal" else inverse[:, :1])
+        fixed = np.log(np.maximum(self.weights, 1e-12)) - 0.5 * ((self.means**2 * inverse).sum(1) + np.log(self.variance).sum(1))
+        # all terms in one product: rows times components are the large side
+        return np.column_stack([z, self.squares(z), np.ones(len(z), z.dtype)]) @ np.column_stack([self.means * inverse, own, fixed]).T
 
     def shares(self, z: np.ndarray, d: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The share of each component in each row, and the rows' log likelihoods; ``d`` is overwritten."""
@@ -119,6 +121,20 @@ class Mixture:
         r /= whole
         return r, (top + np.log(whole))[:, 0]
 
+    def sums(self, z: np.ndarray, d: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What ``maximised`` takes: the components' shares of the rows, and by share the rows and their squares; and the rows' log likelihoods.
+
+        The rows are divided, not their shares, of which there are many more; ``d`` is overwritten.
+        """
+        d = self.log_density(z) if d is None else d
+        top = d.max(1, keepdims=True)
+        d -= top
+        r = np.exp(d, out=d)
+        whole = r.sum(1, keepdims=True)
+        t = r.T @ (np.column_stack([np.ones(len(z), z.dtype), z, self.squares(z)]) / whole)
+        width = z.shape[1] + 1
+        return t[:, 0], t[:, 1:width], t[:, width:], (top + np.log(whole))[:, 0]
+
     def criterion(self, likelihood: float, n: int) -> float:
         """Bayesian information criterion; smaller is better."""
         return -2 * likelihood + self.parameters * np.log(n)
@@ -148,12 +164,12 @@ class Mixture:
         k, shape, last = len(means), "tied" if tied else "spherical" if spherical else "diagonal", -np.inf
         mix = start or cls(means.astype(FLOAT), np.full((k, z.shape[1]), max(0.3, ridge), FLOAT), np.full(k, 1 / k, FLOAT), shape)
         for i in range(rounds):
-            r, each = mix.shares(z, first if i == 0 else None)
+            n, sums, squares, each = mix.sums(z, first if i == 0 else None)
             likelihood = float(each.mean())
             if likelihood - last < CONVERGED * abs(likelihood):
                 break
             last = likelihood
-            mix = mix.maximised(r.sum(0), r.T @ z, r.T @ mix.squares(z), ridge)
+            mix = mix.maximised(n, sums, squares, ridge)
         return mix
 
 
@@ -210,8 +226,8 @@ def fit_all(rows: DataFrame, n: int, axes: Axes, mixes: list[Mixture], rounds: i
                 for m, mix in now.items():
                     for at in range(0, len(z), STEP):
                         part = z[at : at + STEP]
-                        r, each = mix.shares(part)
-                        total[m] += np.column_stack([np.zeros(len(mix.means)), r.sum(0), r.T @ np.column_stack([mix.squares(part), part])])
+                        share, sums, squares, each = mix.sums(part)
+                        total[m] += np.column_stack([np.zeros(len(mix.means)), share, squares, sums])
                         total[m][0, 0] += each.sum(dtype=np.float64)
             for m, t in total.items():
                 yield pd.DataFrame({"mix": m, "component": range(len(t)), "t": list(t)})
@@ -231,65 +247,78 @@ def fit_all(rows: DataFrame, n: int, axes: Axes, mixes: list[Mixture], rounds: i
     return [told[m] for m in range(len(mixes))]
 
 
-def leaders(z: np.ndarray, least: float) -> np.ndarray:
+#: Rows of a leaf up to which all its cosines are held at once (64 MB); beyond, they are made row by row.
+HELD = 4_096
+
+
+class Cosines:
+    """The cosines of unit rows, row by row."""
+
+    def __init__(self, unit: np.ndarray):
+        self.unit, self.all = unit, unit @ unit.T if len(unit) <= HELD else None
+
+    def of(self, i: int) -> np.ndarray:
+        return self.unit @ self.unit[i] if self.all is None else self.all[i]
+
+    def blocks(self, step: int = 1024):
+        """(at, cosines of the rows from ``at`` on with all rows)."""
+        for at in range(0, len(self.unit), step):
+            yield at, self.unit[at : at + step] @ self.unit.T if self.all is None else self.all[at : at + step]
+
+
+def leaders(cosines: Cosines, least: float) -> np.ndarray:
     """Rows no earlier leader of which is as near as ``least`` (cosine)."""
-    unit = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-6)
-    left, found = np.arange(len(z)), []
-    while len(left):
-        found.append(left[0])
-        left = left[1:][unit[left[1:]] @ unit[left[0]] < least]  # a row of zeros is near nothing, not even itself
+    free, found = np.ones(len(cosines.unit), bool), []
+    for i in range(len(free)):
+        if free[i]:
+            found.append(i)
+            free &= cosines.of(i) < least  # a row of zeros is near nothing, not even itself
     return np.array(found)
 
 
-def solve_leaf(ords: np.ndarray, x: np.ndarray, axes: Axes) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Links (row, representative) and conflicts (representatives of rows that are neither alike nor apart)."""
+def solve_leaf(ords: np.ndarray, x: np.ndarray, axes: Axes) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, representative) and conflicts (representatives of rows that are neither alike nor apart), a pair a row."""
     n = len(ords)
     z = axes(x)
-    best = None
+    best, reduced = None, Cosines(z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-6))
     for least in (0.5, 0.75):
-        seeds = leaders(z, least)
+        seeds = leaders(reduced, least)
         if best is not None and 2 * len(seeds) > n:
             continue  # the criterion never pays for components of fewer than two rows
         mix = Mixture.fit(z, z[seeds], 1, spherical=True)
-        r, each = mix.shares(z)
+        *sums, each = mix.sums(z)
         c = mix.criterion(float(each.sum()), n)
         if best is None or c < best[0]:
-            best = (c, mix, r)
-    d = best[1].maximised(best[2].sum(0), best[2].T @ z, best[2].T @ best[1].squares(z), RIDGE).log_density(z)
+            best = (c, mix, sums)
+    del reduced
+    d = best[1].maximised(*best[2], RIDGE).log_density(z)
     label, dense = d.argmax(1), d.max(1)
     order = np.lexsort((ords, -dense))  # the densest first
-    taken = np.full(n, -1)
-    reps: list[int] = []
+    whole, taken = Cosines(x), np.full(n, -1, np.int32)
     seen: set[int] = set()
+
+    def represent(i: int) -> None:
+        taken[(whole.of(i) >= ALIKE) & (taken < 0)] = i
+        taken[i] = i
+
     for i in order.tolist():  # the densest member of each component represents it
         if label[i] not in seen:
             seen.add(label[i])
             if taken[i] < 0:
-                reps.append(i)
-                near = (x @ x[i] >= ALIKE) & (taken < 0)
-                taken[near] = i
-                taken[i] = i
+                represent(i)
     for i in order.tolist():  # rows that no representative takes
         if taken[i] < 0:
-            reps.append(i)
-            near = (x @ x[i] >= ALIKE) & (taken < 0)
-            taken[near] = i
-            taken[i] = i
-    links = [(int(ords[i]), int(ords[taken[i]])) for i in range(n) if taken[i] != i]
-    conflicts: set[tuple[int, int]] = set()
-    for at in range(0, n, 1024):
-        s = x[at : at + 1024] @ x.T
-        rows, cols = np.nonzero(s >= APART)
-        a, b = taken[rows + at], taken[cols]
-        apart = a < b
-        if apart.any():
-            alike = s[rows[apart], cols[apart]] >= ALIKE
-            pairs = np.stack([a[apart], b[apart]], 1)
-            if alike.any():
-                links += [(int(ords[p]), int(ords[q])) for p, q in np.unique(pairs[alike], axis=0)]
-            if (~alike).any():
-                conflicts |= {(int(ords[p]), int(ords[q])) for p, q in np.unique(pairs[~alike], axis=0)}
-    return links, sorted(conflicts)
+            represent(i)
+    own = np.flatnonzero(taken != np.arange(n))
+    links, conflicts = [np.stack([own, taken[own]], 1)], [np.empty((0, 2), np.int64)]
+    for at, s in whole.blocks():
+        # what is told by the first of two representatives is not told again by the second
+        rows, cols = np.divmod(np.flatnonzero((s >= APART) & (taken[at : at + len(s), None] < taken)), n)
+        alike = s[rows, cols] >= ALIKE
+        pairs = np.stack([taken[rows + at], taken[cols]], 1)
+        links.append(np.unique(pairs[alike], axis=0))
+        conflicts.append(np.unique(pairs[~alike], axis=0))
+    return ords[np.concatenate(links)], ords[np.unique(np.concatenate(conflicts), axis=0)]
 
 
 _LINKS = "a long, b long, kind int"
@@ -298,7 +327,8 @@ _LINKS = "a long, b long, kind int"
 def _leaf_frame(pdf: pd.DataFrame, axes: Axes) -> pd.DataFrame:
     pdf = pdf.drop_duplicates("ord").sort_values("ord")
     links, conflicts = solve_leaf(pdf["ord"].to_numpy(), matrix(pdf["v"]), axes)
-    return pd.DataFrame([(a, b, 0) for a, b in links] + [(a, b, 1) for a, b in conflicts], columns=["a", "b", "kind"], dtype="int64").astype({"kind": "int32"})
+    pairs = np.concatenate([links, conflicts])
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "kind": np.repeat(np.array([0, 1], np.int32), [len(links), len(conflicts)])})
 
 
 def links_of(rows: DataFrame, sample: int = SAMPLE, leaf: int = LEAF, routes: tuple[int, ...] = ROUTES, seed: int = 0) -> DataFrame:
@@ -320,22 +350,31 @@ def links_of(rows: DataFrame, sample: int = SAMPLE, leaf: int = LEAF, routes: tu
     routers = [min(mixes, key=lambda f: f[0])[1] for mixes in fitted]
     shared = spark.sparkContext.broadcast((axes, routers))  # bounded: axes, and COMPONENTS a router
 
-    def route(frames):
+    def cells(pdf: pd.DataFrame) -> list[np.ndarray]:
+        """The rows' cells, by router and rank."""
         ax, mixes = shared.value
+        zz, found = ax(matrix(pdf["v"])), []
+        for m, mix in enumerate(mixes):
+            top = min(routes[m], len(mix.means))
+            d = mix.log_density(zz)
+            best = d.argmax(1)[:, None] if top == 1 else np.argpartition(-d, top - 1, axis=1)[:, :top]
+            found += [best[:, j].astype("int64") * len(mixes) + m for j in range(top)]
+        return found
+
+    def route(frames):
         for pdf in frames:
-            if not len(pdf):
-                continue
-            zz = ax(matrix(pdf["v"]))
-            parts = []
-            for m, mix in enumerate(mixes):
-                top = min(routes[m], len(mix.means))
-                d = mix.log_density(zz)
-                best = np.argpartition(-d, top - 1, axis=1)[:, :top]
-                parts += [pd.DataFrame({"cell": best[:, j].astype("int64") * len(mixes) + m, "ord": pdf["ord"], "v": pdf["v"]}) for j in range(top)]
-            yield pd.concat(parts)
+            if len(pdf):
+                yield pd.concat([pd.DataFrame({"cell": cell, "ord": pdf["ord"], "v": pdf["v"]}) for cell in cells(pdf)])
+
+    def tally(frames):
+        for pdf in frames:
+            if len(pdf):
+                cell, k = np.unique(np.concatenate(cells(pdf)), return_counts=True)
+                yield pd.DataFrame({"cell": cell, "k": k})
 
     routed = rows.mapInPandas(route, "cell long, ord long, v binary")
-    sizes = {r.cell: r["count"] for r in routed.groupBy("cell").count().toLocalIterator()}  # one number a component
+    counts = rows.select("v").mapInPandas(tally, "cell long, k long").groupBy("cell").agg(F.sum("k").alias("k"))
+    sizes = {r.cell: r.k for r in counts.toLocalIterator()}  # one number a component
     salts = {c: -(-k // (2 * leaf)) for c, k in sizes.items() if k > 2 * leaf}
     cell_salts = F.create_map(*[F.lit(v) for kv in salts.items() for v in kv]) if salts else F.create_map()
     salted = routed.withColumn("salt", F.pmod(F.xxhash64("ord"), F.coalesce(F.element_at(cell_salts.cast("map<bigint,int>"), F.col("cell")), F.lit(1)).cast("long")))
@@ -363,7 +402,7 @@ def clusters(df: DataFrame, key: str = "ord", vec: str = "vec") -> DataFrame:
     def centre_rows(frames):
         for pdf in frames:
             if len(pdf):
-                c = np.stack(pdf["c"].to_numpy())
+                c = unpacked(pdf["c"])
                 q = np.rint(c / np.abs(c).max(1, keepdims=True) * 127).astype(np.int8)
                 yield pd.DataFrame({"ord": pdf["cluster_ord"], "v": [r.tobytes() for r in q]})
 
@@ -385,21 +424,34 @@ def clusters(df: DataFrame, key: str = "ord", vec: str = "vec") -> DataFrame:
     return members.join(broken(rows, members), "cluster_ord", "left_anti").select("cluster_ord", "ord")
 
 
-def _sums(frames):
-    for pdf in frames:
-        if len(pdf):
-            x = matrix(pdf["v"]).astype(np.float64)
-            c, at = np.unique(pdf["cluster_ord"].to_numpy(), return_inverse=True)
-            total = np.zeros((len(c), BYTES))
-            np.add.at(total, at, x)
-            yield pd.DataFrame({"cluster_ord": c, "n": np.bincount(at), "total": list(total)})
+def _sums(batches):
+    for b in batches:
+        if b.num_rows:
+            x = matrix(b.column("v").to_pylist()).astype(np.float64)
+            c, at, n = np.unique(b.column("cluster_ord").to_numpy(), return_inverse=True, return_counts=True)
+            total = np.add.reduceat(x[np.argsort(at, kind="stable")], np.cumsum(n) - n, axis=0)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1, dtype=np.int32) * BYTES), pa.array(total.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n), lists], ["cluster_ord", "n", "total"])
+
+
+def _packed(batches):
+    """The elements of ``c`` as the bytes of their doubles, which go to each member as one value."""
+    for b in batches:
+        if b.num_rows:
+            c = b.column("c").flatten().to_numpy().reshape(-1, BYTES)
+            yield pa.RecordBatch.from_arrays([b.column("cluster_ord"), b.column("n"), pa.array([r.tobytes() for r in c])], ["cluster_ord", "n", "c"])
+
+
+def unpacked(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column)).reshape(-1, BYTES)
 
 
 def centres(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """(cluster_ord, n, c): the sums of the unit vectors, added up by batch first and element by element after."""
+    """(cluster_ord, n, c): the sums of the unit vectors, added up by batch first and element by element after, as ``unpacked`` reads them."""
     placed = members.join(rows, "ord").select("cluster_ord", "v")
-    sums = placed.mapInPandas(_sums, "cluster_ord long, n long, total array<double>")
-    return sums.groupBy("cluster_ord").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("total")[i]) for i in range(BYTES)]).alias("c"))
+    sums = placed.mapInArrow(_sums, "cluster_ord long, n long, total array<double>")
+    added = sums.groupBy("cluster_ord").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("total")[i]) for i in range(BYTES)]).alias("c"))
+    return added.mapInArrow(_packed, "cluster_ord long, n long, c binary")
 
 
 def angles(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -410,8 +462,8 @@ def angles(rows: DataFrame, members: DataFrame) -> DataFrame:
         for pdf in frames:
             if not len(pdf):
                 continue
-            c = np.stack(pdf["c"].to_numpy())
-            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
+            c = unpacked(pdf["c"])
+            c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
             yield pd.DataFrame({"cluster_ord": pdf["cluster_ord"], "ord": pdf["ord"], "v": pdf["v"], "cosine": (matrix(pdf["v"]) * c).sum(1).astype("float64")})
 
     return placed.select("cluster_ord", "ord", "v", "c").mapInPandas(batches, "cluster_ord long, ord long, v binary, cosine double")

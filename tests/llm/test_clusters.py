@@ -120,3 +120,37 @@ def test_routers_are_fitted_on_all_rows(spark, monkeypatch):
         assert again.shares(z)[1].mean() - each.mean() < C.CONVERGED * abs(each.mean())
     n, mean, covariance = C.moments(vectors)
     assert n == len(x) and np.allclose(covariance, np.cov(x.T, bias=True), atol=1e-6) and np.allclose(mean, x.mean(0))
+
+
+def test_a_leaf_needs_no_product_for_each_row(monkeypatch):
+    rows = data([(60, 0.03), (9, 0.045)], 200, seed=3)
+    ords, x = np.array([o for o, _ in rows]), C.matrix([C.decode(v) for _, v in rows])
+    axes = C.Axes(x.mean(0), np.cov(x.T.astype(float), bias=True))
+
+    class Counted(np.ndarray):
+        products = 0
+
+        def __matmul__(self, other):
+            Counted.products += 1
+            return np.asarray(self) @ np.asarray(other)
+
+    held = C.solve_leaf(ords, x.view(Counted), axes)
+    assert Counted.products < 10  # not one for each representative, of which there are more than 200
+    monkeypatch.setattr(C, "HELD", 10)  # a leaf too large to hold all cosines
+    assert all(np.array_equal(a, b) for a, b in zip(held, C.solve_leaf(ords, x, axes), strict=True))
+    assert set(range(1, 61)) <= set(held[0].ravel().tolist())
+
+
+def test_partial_sums_are_those_of_the_shares():
+    rng = np.random.default_rng(6)
+    z = rng.normal(size=(300, 7)).astype(np.float32)
+    for shape in ("diagonal", "spherical", "tied"):
+        variance = rng.uniform(0.5, 2, (5, 1 if shape != "diagonal" else 7)) * np.ones((5, 7)) if shape != "tied" else np.full((5, 7), 0.8)
+        mix = C.Mixture(z[:5], variance.astype(np.float32), np.full(5, 0.2, np.float32), shape)
+        dense = np.log(0.2) - 0.5 * (((z[:, None] - mix.means) ** 2 / mix.variance).sum(2) + np.log(mix.variance).sum(1))
+        assert np.allclose(mix.log_density(z), dense, atol=1e-3)
+        r, each = mix.shares(z)
+        *sums, likelihood = mix.sums(z)
+        for got, want in zip(sums, (r.sum(0), r.T @ z, r.T @ mix.squares(z)), strict=True):
+            assert np.allclose(got, want, rtol=1e-3, atol=1e-3)
+        assert np.allclose(likelihood, each, atol=1e-4)
