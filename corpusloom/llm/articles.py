@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from functools import lru_cache
 from urllib.parse import parse_qsl, unquote, urlsplit
 
 import pandas as pd
@@ -26,6 +27,7 @@ from . import hashforest
 _TRACKING = re.compile(r"^(?:utm_.*|ref|ref_src|source|share|amp|fbclid|gclid|mc_[a-z]+|campaign|cmp|igshid|s|from|output|print)$")
 _HOST_PREFIX = re.compile(r"^(?:www\d?|m|mobile|amp)\.(?=[^.]+\.)")
 _TAIL = re.compile(r"(?:/(?:index|default)\.(?:html?|php|aspx?)|\.(?:html?|php|aspx?)|/amp|/)+$")
+_SLASHES = re.compile(r"/{2,}")
 _ALNUM = re.compile(r"[^\W_]+")
 _TAG = re.compile(r"<[^<>]{0,100}>")
 _REPEAT = re.compile(r"(.)\1+")
@@ -35,7 +37,13 @@ _YEAR = re.compile(r"^(?:19|20)\d\d$")
 _ACCENT = re.compile("[̀-ͯ]+")
 
 
+#: Values that recur in many records (sources, words) are worked out once while so many others come.
+RECUR = 1 << 16
+
+
 def plain(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     return _ACCENT.sub("", unicodedata.normalize("NFKD", text)).lower()
 
 
@@ -43,7 +51,7 @@ def page_of(url: str | None) -> tuple[str | None, str | None]:
     """(page, host) of a url: null where it is blank or no url; the page is ``host`` alone for a root."""
     if not url or not url.strip():
         return None, None
-    text = re.sub(r"\s+", "", url)
+    text = "".join(url.split())
     if "://" not in text:
         text = "http://" + text.lstrip("/")
     try:
@@ -54,31 +62,46 @@ def page_of(url: str | None) -> tuple[str | None, str | None]:
     if not host or "." not in host:
         return None, None
     path = unquote(parts.path).lower()
-    path = re.sub(r"^/(?:amp|mobile)(?=/)", "", re.sub(r"/{2,}", "/", path))
+    if "//" in path:
+        path = _SLASHES.sub("/", path)
+    if path.startswith(("/amp/", "/mobile/")):
+        path = path[path.index("/", 1) :]
     path = _TAIL.sub("", path)
-    query = sorted((k.lower(), v) for k, v in parse_qsl(parts.query) if not _TRACKING.match(k.lower()))
+    query = sorted((k.lower(), v) for k, v in parse_qsl(parts.query) if not _TRACKING.match(k.lower())) if parts.query else None
     return host + path + ("?" + "&".join(f"{k}={v}" for k, v in query) if query else ""), host
 
 
+@lru_cache(RECUR)
 def publisher_of(source: str | None, host: str | None) -> str | None:
     """Letters and digits of the source, or of the host without its last label."""
     name = "".join(_ALNUM.findall(plain(source))) if source else ""
     return name or (("".join(_ALNUM.findall(host.rpartition(".")[0]))) if host else None) or None
 
 
+@lru_cache(RECUR)
+def _name_words(source: str) -> list[str]:
+    return [w for w in _ALNUM.findall(plain(source)) if w not in _AND]
+
+
+@lru_cache(RECUR)
+def _single(word: str) -> str:
+    return word if word.isdigit() else _REPEAT.sub(r"\1", word)
+
+
 def title_words(title: str | None, source: str | None = None) -> list[str]:
     """The compared words of a title: entities and tags resolved, doubled letters single, publisher's name cut off."""
     if not title:
         return []
-    text = plain(_TAG.sub(" ", html.unescape(title)).replace("ß", "ss"))
+    text = html.unescape(title)
+    text = plain((_TAG.sub(" ", text) if "<" in text else text).replace("ß", "ss"))
     words = [w for w in _ALNUM.findall(text) if w not in _AND]
-    own = [w for w in _ALNUM.findall(plain(source)) if w not in _AND] if source else []
+    own = _name_words(source) if source else []
     if own and len(words) > len(own):
         if words[-len(own) :] == own:
             words = words[: -len(own)]
         elif words[: len(own)] == own:
             words = words[len(own) :]
-    return [w if w.isdigit() else _REPEAT.sub(r"\1", w) for w in words]
+    return [_single(w) for w in words]
 
 
 def _near(a: str, b: str) -> bool:

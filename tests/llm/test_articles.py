@@ -277,3 +277,15 @@ def test_a_crowded_page_is_compared_as_loosely_as_others(spark):
     edited = " ".join([*titles[7].split()[:4], word(), word()])
     rows = [rec(i + 1, t, U + "hot") for i, t in enumerate([*titles, edited])]
     assert {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()} == {(8, len(rows))}
+
+
+def test_recurring_values_of_record_keys_are_worked_out_once():
+    for f in (A.publisher_of, A._name_words, A._single):
+        f.cache_clear()
+    for _ in range(3):
+        assert A.title_words("Bookkeeping &amp; <b>Caf\u00e9</b> 0011 | Caf\u00e9 Nuun", "Caf\u00e9 Nuun") == ["bokeping", "cafe", "0011"]
+        assert A.publisher_of("Caf\u00e9 Nuun", "x.example") == "cafenuun"
+    assert A.publisher_of.cache_info().misses == A._name_words.cache_info().misses == 1
+    assert A._single.cache_info().misses == 3
+    pages = {"x.com//amp//a": "x.com/a", "x.com/mobile/": "x.com", "x.com/ampx/b": "x.com/ampx/b", "http://x.com/amp/amp/b?B=2&utm_x=1": "x.com/amp/b?b=2"}
+    assert {u: A.page_of(u)[0] for u in pages} == pages
