@@ -222,10 +222,10 @@ def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return subjects, general, titles
 
 
-def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame, DataFrame] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest.
 
-    ``told`` is ``titles_of`` the records where it is known.
+    ``told`` is ``titles_of`` the records where it is known; columns of the keys to ``keep`` follow the labels.
     """
     subjects, general, _ = told or titles_of(keys)
     texts = subjects.select("title", "words")
@@ -240,8 +240,10 @@ def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[Dat
     links = pairs.where(_same("words_a", "words_b")).select("a", "b")
 
     # what a page carries
+    further = [c for c in keep if c not in ("id", "page", "slug", "root", "untitled")]
+    kept = [c for c in keep if c not in ("id", "page")]
     marked = persisted(
-        keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named")), "article-marked"
+        keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named"), *further), "article-marked"
     )
     per_page = persisted(marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("slug").alias("slug")), "article-pages")
     shared = persisted(per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "article-shared")
@@ -249,8 +251,9 @@ def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[Dat
     loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b")
     crowded = shared.where(F.col("n") > PAGE_TITLES)
     if not crowded.isEmpty():
-        entries = per_page.join(crowded, "page").join(texts, F.col("named") == F.col("title")).select("page", "named", "words")
-        loose = loose.union(hashforest.near_pairs(entries, "page", "words", "named", lenient=True))
+        entries = broadcast_if_small(per_page.join(broadcast_if_small(crowded), "page").select("page", "named"))
+        entries = texts.join(entries, F.col("named") == F.col("title")).select("page", "named", "words")
+        loose = loose.union(hashforest.near_pairs(persisted(entries, "article-crowded"), "page", "words", "named", lenient=True))
     loose = loose.distinct()
     loose = with_words(loose).where(_same_on_page("words_a", "words_b")).select("a", "b")
     linked = persisted(connected_components(links.union(loose)), "article-links")
@@ -261,10 +264,10 @@ def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[Dat
     by_page = settled.join(lone.select("page").distinct(), "page", "left_semi").groupBy("page").agg(F.min("c").alias("page_class"), F.max("c").alias("_most")).where("page_class = _most").drop("_most")
     by_slug = settled.join(lone.where("untitled").select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.min("c").alias("slug_class"), F.max("c").alias("_most")).where("slug_class = _most").drop("_most")
     linked = broadcast_if_small(linked)
-    named = marked.where("named is not null").join(linked, F.col("named") == F.col("node"), "left").select("row_id", "id", "page", F.coalesce("component", "named").alias("class"))
+    named = marked.where("named is not null").join(linked, F.col("named") == F.col("node"), "left").select("row_id", "id", "page", F.coalesce("component", "named").alias("class"), *kept)
     row_key = F.xxhash64(F.lit("row"), F.col("row_id"))
     placed = F.when(F.col("untitled"), F.coalesce("page_class", "slug_class", "page")).otherwise(F.col("page"))
-    untitled = lone.join(by_page, "page", "left").join(by_slug, "slug", "left").select("row_id", "id", "page", F.when(F.col("page").isNull() | F.col("root"), row_key).otherwise(placed).alias("class"))
+    untitled = lone.join(by_page, "page", "left").join(by_slug, "slug", "left").select("row_id", "id", "page", F.when(F.col("page").isNull() | F.col("root"), row_key).otherwise(placed).alias("class"), *kept)
     labelled = persisted(named.union(untitled), "article-classes")
 
     # a record without url has the id of a record of the article
@@ -272,4 +275,4 @@ def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[Dat
     others = labelled.where("page is not null").join(bare.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("class").alias("b"))
     among = bare.groupBy("id").agg(F.min("a").alias("b"))
     through = connected_components(bare.join(others.union(among), "id").select("a", "b"))
-    return labelled.join(through, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("class"))
+    return labelled.join(through, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("class"), *keep)

@@ -2,8 +2,9 @@
 
 The words of a text, hashed within its group, are its signature; each word leads one permutation of it. The permutations of
 all texts, sorted by their leading hash, are a forest of prefix trees, and every batch adds one run of it. Four sorted
-runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each word with its count), ``near`` (the words
-one slip apart, one of them of the batch; they are found by what is left of them without one letter) and ``askers`` (the
+runs belong to a batch: ``posts`` (a row for each permutation), ``words`` (each word with its count and,
+where it is one, the text that has it), ``near`` (the words one slip apart, one of them of the batch; they are found by what is left of
+them without one letter, among words that begin or end alike) and ``askers`` (the
 prefix that a text is looked up by).
 
 An entry is located by the range of permutations that begin with its rarest word or a near one. Of two texts that
@@ -34,10 +35,14 @@ from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
 
 #: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
 BUCKET = 64
-#: A run's files are split by so many leading bits of the hash.
+#: The files of permutations and askers are split by so many leading bits of the hash.
 RANGE_BITS = 8
+#: At most so many letters at either end tell which words meet in a task.
+END = 3
 MISSING = 2
 SHORT = 4
+#: Places, a power of two, that a batch's few words are marked in before they are searched.
+SEEN = 1 << 23
 
 
 def _number(w: Column) -> Column:
@@ -76,27 +81,55 @@ def _pairs(c: np.ndarray, w: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
 
 
 def _sharing(batches):
-    """The pairs of words that share a key, of rows (c, w, own) in the order of their keys."""
-    open_key = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]  # a batch's last key may go on in the next one
-    for b in batches:
-        if b.num_rows:
-            rows = [np.concatenate([x, b.column(i).to_numpy(zero_copy_only=False)]) for i, x in enumerate(open_key)]
-            end = np.searchsorted(rows[0], rows[0][-1])
-            yield _pairs(*[x[:end] for x in rows])
-            open_key = [x[end:] for x in rows]
-    yield _pairs(*open_key)
+    """The pairs of words that share a key, of all rows (w, g, word, own) of a task; a row may come twice."""
+    batches = [b for b in batches if b.num_rows]
+    if batches:
+        rows = pa.Table.from_batches(batches)
+        w, own = (rows.column(x).to_numpy() for x in ("w", "own"))
+        order = np.lexsort((~own, w))
+        once = order[np.append(True, np.diff(w[order]) != 0)]  # of a word that is old and the batch's, the batch's row
+        keys = list(_left_over(rows.take(pa.array(once)).combine_chunks().to_batches()))
+        c, w, own = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in keys]) for i in range(3))
+        order = np.argsort(c)
+        yield _pairs(c[order], w[order], own[order])
+
+
+def _ends() -> Column:
+    """Keys of which words (g, word) one slip apart share one: the slip leaves half of the letters but one at one end as they are.
+
+    A word meets those as long as it is, one letter longer and one letter shorter; the shorter one tells how many letters count.
+    """
+
+    def of(letters: int) -> list[Column]:
+        return [F.xxhash64(F.lit(at), "g", F.substring("word", at, letters)) for at in (1, -letters)]
+
+    def number(shorter: int) -> int:
+        return min(END, (shorter - 1) // 2)
+
+    def both(n: int) -> Column:
+        return F.array(*[key for letters in sorted({number(n), number(max(n - 1, 3))}) for key in of(letters)])
+
+    out = F.when(F.length("word") == 3, both(3))
+    for n in range(4, 2 * END + 2):
+        out = out.when(F.length("word") == n, both(n))
+    return out.otherwise(both(2 * END + 2))
 
 
 def _matching(words: pa.Table):
     """What gives the pairs of rows (w, g, word, own) with these words, both ways round."""
 
+    keys = list(_left_over(words.to_batches()))
+    c, w = (np.concatenate([np.empty(0, np.int64), *[b.column(i).to_numpy(zero_copy_only=False) for b in keys]]) for i in (0, 1))
+    order = np.argsort(c)
+    c, w = c[order], w[order]
+
     def match(batches):
-        keys = list(_left_over(words.to_batches()))
-        c, w = (np.concatenate([np.empty(0, np.int64), *[b.column(i).to_numpy(zero_copy_only=False) for b in keys]]) for i in (0, 1))
-        order = np.argsort(c)
-        c, w = c[order], w[order]
+        seen = np.zeros(SEEN, bool)  # most keys that are asked for are none of these
+        seen[c & (SEEN - 1)] = True
         for b in _left_over(batches):
             asked, v = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            likely = seen[asked & (SEEN - 1)]
+            asked, v = asked[likely], v[likely]
             first = np.searchsorted(c, asked)
             hit = np.flatnonzero(c[np.minimum(first, len(c) - 1)] == asked) if len(c) else first[:0]
             n = np.searchsorted(c, asked[hit], "right") - first[hit]
@@ -112,7 +145,7 @@ def _near(own: DataFrame, older: DataFrame | None) -> DataFrame:
     """(w, v): the batch's words (w, g, word) and words of a group one slip apart from them, both ways round.
 
     Two words one slip apart share what is left of one or both without one letter. Numbers and short words only match themselves. A batch of
-    counted few words goes to the tasks of the older ones; else all of what is left is shuffled.
+    counted few words goes to the tasks of the older ones; else the words are shuffled by their ends, and what is left of them stays in the task.
     """
     words = own.select("w", "g", "word", F.lit(True).alias("own"))
     if older is not None:
@@ -122,8 +155,7 @@ def _near(own: DataFrame, older: DataFrame | None) -> DataFrame:
         few = words.where("own").limit(runtime.BROADCAST_ROWS + 1).toArrow()
         if few.num_rows <= runtime.BROADCAST_ROWS:
             return words.mapInArrow(_matching(few), "w long, v long").distinct()
-    left = words.mapInArrow(_left_over, "c long, w long, own boolean")
-    return left.repartition("c").sortWithinPartitions("c").mapInArrow(_sharing, "w long, v long").distinct()
+    return words.select("*", F.explode(_ends()).alias("_end")).repartition("_end").drop("_end").mapInArrow(_sharing, "w long, v long").distinct()
 
 
 def _widened(rows: DataFrame, near: DataFrame, c: str) -> DataFrame:
@@ -133,9 +165,10 @@ def _widened(rows: DataFrame, near: DataFrame, c: str) -> DataFrame:
 
 
 def _texts_with(words: DataFrame, near: DataFrame) -> DataFrame:
-    """(w, nd): how many texts have a word of (w, df) or one near it."""
+    """The words (w, df, …) with nd for df: how many texts have the word or one near it."""
     more = near.join(words.select(F.col("w").alias("v"), "df"), "v").groupBy("w").agg(F.sum("df").alias("more"))
-    return words.join(more, "w", "left").select("w", (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
+    kept = [c for c in words.columns if c != "df"]
+    return words.join(more, "w", "left").select(*kept, (F.col("df") + F.coalesce("more", F.lit(0))).alias("nd"))
 
 
 def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool) -> DataFrame:
@@ -146,6 +179,30 @@ def _located(askers: DataFrame, posts: DataFrame, on: list[str], lenient: bool)
     return pairs.where(missing <= allowed).select(F.least("l.k", "r.k").alias("a"), F.greatest("l.k", "r.k").alias("b"))
 
 
+def _one() -> list[Column]:
+    """Of the texts that have a word, one, where it is the only one; else the least of each column."""
+    return [F.min(c).alias(c) for c in ("k", "n", "bits")]
+
+
+def _group(group: str, text: str) -> Column:
+    """Texts of one group have the same numbers, but for years."""
+    numbers = F.array_join(F.filter(F.split(text, " "), lambda w: _number(w) & ~w.rlike("^(19|20)[0-9][0-9]$")), " ")
+    return F.xxhash64(F.col(group), F.when(F.col(text).rlike("[0-9]"), numbers).otherwise(""))
+
+
+def _signed(entries: DataFrame, group: str, text: str, key: str) -> DataFrame:
+    """(k, g, n, _w, bits): the entries' keys, groups, sizes, different words and bit sets."""
+    words = F.split(text, " ")
+    named = entries.select(F.col(key).alias("k"), _group(group, text).alias("g"), F.size(words).alias("n"), F.array_distinct(words).alias("_w"))
+    bits = F.aggregate("_w", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64("g", w).bitwiseAND(F.lit(63)).cast("int"))))
+    return named.withColumn("bits", bits)
+
+
+def _led(texts: DataFrame) -> DataFrame:
+    """(g, k, n, bits, word, w): a row for each word of the texts (g, k, n, bits, _w)."""
+    return texts.select("g", "k", "n", "bits", F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
+
+
 class HashForest:
     """The forest in the folder ``path``: ``<part>/run=<n>``."""
 
@@ -163,12 +220,12 @@ class HashForest:
         found = found if before is None else found.where(F.col("run") < before)
         return found.drop("run")
 
-    def _write(self, rows: DataFrame, part: str, run: int, lead: str) -> DataFrame:
-        if self.once:
-            rows.write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
-            return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
-        # hashes are spread evenly, so their first bits are ranges of like size and no sample is needed
-        rows.repartition(F.shiftright(lead, 64 - RANGE_BITS)).sortWithinPartitions(lead).write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
+    def _write(self, rows: DataFrame, part: str, run: int, lead: str, spread: bool = False) -> DataFrame:
+        """``spread``: an aggregation has dealt the rows out evenly, so they are sorted where they are."""
+        if not self.once:
+            # hashes are spread evenly, so their first bits are ranges of like size and no sample is needed
+            rows = (rows if spread else rows.repartition(F.shiftright(lead, 64 - RANGE_BITS))).sortWithinPartitions(lead)
+        rows.write.mode("overwrite").parquet(f"{self.path}/{part}/run={run}")
         return self.spark.read.schema(rows.schema).parquet(f"{self.path}/{part}/run={run}")
 
     def add(self, entries: DataFrame, group: str, text: str, key: str, run: int = 0) -> DataFrame:
@@ -178,27 +235,32 @@ class HashForest:
         words pair too; an empty batch gives no pairs and an empty run.
         """
         older = self.read("posts", run) if run else None
-        words = F.split(text, " ")
-        numbers = F.array_join(F.filter(words, lambda w: _number(w) & ~w.rlike("^(19|20)[0-9][0-9]$")), " ")
-        named = entries.select(F.col(key).alias("k"), F.xxhash64(F.col(group), numbers).alias("g"), F.size(words).alias("n"), F.array_distinct(words).alias("_w"))
-        hashes = F.transform("_w", lambda w: F.xxhash64("g", w))
-        bits = F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
-        led = named.withColumn("bits", bits).select("g", "k", "n", "bits", F.explode("_w").alias("word")).withColumn("w", F.xxhash64("g", "word"))
+        led = _led(_signed(entries, group, text, key))
         mine = self._write(led.select("w", "g", "k", "n", "bits"), "posts", run, "w")
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
         # the batch's words, all words one slip apart from them, and how many texts each of them has
-        own = self._write(led.groupBy("w", "g", "word").agg(F.count(F.lit(1)).alias("df")), "words", run, "w")
+        own = self._write(led.groupBy("w", "g", "word").agg(F.count(F.lit(1)).alias("df"), *_one()), "words", run, "w", spread=True)
         known_words = self.read("words", run) if run else None
-        near = self._write(_near(own, known_words), "near", run, "w")
-        counted = own.select("w", "df")
+        near = self._write(_near(own, known_words), "near", run, "w", spread=True)
+        counted = own.select("w", "g", "k", "n", "bits", "df")
         if known_words is not None:
             wanted = broadcast_if_small(own.select("w").union(near.select("v")).distinct())
-            before = known_words.select("w", "df").join(wanted, "w", "left_semi")
-            counted = before.union(counted).groupBy("w").agg(F.sum("df").alias("df"))
+            before = known_words.select(*counted.columns).join(wanted, "w", "left_semi")
+            counted = before.union(counted).groupBy("w", "g").agg(*_one(), F.sum("df").alias("df"))
 
         # the prefix a text is looked up by: its rarest words
-        chosen = self._prefixes(mine.join(_texts_with(counted, near).hint("shuffle_hash"), "w"))
+        counted = persisted(_texts_with(counted, near), "forest-counted")
+        if self.lenient:
+            chosen = self._prefixes(mine.join(counted.select("w", "nd").hint("shuffle_hash"), "w"))
+        else:
+            # a word that no other text has, or nearly has, is the rarest: only texts without one rank their words
+            lone = counted.where("nd = 1").groupBy("g", "k", "n", "bits").agg(F.min("w").alias("w"))
+            lone = persisted(lone.select("w", F.lit(None).cast("long").alias("w2"), F.lit(1).cast("long").alias("nd"), "g", "k", "n", "bits"), "forest-lone")
+            told = (F.col(key) == F.col("_k")) & (_group(group, text) == F.col("_g"))
+            rest = entries.select(group, text, key).join(lone.select(F.col("k").alias("_k"), F.col("g").alias("_g")), told, "left_anti")
+            rest = _led(_signed(rest, group, text, key)).drop("word")
+            chosen = lone.union(self._prefixes(rest.join(counted.where("nd > 1").select("w", "nd").hint("shuffle_hash"), "w")))
         waiting = self.read("askers", run) if run else None
         asked = self._write(chosen, "askers", run, "w").where("nd > 1")  # a word that no other text has, or nearly has, finds nothing
 
@@ -247,11 +309,11 @@ class HashForest:
         if posts is None:
             return merged
         posts = merged._write(posts.select("w", "g", "k", "n", "bits"), "posts", 0, "w")
-        words = merged._write(self.read("words").groupBy("w", "g", "word").agg(F.sum("df").alias("df")), "words", 0, "w")
-        near = merged._write(self.read("near").distinct(), "near", 0, "w")
+        words = merged._write(self.read("words").groupBy("w", "g", "word").agg(F.sum("df").alias("df"), *_one()), "words", 0, "w", spread=True)
+        near = merged._write(self.read("near").distinct(), "near", 0, "w", spread=True)
         askers = self.read("askers").select("w", "w2", "nd", "g", "k", "n", "bits")
         if not self.lenient:
-            known = _texts_with(words.select("w", "df"), near)
+            known = persisted(_texts_with(words.select("w", "df"), near), "forest-known")
             full = persisted(askers.where("w2 is null").join(known.where(F.col("nd") > self.bucket).select("w"), "w", "left_semi").select("g", "k"), "forest-full")
             if not full.isEmpty():
                 full = broadcast_if_small(full)

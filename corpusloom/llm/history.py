@@ -74,26 +74,26 @@ class History:
             told = articles.titles_of(keys)
             fresh = told[2]
             # general titles are never compared: the forest of a first load does without them
-            labels = articles.labels_of(keys, self.forest.add(told[0], "publisher", "words", "title", run), told)
-            placed = labels.select("row_id", F.col("class").alias("component"), F.lit(None).cast("long").alias("accepted"))
+            labels = articles.labels_of(keys, self.forest.add(told[0], "publisher", "words", "title", run), told, tuple(_KEYS))
+            placed = labels.select("row_id", F.col("class").alias("component"), F.lit(None).cast("long").alias("accepted"), *_KEYS)
         else:
             fresh = keys.where("title is not null").select("title", "publisher", "words").distinct()
             fresh = persisted(fresh.join(self._read("titles", run).select("title"), "title", "left_anti"), "fresh-titles")
             located = persisted(self.forest.add(fresh, "publisher", "words", "title", run), "located")
             reached = persisted(self._reached(keys, old, located, run), "reached")
             both = keys.select("row_id", *_NODE).union(reached.select("row_id", *_NODE))
-            labels = persisted(articles.labels_of(persisted(both, "batch-keys"), located), "batch-labels")
+            labels = persisted(articles.labels_of(persisted(both, "batch-keys"), located, keep=tuple(_KEYS)), "batch-labels")
             told = labels.join(reached.select("row_id", "accepted"), "row_id", "left")
             # nodes of one article stay together
             seats = connected_components(told.where("accepted is not null").select(F.col("class").alias("a"), F.xxhash64(F.lit("accepted"), "accepted").alias("b")))
-            placed = told.join(seats, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("component"), "accepted")
+            placed = told.join(seats, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("component"), "accepted", *_KEYS)
         placed = persisted(placed, f"placed-{run}")
         first = placed.groupBy("component").agg(F.min(F.coalesce("accepted", "row_id")).alias("first"))
-        settled = persisted(placed.join(first, "component").select("row_id", "accepted", "first"), "settled")
+        settled = persisted(placed.join(first, "component").select("row_id", "accepted", "first", *_KEYS), "settled")
         joined = settled.where("accepted <> first").select(F.col("accepted").alias("old"), F.col("first").alias("new")).distinct()
         joined.write.mode("overwrite").parquet(f"{self.path}/merged/run={run}")
-        mine = settled.where("accepted is null").select("row_id", "first")
-        kept = keys.select("row_id", *_KEYS).join(mine, "row_id").groupBy(*_KEYS, F.col("first").alias("accepted")).agg(F.min("row_id").alias("row_id"))
+        mine = settled.where("accepted is null and row_id is not null")
+        kept = mine.groupBy(*_KEYS, F.col("first").alias("accepted")).agg(F.min("row_id").alias("row_id"))
         kept.write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}")
         fresh.write.mode("overwrite").parquet(f"{self.path}/titles/run={run}")
         return persisted(mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id"), "repeats", keep=True)
@@ -112,7 +112,8 @@ class History:
             found = (old if found is None else found).join(wanted, F.col(c) == F.col("_key"), "left").drop("_key")
         found = persisted(found.where("_page or _slug or _id or _title").select("row_id", "accepted", *_KEYS), "reached-keys")
         words = titles.join(broadcast_if_small(found.select("title").where("title is not null").distinct()), "title", "left_semi").select("words")
-        names = persisted(titles.join(broadcast_if_small(keys.select("words").union(words).where("words <> ''").distinct()), "words", "left_semi").select(F.col("title").alias("_t"), "publisher", "words"), "reached-titles")
+        words = persisted(keys.select("words").union(words).where("words <> ''").distinct(), "reached-words")
+        names = persisted(titles.join(broadcast_if_small(words), "words", "left_semi").select(F.col("title").alias("_t"), "publisher", "words"), "reached-titles")
         # what was found by a title's key is among the titles of these words
         named = old.join(broadcast_if_small(names), F.col("title") == F.col("_t")).select("row_id", "accepted", *_KEYS, "publisher", "words")
         untitled = found.where("title is null").select("row_id", "accepted", *_KEYS, F.lit(None).cast("string").alias("publisher"), F.lit("").alias("words"))

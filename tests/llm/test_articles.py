@@ -185,6 +185,32 @@ def test_near_words_are_kept_with_their_run(spark, tmp_path, monkeypatch, rows):
     assert pairs(forest.merge(str(tmp_path / "m"))) == pairs(forest)
 
 
+def test_words_one_slip_apart_meet_in_a_task(spark):
+    rng = random.Random(17)
+    word = lambda n: "".join(rng.choice("abk\u00e9\U0001d518") for _ in range(n))
+    pairs = {("abc", "abcd"), ("abc", "xbc"), ("abc", "axc"), ("abc", "acb"), ("abcd", "acbd"), ("abcdefg", "abcedfg")}
+    for n in [*range(3, 12)] * 8:
+        w, at = word(n), rng.randrange(n)
+        pairs |= {(w, w[:at] + "q" + w[at + 1 :]), (w, w[:at] + "q" + w[at:]), (w, w[:at] + w[at + 1 : at + 2] + w[at : at + 1] + w[at + 2 :])}
+    pairs = [(a, b) for a, b in pairs if A._near(a, b)]
+    df = spark.createDataFrame([(i, side, 7, w) for i, pair in enumerate(pairs) for side, w in enumerate(pair)], "i long, side long, g long, word string")
+    rows = df.select("i", "side", "word", hashforest._ends().alias("ends")).collect()
+    ends = {(r.i, r.side): set(r.ends) for r in rows}
+    assert all(ends[i, 0] & ends[i, 1] for i in range(len(pairs))) and len(pairs) > 150
+    assert all(len(r.ends) <= 4 for r in rows)  # not a key for each of the letters
+
+
+def test_texts_with_a_word_of_their_own_rank_no_words(spark, tmp_path, monkeypatch):
+    ranked, prefixes = [], HashForest._prefixes
+    monkeypatch.setattr(HashForest, "_prefixes", lambda f, led: ranked.extend(r.k for r in led.select("k").distinct().collect()) or prefixes(f, led))
+    texts = ["quiet room gipaleza", "quiet room", "room quiet", "quiet room gipalesa 5", "quiet viwado", "studio 5"]
+    forest = HashForest(spark, str(tmp_path / "f"))
+    df = lambda part: spark.createDataFrame([(i, "g", texts[i]) for i in part], "k long, g string, t string")
+    assert {(r.a, r.b) for r in forest.add(df(range(5)), "g", "t", "k", 0).collect()} >= {(0, 1), (0, 2), (1, 2)}
+    assert sorted(ranked) == [1, 2]
+    assert {r.k: r.nd for r in forest.read("askers").collect()} == {0: 1, 1: 3, 2: 3, 3: 1, 4: 1}
+
+
 def test_a_batch_leaves_only_its_run(spark, tmp_path):
     left = lambda: {p.name for p in Path(runtime.shared_dir(spark).removeprefix("file:")).iterdir() if p.name.startswith(("article-", "forest-", "placed-", "reached-"))}
     before = left()
