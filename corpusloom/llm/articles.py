@@ -15,6 +15,7 @@ from functools import lru_cache
 from urllib.parse import parse_qsl, unquote, urlsplit
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -28,6 +29,8 @@ _TRACKING = re.compile(r"^(?:utm_.*|ref|ref_src|source|share|amp|fbclid|gclid|mc
 _HOST_PREFIX = re.compile(r"^(?:www\d?|m|mobile|amp)\.(?=[^.]+\.)")
 _TAIL = re.compile(r"(?:/(?:index|default)\.(?:html?|php|aspx?)|\.(?:html?|php|aspx?)|/amp|/)+$")
 _SLASHES = re.compile(r"/{2,}")
+#: Most urls: host and path of plain lower-case letters, which need no parsing.
+_PLAIN = re.compile(r"https?://([a-z0-9-]+(?:\.[a-z0-9-]+)+)(/(?!(?:amp|mobile)/)[a-z0-9_-]+(?:/[a-z0-9_-]+)*)(?<!/amp)")
 _ALNUM = re.compile(r"[^\W_]+")
 _TAG = re.compile(r"<[^<>]{0,100}>")
 _REPEAT = re.compile(r"(.)\1+")
@@ -47,16 +50,26 @@ def plain(text: str) -> str:
     return _ACCENT.sub("", unicodedata.normalize("NFKD", text)).lower()
 
 
+@lru_cache(RECUR)
+def _host(name: str) -> str:
+    return _HOST_PREFIX.sub("", name)
+
+
 def page_of(url: str | None) -> tuple[str | None, str | None]:
     """(page, host) of a url: null where it is blank or no url; the page is ``host`` alone for a root."""
-    if not url or not url.strip():
+    if not url:
+        return None, None
+    if m := _PLAIN.fullmatch(url):
+        host = _host(m[1])
+        return host + m[2], host
+    if not url.strip():
         return None, None
     text = "".join(url.split())
     if "://" not in text:
         text = "http://" + text.lstrip("/")
     try:
         parts = urlsplit(text)
-        host = _HOST_PREFIX.sub("", (parts.hostname or "").rstrip("."))
+        host = _host((parts.hostname or "").rstrip("."))
     except ValueError:
         return None, None
     if not host or "." not in host:
@@ -159,16 +172,18 @@ def record_keys(signals: DataFrame) -> DataFrame:
     """The compared keys of each record. Blank titles have no words, blank urls no page."""
 
     def batches(frames):
-        for pdf in frames:
-            rows = []
-            for rid, ident, source, title, url in zip(pdf["row_id"], pdf["id"], pdf["source"], pdf["title"], pdf["url"], strict=True):
+        for b in frames:
+            found = []
+            for source, title, url in zip(*[b.column(c).to_pylist() for c in ("source", "title", "url")], strict=True):
                 page, host = page_of(url)
-                words = title_words(title, source)
                 slug = page.rpartition("/")[2] if page and "/" in page and "?" not in page else None
-                rows.append((rid, ident, page, f"{host}/{slug}" if slug else None, publisher_of(source, host), " ".join(words), page is not None and page == host))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _KEYS.split(", ")])
+                found.append((page, f"{host}/{slug}" if slug else None, publisher_of(source, host), " ".join(title_words(title, source)), page is not None and page == host))
+            kinds = [*[pa.string()] * 4, pa.bool_()]
+            columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column("row_id"), b.column("id"), *columns], [c.split()[0] for c in _KEYS.split(", ")])
 
-    return signals.select(F.col("row_id").cast("long").alias("row_id"), "id", "source", "title", "url").mapInPandas(batches, _KEYS)
+    typed = [F.col(c).cast("string").alias(c) for c in ("id", "source", "title", "url")]
+    return signals.select(F.col("row_id").cast("long").alias("row_id"), *typed).mapInArrow(batches, _KEYS)
 
 
 @F.pandas_udf(BooleanType())
@@ -274,5 +289,5 @@ def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[Dat
     bare = labelled.where("page is null and id is not null").select("id", F.col("class").alias("a")).distinct()
     others = labelled.where("page is not null").join(bare.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("class").alias("b"))
     among = bare.groupBy("id").agg(F.min("a").alias("b"))
-    through = connected_components(bare.join(others.union(among), "id").select("a", "b"))
+    through = broadcast_if_small(persisted(connected_components(bare.join(others.union(among), "id").select("a", "b")), "article-through"))
     return labelled.join(through, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("class"), *keep)

@@ -235,7 +235,8 @@ class HashForest:
         words pair too; an empty batch gives no pairs and an empty run.
         """
         older = self.read("posts", run) if run else None
-        led = _led(_signed(entries, group, text, key))
+        signed = persisted(_signed(entries, group, text, key), "forest-signed")
+        led = _led(signed)
         mine = self._write(led.select("w", "g", "k", "n", "bits"), "posts", run, "w")
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
@@ -257,9 +258,7 @@ class HashForest:
             # a word that no other text has, or nearly has, is the rarest: only texts without one rank their words
             lone = counted.where("nd = 1").groupBy("g", "k", "n", "bits").agg(F.min("w").alias("w"))
             lone = persisted(lone.select("w", F.lit(None).cast("long").alias("w2"), F.lit(1).cast("long").alias("nd"), "g", "k", "n", "bits"), "forest-lone")
-            told = (F.col(key) == F.col("_k")) & (_group(group, text) == F.col("_g"))
-            rest = entries.select(group, text, key).join(lone.select(F.col("k").alias("_k"), F.col("g").alias("_g")), told, "left_anti")
-            rest = _led(_signed(rest, group, text, key)).drop("word")
+            rest = _led(signed.join(lone.select("k", "g"), ["k", "g"], "left_anti")).drop("word")
             chosen = lone.union(self._prefixes(rest.join(counted.where("nd > 1").select("w", "nd").hint("shuffle_hash"), "w")))
         waiting = self.read("askers", run) if run else None
         asked = self._write(chosen, "askers", run, "w").where("nd > 1")  # a word that no other text has, or nearly has, finds nothing

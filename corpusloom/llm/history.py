@@ -88,13 +88,17 @@ class History:
             seats = connected_components(told.where("accepted is not null").select(F.col("class").alias("a"), F.xxhash64(F.lit("accepted"), "accepted").alias("b")))
             placed = told.join(seats, F.col("class") == F.col("node"), "left").select("row_id", F.coalesce("component", "class").alias("component"), "accepted", *_KEYS)
         placed = persisted(placed, f"placed-{run}")
-        first = placed.groupBy("component").agg(F.min(F.coalesce("accepted", "row_id")).alias("first"))
+        # a record that is alone in its component is its article's first and repeats none
+        first = placed.groupBy("component").agg(F.min(F.coalesce("accepted", "row_id")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        first = broadcast_if_small(persisted(first, "firsts"))
         settled = persisted(placed.join(first, "component").select("row_id", "accepted", "first", *_KEYS), "settled")
         joined = settled.where("accepted <> first").select(F.col("accepted").alias("old"), F.col("first").alias("new")).distinct()
         joined.write.mode("overwrite").parquet(f"{self.path}/merged/run={run}")
-        mine = settled.where("accepted is null and row_id is not null")
+        new = "accepted is null and row_id is not null"
+        mine = settled.where(new)
         kept = mine.groupBy(*_KEYS, F.col("first").alias("accepted")).agg(F.min("row_id").alias("row_id"))
-        kept.write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}")
+        alone = placed.where(new).join(first, "component", "left_anti").select(*_KEYS, F.col("row_id").alias("accepted"), "row_id")
+        kept.union(alone).write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}")
         fresh.write.mode("overwrite").parquet(f"{self.path}/titles/run={run}")
         return persisted(mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id"), "repeats", keep=True)
 

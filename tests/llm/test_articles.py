@@ -315,3 +315,17 @@ def test_recurring_values_of_record_keys_are_worked_out_once():
     assert A._single.cache_info().misses == 3
     pages = {"x.com//amp//a": "x.com/a", "x.com/mobile/": "x.com", "x.com/ampx/b": "x.com/ampx/b", "http://x.com/amp/amp/b?B=2&utm_x=1": "x.com/amp/b?b=2"}
     assert {u: A.page_of(u)[0] for u in pages} == pages
+
+
+def test_plain_urls_need_no_parsing(monkeypatch):
+    parsed, split = [], A.urlsplit
+    monkeypatch.setattr(A, "urlsplit", lambda url: parsed.append(url) or split(url))
+    urls = ["https://www.x.example/a/b-c_1", "http://m.x.example/2025/06/a", "https://x.example/a/amp", "https://x.example/amp/a", "https://x.example/ampx/a", "https://x.example/mobile/a/", "https://x.example/A", "https://x.example/a?b=1"]
+    pages = [A.page_of(u) for u in urls]
+    assert parsed == [urls[2], urls[3], *urls[5:]]
+    assert [A.page_of(f" {u}") for u in urls] == pages  # a blank has them parsed
+
+
+def test_row_ids_beside_a_null_keep_all_digits(spark):
+    rows = spark.createDataFrame([(2**60 + 1, None, "S", "A title", "https://x.example/a"), (None, "i", None, None, None)], "row_id long, id string, source string, title string, url string").coalesce(1)
+    assert {(r.row_id, r.page, r.words) for r in A.record_keys(rows).collect()} == {(2**60 + 1, "x.example/a", "a title"), (None, None, "")}
