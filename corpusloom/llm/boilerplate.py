@@ -52,11 +52,15 @@ _LANGUAGES = {
     "de": frozenset("der die das und ist den im ein eine mit auf für durch sich dem".split()),
     "es": frozenset("el la los las del y en que una con por para se al".split()),
 }
+#: The languages that each of these words tells.
+_TELLS = {w: tuple(k for k, words in _LANGUAGES.items() if w in words) for w in frozenset().union(*_LANGUAGES.values())}
 _CUT = re.compile(r"\s[|·•›»/>→]\s|\s[–—]\s|\s{2,}|\t")
 _SOFT = re.compile(r"(?<=[^\W])[.,;]\s+|\s(?=[©¿])")
 #: One of these stands wherever _CUT cuts: white space other than a single blank, or a separator.
 _CUTTERS = ("|", "·", "•", "›", "»", "/", ">", "→", "–", "—", "  ", "\t", "\xa0", "\u2002", "\u2003", "\u2009", "\u202f", "\u3000", "\r", "\x0b", "\x0c")
 _SOFTENERS = (".", ",", ";", "©", "¿")
+#: Those of them that a line of ASCII alone can have.
+_ASCII_CUTTERS, _ASCII_SOFTENERS = (tuple(c for c in x if c.isascii()) for x in (_CUTTERS, _SOFTENERS))
 _ANY = re.compile(_SOFT.pattern + "|" + _CUT.pattern)
 _TRAIL = re.compile(r"\s(?:>|»|/|›)\s")
 _LEAD = re.compile(r"^([^\W\d][^:→|·]{1,40}?)\s?(?:[:→]|\s[–—])\s+(?=\S)")
@@ -89,10 +93,10 @@ def lead_of(text: str, site: str | None, g: str | None = None) -> str | None:
     g = generalise(text, site) if g is None else g
     if text.lstrip()[:1] == "#" and re.match(r"\s*#\s", text):
         return "# tags *"
-    m = _NUMBERED.match(g)
+    m = _NUMBERED.match(g) if g.startswith("#.") else None
     if m:
         return m.group() + " *"
-    m = _LEAD.match(" ".join(text.split())) if any(map(text.__contains__, ":→–—")) else None
+    m = _LEAD.match(" ".join(text.split())) if ":" in text or (not text.isascii() and any(map(text.__contains__, "→–—"))) else None
     if m and len(_WORD.findall(m.group(1))) <= 4:
         return generalise(m.group(1), site) + ": *"
     return None
@@ -122,18 +126,32 @@ def language_of(text: str) -> str:
 
 def scores_of(text: str) -> dict[str, int]:
     """How many function words of each language a text has."""
-    seen = Counter(text.lower().split())
-    return {k: sum(seen[w] for w in words) for k, words in _LANGUAGES.items()}
+    out = dict.fromkeys(_LANGUAGES, 0)
+    for w, n in Counter(filter(_TELLS.__contains__, text.lower().split())).items():
+        for k in _TELLS[w]:
+            out[k] += n
+    return out
+
+
+def has_cutter(line: str) -> bool:
+    """Whether ``_CUT`` may cut a line."""
+    return any(map(line.__contains__, _ASCII_CUTTERS if line.isascii() else _CUTTERS))
+
+
+def has_trail(line: str) -> bool:
+    return (">" in line or "/" in line or "»" in line or "›" in line) and bool(_TRAIL.search(line))
 
 
 def parts_of(line: str) -> list[str]:
-    if not any(map(line.__contains__, _CUTTERS)):
+    if not has_cutter(line):
         return [line]
     return [p for p in _CUT.split(line) if p and p.strip()]
 
 
 def soft_parts(line: str, split: re.Pattern) -> list[str]:
-    return [p for p in split.split(line) if p and p.strip()] if any(map(line.__contains__, _SOFTENERS if split is _SOFT else _SOFTENERS + _CUTTERS)) else [line]
+    if any(map(line.__contains__, _ASCII_SOFTENERS if line.isascii() else _SOFTENERS)) or (split is not _SOFT and has_cutter(line)):
+        return [p for p in split.split(line) if p and p.strip()]
+    return [line]
 
 
 def line_hash(s: str) -> str:
@@ -142,7 +160,10 @@ def line_hash(s: str) -> str:
 
 
 def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
-    """The paths of one stripped line, with their scores; long prose is a container as a whole only, by its hash."""
+    """The paths of one stripped line, and whether (1 or 0) a cue word counts in them, which it does not in prose.
+
+    Long prose is a container as a whole only, by its hash.
+    """
     prose = is_prose(s) and "©" not in s and not (site and site in s)
     if len(s) > LONG:
         whole = [(line_hash(s), 0.0)]
@@ -161,11 +182,12 @@ def line_paths(s: str, site: str | None) -> list[tuple[str, float]]:
         soft = soft_parts(s, _SOFT)
         if len(soft) > 1:
             found += [generalise(p, site) for p in soft]
-    return whole + [(g, float(not prose and bool(CUES.search(g)))) for g in found if g]
+    free = float(not prose)
+    return whole + [(g, free) for g in found if g]
 
 
 def page_paths(text: str, site: str | None, seen: dict[tuple[str | None, str], list] | None = None) -> dict[str, float]:
-    """Path to score (1 with a cue word, else 0) of a page's containers. ``seen`` remembers lines of a host."""
+    """Path of a page's containers to whether (1 or 0) a cue word counts in it. ``seen`` remembers lines of a host."""
     out: dict[str, float] = {}
     for line in text.split("\n"):
         s = line.strip()
@@ -188,41 +210,46 @@ def _voters(articles: DataFrame) -> DataFrame:
 
 
 def votes(articles: DataFrame) -> DataFrame:
-    """(site, language, path, cued, n, titles): voting pages with a path, and titles that have it, added up by batch.
-
-    The empty path counts the pages themselves.
+    """(site, language, path, free, n, titles): voting pages with a path, and titles that have it, added up by batch; free is
+    whether a cue word counts in it. The empty path counts the pages themselves.
     """
 
     def batches(frames):
         seen: dict[tuple[str | None, str], list] = {}
         for pdf in frames:
-            pages, titles, cued = Counter(), Counter(), {}
+            free: set[str] = set()
+            pages: dict[tuple[str | None, str], Counter] = {}
+            titles: dict[tuple[str | None, str], Counter] = {}
             for site, title, text in zip(pdf["site"], pdf["title"], pdf["text"], strict=True):
-                lang = language_of(text)
-                pages[(site, lang, "")] += 1
-                for g, c in page_paths(text, site, seen).items():
-                    pages[(site, lang, g)] += 1
-                    if c:
-                        cued[g] = c
+                by = (site, language_of(text))
+                if by not in pages:
+                    pages[by], titles[by] = Counter(), Counter()
+                paths = page_paths(text, site, seen)
+                free.update([g for g, c in paths.items() if c])
+                pages[by][""] += 1
+                pages[by].update(paths.keys())
                 if title:
-                    titles.update((site, lang, g) for g in {generalise(title, site), lead_of(title, site)} if g)
-            rows = [(*k, cued.get(k[2], 0.0), pages[k], titles[k]) for k in pages.keys() | titles.keys()]
-            yield pd.DataFrame(rows, columns=["site", "language", "path", "cued", "n", "titles"])
+                    g = generalise(title, site)
+                    titles[by].update(x for x in {g, lead_of(title, site, g)} if x)
+            for by, n in pages.items():
+                t = titles[by]
+                every = [*n, *(t.keys() - n.keys())]
+                yield pd.DataFrame({"site": [by[0]] * len(every), "language": by[1], "path": every, "free": [float(g in free) for g in every], "n": [n.get(g, 0) for g in every], "titles": [t.get(g, 0) for g in every]})
 
-    return _voters(articles).mapInPandas(batches, "site string, language string, path string, cued double, n long, titles long")
+    return _voters(articles).mapInPandas(batches, "site string, language string, path string, free double, n long, titles long")
 
 
 def winning_paths(articles: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
     """(site, paths) of the hosts, and the winning paths by language."""
-    tally = votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"))
+    tally = votes(articles).groupBy("site", "language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("free").alias("free"))
     # most long lines stand on one article: they are their article's own
     tally = persisted(tally.where("n > 1 or path not like '=%'"), "boilerplate-tally")
-    by_language = tally.where("path not like '=%'").groupBy("language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("cued").alias("cued"), F.count(F.when(F.col("n") > 0, 1)).alias("sites"))
+    by_language = tally.where("path not like '=%'").groupBy("language", "path").agg(F.sum("n").alias("n"), F.sum("titles").alias("titles"), F.max("free").alias("free"), F.count(F.when(F.col("n") > 0, 1)).alias("sites"))
     whole = {r.language: r.n for r in by_language.where("path = ''").toLocalIterator()}
     size = F.create_map(*[x for k, v in whole.items() for x in (F.lit(k), F.lit(v))]) if whole else F.create_map()
     pages = F.element_at(size.cast("map<string,bigint>"), F.col("language"))
     words = F.size(F.split("path", " "))
-    least = F.when((F.col("cued") > 0) & (words <= 14), F.lit(CUED_SHARE)).otherwise(F.lit(LANGUAGE_SHARE))
+    least = F.when((F.col("free") > 0) & (words <= 14) & F.col("path").rlike(CUES.pattern), F.lit(CUED_SHARE)).otherwise(F.lit(LANGUAGE_SHARE))
     good = by_language.where((F.col("path") != "") & (F.col("sites") >= 2) & (F.col("n") >= LANGUAGE_ARTICLES) & (F.col("titles") <= 0.02 * F.col("n"))).where(F.col("n") >= least * pages)
     shared: dict[str, list[str]] = {}
     for r in good.select("language", "path").toLocalIterator():
@@ -279,7 +306,7 @@ class Extractor:
                 return True
             if is_prose(s) and "©" not in s and not (site and site in s):
                 return False
-        if _TRAIL.search(s):
+        if has_trail(s):
             return self._whole(s, site, host, title)
         known = self.memo.setdefault((site, self.language), {})
         found = known.get(s)
@@ -299,13 +326,13 @@ class Extractor:
         parts = parts_of(s)
         if len(parts) > 1:
             won = [self.wins(p, site, host) for p in parts]
-            if won[0] and _TRAIL.search(s) and title and len(parts) <= 4 and generalise(title, site).startswith(generalise(parts[-1], site)[:30]):
+            if won[0] and has_trail(s) and title and len(parts) <= 4 and generalise(title, site).startswith(generalise(parts[-1], site)[:30]):
                 return True
             if sum(len(p) for p, w in zip(parts, won, strict=True) if w) >= 0.6 * sum(map(len, parts)):
                 return True
-            if won[0] and _TRAIL.search(s) and len(parts) <= 3:
+            if won[0] and has_trail(s) and len(parts) <= 3:
                 return True
-        for split in (_SOFT, _ANY):
+        for split in (_SOFT, _ANY) if has_cutter(s) else (_SOFT,):  # without a cutter both cut the same
             soft = soft_parts(s, split)
             if len(soft) > 1 and sum(len(p) for p in soft if self.wins(p, site, host)) >= 0.6 * sum(map(len, soft)):
                 return True

@@ -263,3 +263,9 @@ def test_a_long_notice_in_full_sentences_is_furniture_of_its_host_only(spark):
 
 def test_long_lines_are_judged_to_their_end():
     assert not B.is_prose("Index of the works, " + ", ".join(f"Plate{i}" for i in range(80)) + " and the rest.") and B.is_prose("It is the end of the day and " * 20 + "so.”")
+
+
+def test_cue_words_are_looked_for_in_counted_paths_only(monkeypatch):
+    monkeypatch.setattr(B, "CUES", None)
+    assert B.page_paths("Related: A long walk\nIt is the end of the day and so on.", None) == {"related: a long walk": 1.0, "related: *": 1.0, "it is the end of the day and so on": 0.0}
+    assert B.scores_of("La la THE que") == {"en": 1, "fr": 3, "de": 0, "es": 3}
