@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from urllib.parse import parse_qsl, unquote, urlsplit
 
@@ -20,8 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from corpusloom import runtime
 from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import broadcast_if_small, persisted
+from corpusloom.runtime import broadcast_if_small, persisted, together
 
 from . import hashforest
 
@@ -187,17 +189,14 @@ def record_keys(signals: DataFrame) -> DataFrame:
 
 
 @F.pandas_udf(BooleanType())
-def _same(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([same_title(x.split(), y.split()) for x, y in zip(a, b, strict=True)], dtype=bool)
+def _same(a: pd.Series, b: pd.Series, loose: pd.Series) -> pd.Series:
+    return pd.Series([same_title(x.split(), y.split(), z) for x, y, z in zip(a, b, loose, strict=True)], dtype=bool)
 
 
-@F.pandas_udf(BooleanType())
-def _same_on_page(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([same_title(x.split(), y.split(), lenient=True) for x, y in zip(a, b, strict=True)], dtype=bool)
-
-
-#: Of pages with more different titles than this, titles are looked up by their rarest words, not all compared.
+#: Of pages with more different titles than this, titles are looked up by their rarest words, not all compared,
 PAGE_TITLES = 50
+#: unless all these pages have no more pairs of titles than this: they cost less than a forest.
+CROWDED_PAIRS = 100_000
 
 
 def _hashed(kind: str, *columns: str) -> Column:
@@ -237,48 +236,51 @@ def titles_of(keys: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return subjects, general, titles
 
 
-def labels_of(keys: DataFrame, located: DataFrame | None = None, told: tuple[DataFrame, DataFrame, DataFrame] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, by default those of a new forest.
+def labels_of(keys: DataFrame, located: DataFrame | Callable[[], DataFrame] | None = None, told: tuple[DataFrame, DataFrame, DataFrame] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``article_labels`` of ``keyed`` records; ``located`` are the pairs of titles to compare, or what gives them, by default those of a new forest.
 
     ``told`` is ``titles_of`` the records where it is known; columns of the keys to ``keep`` follow the labels.
     """
     subjects, general, _ = told or titles_of(keys)
     texts = subjects.select("title", "words")
 
-    def with_words(pairs: DataFrame) -> DataFrame:
-        pairs = persisted(pairs, "article-pairs")
-        one = texts.select(F.col("title").alias("a"), F.col("words").alias("words_a"))
-        two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
-        return pairs.join(one, "a").join(two, "b")
-
-    pairs = with_words(hashforest.near_pairs(subjects, "publisher", "words", "title") if located is None else located)
-    links = pairs.where(_same("words_a", "words_b")).select("a", "b")
-
-    # what a page carries
     further = [c for c in keep if c not in ("id", "page", "slug", "root", "untitled")]
     kept = [c for c in keep if c not in ("id", "page")]
-    marked = persisted(
-        keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named"), *further), "article-marked"
-    )
-    per_page = persisted(marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("slug").alias("slug")), "article-pages")
-    shared = persisted(per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "article-shared")
-    beside = per_page.join(shared.where(F.col("n") <= PAGE_TITLES), "page").select("page", "named")
-    loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b")
+
+    def carried() -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The records with the titles that name something, the pages' titles, and the pages that have several."""
+        marked = persisted(
+            keys.join(general, F.col("title") == F.col("_general"), "left").select("row_id", "id", "page", "slug", "root", "untitled", F.when(F.col("_general").isNull(), F.col("title")).alias("named"), *further), "article-marked"
+        )
+        per_page = persisted(marked.where("page is not null and not root and named is not null").groupBy("page", "named").agg(F.first("slug").alias("slug")), "article-pages")
+        return marked, per_page, persisted(per_page.groupBy("page").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "article-shared")
+
+    if located is None:
+        located = lambda: hashforest.near_pairs(subjects, "publisher", "words", "title")
+    located, (marked, per_page, shared) = together(located, carried) if callable(located) else (located, carried())
     crowded = shared.where(F.col("n") > PAGE_TITLES)
-    if not crowded.isEmpty():
+    n = crowded.agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0] or 0
+    beside = per_page.join(shared if n <= CROWDED_PAIRS else shared.where(F.col("n") <= PAGE_TITLES), "page").select("page", "named")
+    loose = beside.select("page", F.col("named").alias("a")).join(beside.select("page", F.col("named").alias("b")), "page").where("a < b").select("a", "b")
+    if n > CROWDED_PAIRS:
         entries = broadcast_if_small(per_page.join(broadcast_if_small(crowded), "page").select("page", "named"))
         entries = texts.join(entries, F.col("named") == F.col("title")).select("page", "named", "words")
         loose = loose.union(hashforest.near_pairs(persisted(entries, "article-crowded"), "page", "words", "named", lenient=True))
-    loose = loose.distinct()
-    loose = with_words(loose).where(_same_on_page("words_a", "words_b")).select("a", "b")
-    linked = persisted(connected_components(links.union(loose)), "article-links")
+
+    # both kinds of pairs get their words, and are compared, together
+    pairs = persisted(located.select("a", "b", F.lit(False).alias("loose")).union(loose.distinct().select("a", "b", F.lit(True))), "article-pairs")
+    sent = F.broadcast if pairs.limit(runtime.BROADCAST_ROWS + 1).count() <= runtime.BROADCAST_ROWS else lambda df: df
+    one = texts.select(F.col("title").alias("a"), F.col("words").alias("words_a"))
+    two = texts.select(F.col("title").alias("b"), F.col("words").alias("words_b"))
+    pairs = sent(sent(pairs).join(one, "a")).join(two, "b")  # of each title there is one row
+    linked = persisted(connected_components(pairs.where(_same("words_a", "words_b", "loose")).select("a", "b")), "article-links")
+    linked = broadcast_if_small(linked)
 
     # records without a title of their own belong to their page's only article, else to the page itself
     lone = marked.where("named is null")
-    settled = per_page.join(linked, per_page["named"] == linked["node"], "left").select("page", "slug", F.coalesce("component", "named").alias("c"))
+    settled = per_page.join(linked, F.col("named") == F.col("node"), "left").select("page", "slug", F.coalesce("component", "named").alias("c"))
     by_page = settled.join(lone.select("page").distinct(), "page", "left_semi").groupBy("page").agg(F.min("c").alias("page_class"), F.max("c").alias("_most")).where("page_class = _most").drop("_most")
     by_slug = settled.join(lone.where("untitled").select("slug").distinct(), "slug", "left_semi").groupBy("slug").agg(F.min("c").alias("slug_class"), F.max("c").alias("_most")).where("slug_class = _most").drop("_most")
-    linked = broadcast_if_small(linked)
     named = marked.where("named is not null").join(linked, F.col("named") == F.col("node"), "left").select("row_id", "id", "page", F.coalesce("component", "named").alias("class"), *kept)
     row_key = F.xxhash64(F.lit("row"), F.col("row_id"))
     placed = F.when(F.col("untitled"), F.coalesce("page_class", "slug_class", "page")).otherwise(F.col("page"))

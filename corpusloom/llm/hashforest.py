@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom import runtime
-from corpusloom.runtime import broadcast_if_small, persisted, shared_dir
+from corpusloom.runtime import broadcast_if_small, persisted, shared_dir, together
 
 #: Where more texts have a text's rarest word, or nearly, its two rarest words are looked up together.
 BUCKET = 64
@@ -237,18 +237,20 @@ class HashForest:
         older = self.read("posts", run) if run else None
         signed = persisted(_signed(entries, group, text, key), "forest-signed")
         led = _led(signed)
-        mine = self._write(led.select("w", "g", "k", "n", "bits"), "posts", run, "w")
+        mine, own = together(
+            lambda: self._write(led.select("w", "g", "k", "n", "bits"), "posts", run, "w"),
+            lambda: self._write(led.groupBy("w", "g", "word").agg(F.count(F.lit(1)).alias("df"), *_one()), "words", run, "w", spread=True),
+        )
         every = mine if older is None else older.select(*mine.columns).union(mine)
 
-        # the batch's words, all words one slip apart from them, and how many texts each of them has
-        own = self._write(led.groupBy("w", "g", "word").agg(F.count(F.lit(1)).alias("df"), *_one()), "words", run, "w", spread=True)
+        # all words one slip apart from the batch's words, and how many texts each of them has
         known_words = self.read("words", run) if run else None
         near = self._write(_near(own, known_words), "near", run, "w", spread=True)
         counted = own.select("w", "g", "k", "n", "bits", "df")
         if known_words is not None:
-            wanted = broadcast_if_small(own.select("w").union(near.select("v")).distinct())
+            wanted = broadcast_if_small(persisted(own.select("w").union(near.select("v")).distinct(), "forest-wanted"))
             before = known_words.select(*counted.columns).join(wanted, "w", "left_semi")
-            counted = before.union(counted).groupBy("w", "g").agg(*_one(), F.sum("df").alias("df"))
+            counted = persisted(before.union(counted).groupBy("w", "g").agg(*_one(), F.sum("df").alias("df")), "forest-summed")
 
         # the prefix a text is looked up by: its rarest words
         counted = persisted(_texts_with(counted, near), "forest-counted")
@@ -256,15 +258,16 @@ class HashForest:
             chosen = self._prefixes(mine.join(counted.select("w", "nd").hint("shuffle_hash"), "w"))
         else:
             # a word that no other text has, or nearly has, is the rarest: only texts without one rank their words
-            lone = counted.where("nd = 1").groupBy("g", "k", "n", "bits").agg(F.min("w").alias("w"))
-            lone = persisted(lone.select("w", F.lit(None).cast("long").alias("w2"), F.lit(1).cast("long").alias("nd"), "g", "k", "n", "bits"), "forest-lone")
-            rest = _led(signed.join(lone.select("k", "g"), ["k", "g"], "left_anti")).drop("word")
+            lone = counted.where("nd = 1").groupBy("k", "g").agg(F.min("w").alias("w"))
+            told = persisted(signed.join(lone, ["k", "g"], "left").withColumn("_w", F.when(F.col("w").isNull(), F.col("_w"))), "forest-lone")
+            lone = told.where("w is not null").select("w", F.lit(None).cast("long").alias("w2"), F.lit(1).cast("long").alias("nd"), "g", "k", "n", "bits")
+            rest = _led(told.where("w is null")).drop("word")
             chosen = lone.union(self._prefixes(rest.join(counted.where("nd > 1").select("w", "nd").hint("shuffle_hash"), "w")))
         waiting = self.read("askers", run) if run else None
         asked = self._write(chosen, "askers", run, "w").where("nd > 1")  # a word that no other text has, or nearly has, finds nothing
 
         # the batch in all runs
-        lone = broadcast_if_small(_widened(asked.where("w2 is null").select("w", "k", "n", "bits"), near, "w"))
+        lone = broadcast_if_small(persisted(_widened(asked.where("w2 is null").select("w", "k", "n", "bits"), near, "w"), "forest-asking"))
         out = _located(lone, every.select("w", "k", "n", "bits"), ["w"], self.lenient)
         two = asked.where("w2 is not null")
         if not self.lenient and not two.isEmpty():
@@ -274,7 +277,7 @@ class HashForest:
             held = held.join(every.select("g", "k", F.col("w").alias("v2")), ["g", "k"]).select("v1", "v2", "k", "n", "bits")
             out = out.union(_located(both, held, ["v1", "v2"], False))
         if waiting is not None:
-            out = out.union(self._waiting(waiting, mine, own, near))
+            out = out.union(self._waiting(waiting, mine, near, wanted))
         return out.distinct()
 
     def _prefixes(self, led: DataFrame) -> DataFrame:
@@ -289,11 +292,10 @@ class HashForest:
             return asks.select("w", F.lit(None).cast("long").alias("w2"), "nd", "g", "k", "n", "bits")
         return ranked.where("_at = 1").select("w", F.when(F.col("nd") > self.bucket, F.col("_next")).alias("w2"), "nd", "g", "k", "n", "bits")
 
-    def _waiting(self, askers: DataFrame, mine: DataFrame, own: DataFrame, near: DataFrame) -> DataFrame:
-        """Older askers that find a text of the batch: near words stand for each other, so the batch's words are widened."""
+    def _waiting(self, askers: DataFrame, mine: DataFrame, near: DataFrame, known: DataFrame) -> DataFrame:
+        """Older askers that find a text of the batch: near words stand for each other, so the batch's words are widened; ``known`` are all these."""
         wide = _widened(mine.select("w", "k", "n", "bits"), near, "w")
-        out = _located(askers.where("w2 is null").select("w", "k", "n", "bits"), wide, ["w"], self.lenient)
-        known = broadcast_if_small(own.select("w").union(near.select("v")).distinct())
+        out = _located(askers.where("w2 is null").select("w", "k", "n", "bits").join(known, "w", "left_semi"), wide, ["w"], self.lenient)
         two = persisted(askers.where("w2 is not null").select("w", "w2", "k", "n", "bits").join(known, "w", "left_semi"), "forest-waiting")
         if two.isEmpty():
             return out
@@ -307,16 +309,20 @@ class HashForest:
         posts = self.read("posts")
         if posts is None:
             return merged
-        posts = merged._write(posts.select("w", "g", "k", "n", "bits"), "posts", 0, "w")
-        words = merged._write(self.read("words").groupBy("w", "g", "word").agg(F.sum("df").alias("df"), *_one()), "words", 0, "w", spread=True)
-        near = merged._write(self.read("near").distinct(), "near", 0, "w", spread=True)
+        posts, words, near = together(
+            lambda: merged._write(posts.select("w", "g", "k", "n", "bits"), "posts", 0, "w"),
+            lambda: merged._write(self.read("words").groupBy("w", "g", "word").agg(F.sum("df").alias("df"), *_one()), "words", 0, "w", spread=True),
+            lambda: merged._write(self.read("near").distinct(), "near", 0, "w", spread=True),
+        )
         askers = self.read("askers").select("w", "w2", "nd", "g", "k", "n", "bits")
         if not self.lenient:
             known = persisted(_texts_with(words.select("w", "df"), near), "forest-known")
-            full = persisted(askers.where("w2 is null").join(known.where(F.col("nd") > self.bucket).select("w"), "w", "left_semi").select("g", "k"), "forest-full")
+            often = broadcast_if_small(known.where(F.col("nd") > self.bucket).select("w"))
+            full = persisted(askers.where("w2 is null").join(often, "w", "left_semi").select("g", "k"), "forest-full")
             if not full.isEmpty():
                 full = broadcast_if_small(full)
-                chosen = self._prefixes(posts.join(full, ["g", "k"], "left_semi").select(*posts.columns).join(known, "w"))
+                again = broadcast_if_small(persisted(posts.join(full, ["g", "k"], "left_semi").select(*posts.columns), "forest-again"))
+                chosen = self._prefixes(known.select("w", "nd").join(again, "w"))
                 askers = askers.join(full, ["g", "k"], "left_anti").select(*askers.columns).union(chosen.select(*askers.columns))
         merged._write(askers, "askers", 0, "w")
         return merged

@@ -15,8 +15,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom import runtime
 from corpusloom.operators.graph import connected_components
-from corpusloom.runtime import broadcast_if_small, delete, persisted, scratch
+from corpusloom.runtime import broadcast_if_small, delete, persisted, scratch, together
 
 from . import articles, hashforest
 
@@ -74,7 +75,7 @@ class History:
             told = articles.titles_of(keys)
             fresh = told[2]
             # general titles are never compared: the forest of a first load does without them
-            labels = articles.labels_of(keys, self.forest.add(told[0], "publisher", "words", "title", run), told, tuple(_KEYS))
+            labels = articles.labels_of(keys, lambda: self.forest.add(told[0], "publisher", "words", "title", run), told, tuple(_KEYS))
             placed = labels.select("row_id", F.col("class").alias("component"), F.lit(None).cast("long").alias("accepted"), *_KEYS)
         else:
             fresh = keys.where("title is not null").select("title", "publisher", "words").distinct()
@@ -93,14 +94,16 @@ class History:
         first = broadcast_if_small(persisted(first, "firsts"))
         settled = persisted(placed.join(first, "component").select("row_id", "accepted", "first", *_KEYS), "settled")
         joined = settled.where("accepted <> first").select(F.col("accepted").alias("old"), F.col("first").alias("new")).distinct()
-        joined.write.mode("overwrite").parquet(f"{self.path}/merged/run={run}")
         new = "accepted is null and row_id is not null"
         mine = settled.where(new)
         kept = mine.groupBy(*_KEYS, F.col("first").alias("accepted")).agg(F.min("row_id").alias("row_id"))
         alone = placed.where(new).join(first, "component", "left_anti").select(*_KEYS, F.col("row_id").alias("accepted"), "row_id")
-        kept.union(alone).write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}")
-        fresh.write.mode("overwrite").parquet(f"{self.path}/titles/run={run}")
-        return persisted(mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id"), "repeats", keep=True)
+        return together(
+            lambda: joined.write.mode("overwrite").parquet(f"{self.path}/merged/run={run}"),
+            lambda: kept.union(alone).write.mode("overwrite").parquet(f"{self.path}/nodes/run={run}"),
+            lambda: fresh.write.mode("overwrite").parquet(f"{self.path}/titles/run={run}"),
+            lambda: persisted(mine.where("row_id > first").select(F.col("first").alias("accepted_row_id"), "row_id"), "repeats", keep=True),
+        )[-1]
 
     def joined(self, run: int) -> DataFrame:
         """(old, new): first records of articles that the run showed to be one."""
@@ -110,10 +113,15 @@ class History:
         """The history's nodes that share a page, a slug, an id or words with the batch, or a located title; and their titles' namesakes."""
         titles = self._read("titles", run)
         found = None
-        near = located.select(F.explode(F.array("a", "b")).alias("title")).union(keys.select("title"))
-        for c, side in (("page", keys), ("slug", keys), ("id", keys), ("title", near)):
-            wanted = broadcast_if_small(side.select(F.col(c).alias("_key")).where(F.col("_key").isNotNull()).distinct()).withColumn("_" + c, F.lit(True))
-            found = (old if found is None else found).join(wanted, F.col(c) == F.col("_key"), "left").drop("_key")
+        by = ("page", "slug", "id", "title")
+        wanted = keys.select(F.explode(F.array(*[F.struct(F.lit(c).alias("by"), F.col(c).alias("_key")) for c in by])).alias("_")).select("_.*")
+        near = located.select(F.lit("title"), F.explode(F.array("a", "b")))
+        wanted = persisted(wanted.union(near).where("_key is not null").distinct(), "wanted-keys")
+        counts = {r["by"]: r["n"] for r in wanted.groupBy("by").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a column
+        for c in by:
+            side = wanted.where(F.col("by") == c).select("_key", F.lit(True).alias("_" + c))
+            side = F.broadcast(side) if counts.get(c, 0) <= runtime.BROADCAST_ROWS else side
+            found = (old if found is None else found).join(side, F.col(c) == F.col("_key"), "left").drop("_key")
         found = persisted(found.where("_page or _slug or _id or _title").select("row_id", "accepted", *_KEYS), "reached-keys")
         words = titles.join(broadcast_if_small(found.select("title").where("title is not null").distinct()), "title", "left_semi").select("words")
         words = persisted(keys.select("words").union(words).where("words <> ''").distinct(), "reached-words")
@@ -128,11 +136,17 @@ class History:
         merged = History(self.spark, into)
         nodes = self.nodes(runs)
         if nodes is not None:
-            nodes.write.mode("overwrite").parquet(f"{merged.path}/nodes/run=0")
-            self._read("titles", runs).write.mode("overwrite").parquet(f"{merged.path}/titles/run=0")
-            self.spark.createDataFrame([], "old long, new long").write.mode("overwrite").parquet(f"{merged.path}/merged/run=0")
-            with scratch(self.spark):
-                self.forest.merge(f"{merged.path}/forest")
+
+            def forest():
+                with scratch(self.spark):
+                    self.forest.merge(f"{merged.path}/forest")
+
+            together(
+                forest,
+                lambda: nodes.write.mode("overwrite").parquet(f"{merged.path}/nodes/run=0"),
+                lambda: self._read("titles", runs).write.mode("overwrite").parquet(f"{merged.path}/titles/run=0"),
+                lambda: self.spark.createDataFrame([], "old long, new long").write.mode("overwrite").parquet(f"{merged.path}/merged/run=0"),
+            )
         return merged
 
     def forget(self) -> None:

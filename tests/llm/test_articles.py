@@ -1,4 +1,5 @@
 import random
+import threading
 from pathlib import Path
 
 import pytest
@@ -305,6 +306,39 @@ def test_a_crowded_page_is_compared_as_loosely_as_others(spark):
     assert {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()} == {(8, len(rows))}
 
 
+@pytest.mark.parametrize("most", [A.CROWDED_PAIRS, 0])
+def test_few_titles_of_crowded_pages_are_compared_without_a_forest(spark, monkeypatch, most):
+    monkeypatch.setattr(A, "CROWDED_PAIRS", most)
+    made, add = [], HashForest.add
+    monkeypatch.setattr(HashForest, "add", lambda f, *x: made.append(f.lenient) or add(f, *x))
+    titles = [f"{a}bo{b}du quiet {b}ke{a}ri room" for a in "bdfgklmn" for b in "prstvzbd"]
+    assert len(titles) > A.PAGE_TITLES
+    rows = [rec(i + 1, t, U + "hot") for i, t in enumerate([*titles, "bbopdu quiet lodami vazuro"])]
+    assert (1, len(rows)) in {tuple(r) for r in history.repeats(spark.createDataFrame(rows, SIGNALS)).collect()}
+    assert sorted(made) == ([False] if most else [False, True])
+
+
+def test_steps_together_write_within_their_scratch(spark):
+    met = threading.Barrier(2, timeout=60)  # broken if one step waits for the other
+
+    def step():
+        met.wait()
+        return runtime.persisted(spark.range(3), "together")
+
+    left = lambda: {p.name for p in Path(runtime.shared_dir(spark).removeprefix("file:")).iterdir() if p.name.startswith("together-")}
+    with runtime.scratch(spark):
+        assert [df.count() for df in runtime.together(step, step)] == [3, 3] and len(left()) == 2
+    assert not left()
+
+
+@pytest.mark.parametrize("rows", [hashforest.runtime.BROADCAST_ROWS, 0])
+def test_pairs_and_keys_that_are_not_sent_out_are_shuffled(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", rows)
+    signals = spark.createDataFrame([rec(1, "Studio visit with Gipaleza", U + "a", run="1"), rec(2, "Quiet rooms of Viwado", U + "b", run="1"), rec(3, "Studio vist with Gipaleza", U + "c", run="2"), rec(4, None, U + "b", run="3")], SIGNALS)
+    got = {tuple(r) for r in history.newest_last(history.History(spark, str(tmp_path / "h")), signals).collect()}
+    assert got == {(1, 3), (2, 4)}
+
+
 def test_recurring_values_of_record_keys_are_worked_out_once():
     for f in (A.publisher_of, A._name_words, A._single):
         f.cache_clear()
